@@ -140,8 +140,11 @@ def star_with_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
     clean = cleaning.IMMIGRATION.apply(s.arrivals(spark, sf_dir))
     visa_types = materialise(visa_type_dimension(clean), "visatype")
     readings = cleaning.TEMPERATURE.apply(s.readings(spark, sf_dir))
-    countries = country_dimension(
-        clean, s.country_codes(spark, sf_dir), country_temperatures(readings)
+    countries = materialise(
+        country_dimension(
+            clean, s.country_codes(spark, sf_dir), country_temperatures(readings)
+        ),
+        "country",
     )
     people = cleaning.DEMOGRAPHICS.apply(s.demographics(spark, sf_dir)).withColumnsRenamed(
         {"State Code": "state_code", "Total Population": "total_population"}

@@ -8,10 +8,9 @@ from pyspark.sql import functions as F
 from starloom.catalog import standins as s
 from starloom.catalog.registry import query, table
 from starloom.functions import sas_days
-from starloom.plans.dimensions import calendar_dimension
+from starloom.plans.dimensions import calendar_dimension, state_population
 from starloom.plans.facts import star_join
-from starloom.plans.dimensions import state_population
-from starloom.plans.star import CALENDAR_FOLDERS, Star, StarSources, build_star
+from starloom.plans.star import Star, StarSources, build_star, write_calendar
 from starloom.scratch import scratch_path
 from starloom.sources import (
     file_inventory,
@@ -64,7 +63,7 @@ def csv_inferred_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def calendar_partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     calendar = calendar_dimension(orders.select(sas_days(F.col("o_orderdate")).alias("arrdate")))
-    return write_partitioned(calendar, scratch_path(spark, "calendar"), CALENDAR_FOLDERS)
+    return write_calendar(calendar, scratch_path(spark, "calendar"))
 
 
 @query(

@@ -51,20 +51,22 @@ ARRIVALS = """
 
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = country_codes(spark, sf_dir)
+    nation = table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").alias("s_nationkey"), title_case(F.col("n_name")).alias("Country")
+    )
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     lines = table(spark, sf_dir, "lineitem").select(
         "l_shipdate", "l_suppkey", "l_discount", "l_tax", "l_returnflag", "l_linestatus"
     )
-    placed = lookup_join(lines, supplier, {"l_suppkey": "s_suppkey"})
-    return lookup_join(placed, nation, {"s_nationkey": "code"}).select(
+    placed = supplier.join(nation, "s_nationkey", "left")
+    return lookup_join(lines, placed, {"l_suppkey": "s_suppkey"}).select(
         F.col("l_shipdate").cast("date").alias("dt"),
         (F.nullif(F.col("l_discount"), F.lit(0.0)) * 300 + F.col("s_nationkey")).alias(
             "AverageTemperature"
         ),
         F.col("l_tax").alias("AverageTemperatureUncertainty"),
         F.concat(F.lit("City "), "l_suppkey").alias("City"),
-        title_case(F.col("Name")).alias("Country"),
+        "Country",
         F.col("l_returnflag").alias("Latitude"),
         F.col("l_linestatus").alias("Longitude"),
     )

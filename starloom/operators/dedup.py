@@ -43,5 +43,7 @@ def dedup(
         if f.name not in keys and f.name not in named and not isinstance(f.dataType, _UNORDERED)
     ]
     order = [col(c) if isinstance(c, str) else c for c in order_by] + rest
-    ranked = Window.partitionBy(*[col(k) for k in keys]).orderBy(*(order or [F.lit(1)]))
+    by = [col(k) for k in keys]
+    # The hash leads so that the sort mostly compares one fixed-width number.
+    ranked = Window.partitionBy(F.xxhash64(*by), *by).orderBy(*(order or [F.lit(1)]))
     return df.withColumn("_rank", F.row_number().over(ranked)).where("_rank = 1").drop("_rank")

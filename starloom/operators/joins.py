@@ -24,25 +24,22 @@ HOT_SHARE = 0.001
 
 @dataclass(frozen=True)
 class LookupSize:
-    rows: int
     bytes: int
-    max_per_key: int
+    max_per_key: int | None
 
 
-def measure_lookup(lookup: DataFrame, keys: Iterable[str]) -> LookupSize:
-    """Rows, an upper estimate of bytes, and the most rows any non-NULL key has."""
+def measure_lookup(lookup: DataFrame, keys: Iterable[str] = ()) -> LookupSize:
+    """An upper estimate of the lookup's bytes, and the most rows any non-NULL key has."""
     keys = list(keys)
-    width = reduce(add, [_cell_bytes(f) for f in lookup.schema.fields])
+    size = F.sum(reduce(add, [_cell_bytes(f) for f in lookup.schema.fields]))
+    if not keys:
+        return LookupSize(lookup.agg(size).first()[0] or 0, None)
     known = reduce(and_, [col(k).isNotNull() for k in keys])
     per_key = lookup.groupBy(*[col(k) for k in keys]).agg(
-        F.count(F.lit(1)).alias("_rows"), F.sum(width).alias("_bytes")
+        F.count(F.lit(1)).alias("_rows"), size.alias("_bytes")
     )
-    total = per_key.agg(
-        F.coalesce(F.sum("_rows"), F.lit(0)).alias("rows"),
-        F.coalesce(F.sum("_bytes"), F.lit(0)).alias("bytes"),
-        F.coalesce(F.max(F.when(known, F.col("_rows"))), F.lit(0)).alias("max_per_key"),
-    ).first()
-    return LookupSize(total["rows"], total["bytes"], total["max_per_key"])
+    total = per_key.agg(F.sum("_bytes"), F.max(F.when(known, F.col("_rows")))).first()
+    return LookupSize(total[0] or 0, total[1] or 0)
 
 
 def _cell_bytes(field: T.StructField) -> Column:
@@ -75,13 +72,19 @@ def lookup_join(
     shuffle-joined, except for the fact rows no shuffle could spread: those of
     hot keys meet a broadcast of just those keys' lookup rows, and those
     without a key meet nothing.
+
+    Measuring reads the lookup once, and the larger path reads both sides more
+    than once: pass written tables, not long plans.
     """
     pairs = as_pairs(on)
     if duplicates == "first":
-        lookup = materialise(dedup(lookup, pairs.values()), "lookup")
-    size = measure_lookup(lookup, pairs.values())
-    if size.max_per_key > 1:
-        raise ValueError(f"lookup has up to {size.max_per_key} rows per key {list(pairs.values())}")
+        size = measure_lookup(lookup)
+        lookup = dedup(lookup, pairs.values())
+    else:
+        size = measure_lookup(lookup, pairs.values())
+        if size.max_per_key > 1:
+            keys = list(pairs.values())
+            raise ValueError(f"lookup has up to {size.max_per_key} rows per key {keys}")
 
     payload = [c for c in lookup.columns if c not in pairs.values()]
     right = lookup.select(

@@ -80,35 +80,33 @@ def describe(df: DataFrame, columns: str | Iterable[str] | None = None) -> DataF
     partitions and only those that hold a wanted rank are summed up.
     """
     columns = numeric_columns(df) if columns is None else as_list(columns)
-    values = (
-        df.select(*[col(c).cast("double").alias(c) for c in columns])
-        .unpivot([], [col(c) for c in columns], "column_name", "value")
-        .where(F.col("value").isNotNull() & ~F.isnan("value"))
+    names = df.sparkSession.range(1).select(
+        F.posexplode(F.array(*[F.lit(c) for c in columns])).alias("_column", "column_name")
     )
+    values = df.select(
+        F.posexplode(F.array(*[col(c).cast("double") for c in columns])).alias("_column", "value")
+    ).where(F.col("value").isNotNull() & ~F.isnan("value"))
     frequencies = in_global_order(
-        values.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n")),
-        ["column_name", "value"],
+        values.groupBy("_column", "value").agg(F.count(F.lit(1)).alias("n")),
+        ["_column", "value"],
         "frequencies",
     )
-    moments = frequencies.groupBy("column_name").agg(
+    moments = frequencies.groupBy("_column").agg(
         F.sum("n").alias("count"),
         (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )
     deviations = (
-        frequencies.join(F.broadcast(moments), "column_name")
-        .groupBy("column_name")
+        frequencies.join(F.broadcast(moments), "_column")
+        .groupBy("_column")
         .agg(F.sum(F.col("n") * F.pow(F.col("value") - F.col("mean"), 2)).alias("squares"))
     )
-    names = df.sparkSession.range(1).select(
-        F.explode(F.array(*[F.lit(c) for c in columns])).alias("column_name")
-    )
     std = F.sqrt(F.try_divide("squares", F.col("count") - 1)).alias("std")
     return (
-        names.join(moments, "column_name", "left")
-        .join(deviations, "column_name", "left")
-        .join(_quartiles(frequencies, moments), "column_name", "left")
+        names.join(moments, "_column", "left")
+        .join(deviations, "_column", "left")
+        .join(_quartiles(frequencies, moments), "_column", "left")
         .select(
             "column_name",
             F.coalesce("count", F.lit(0)).alias("count"),
@@ -132,32 +130,30 @@ def _quartiles(frequencies: DataFrame, moments: DataFrame) -> DataFrame:
             wanted.append(
                 F.struct(F.lit(label).alias("label"), rank.alias("rank"), weight.alias("weight"))
             )
-    ranks = moments.select("column_name", F.inline(F.array(*wanted)))
+    ranks = moments.select("_column", F.inline(F.array(*wanted)))
 
     earlier = (
-        Window.partitionBy("column_name")
-        .orderBy("_part")
-        .rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy("_column").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     )
     parts = (
-        frequencies.groupBy("column_name", "_part")
+        frequencies.groupBy("_column", "_part")
         .agg(F.sum("n").alias("size"))
         .withColumn("start", F.coalesce(F.sum("size").over(earlier), F.lit(0)))
     )
     holding = (
-        parts.join(ranks, "column_name")
+        parts.join(ranks, "_column")
         .where("rank >= start and rank < start + size")
-        .select("column_name", "_part", "start")
+        .select("_column", "_part", "start")
         .distinct()
     )
-    so_far = Window.partitionBy("column_name", "_part").orderBy("value")
+    so_far = Window.partitionBy("_column", "_part").orderBy("value")
     values = (
-        frequencies.join(F.broadcast(holding), ["column_name", "_part"])
+        frequencies.join(F.broadcast(holding), ["_column", "_part"])
         .withColumn("end", F.col("start") + F.sum("n").over(so_far))
-        .join(F.broadcast(ranks), "column_name")
+        .join(F.broadcast(ranks), "_column")
         .where("rank >= end - n and rank < end")
     )
     weighted = F.col("value") * F.col("weight")
-    return values.groupBy("column_name").agg(
+    return values.groupBy("_column").agg(
         *[F.sum(F.when(F.col("label") == q, weighted)).alias(q) for q in _QUARTILES]
     )

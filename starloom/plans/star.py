@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from starloom.names import as_list
@@ -80,27 +83,40 @@ def load_demographics(spark: SparkSession, path: str) -> DataFrame:
     return cleaning.DEMOGRAPHICS.apply(read_csv(spark, path, DEMOGRAPHICS, sep=";"))
 
 
+def write_calendar(calendar: DataFrame, path: str) -> DataFrame:
+    """Write the calendar by year, month and week: few rows, one folder per week."""
+    tasks = calendar.sparkSession.sparkContext.defaultParallelism
+    return write_partitioned(calendar, path, CALENDAR_FOLDERS, tasks=tasks)
+
+
 def write_immigration_star(
     immigration: DataFrame, temperature: DataFrame, country_codes: DataFrame, output: str
 ) -> dict[str, DataFrame]:
     """Write the fact and its visa-type, calendar and country dimensions.
 
     The visa types are read back before the fact uses them, so fact and
-    dimension hold the same keys.
+    dimension hold the same keys. What does not depend on each other runs at
+    the same time, so one table's last tasks do not leave the cluster idle.
     """
-    visatype = write_table(visa_type_dimension(immigration), f"{output}/visatype")
-    calendar = write_partitioned(
-        calendar_dimension(immigration), f"{output}/immigration_calendar", CALENDAR_FOLDERS
-    )
-    country = write_table(
-        country_dimension(immigration, country_codes, country_temperatures(temperature)),
-        f"{output}/country",
-    )
-    fact = write_table(immigration_fact(immigration, visatype), f"{output}/immigration_fact")
+
+    def visatype_and_fact() -> tuple[DataFrame, DataFrame]:
+        visatype = write_table(visa_type_dimension(immigration), f"{output}/visatype")
+        fact = immigration_fact(immigration, visatype)
+        return visatype, write_table(fact, f"{output}/immigration_fact")
+
+    def calendar() -> DataFrame:
+        return write_calendar(calendar_dimension(immigration), f"{output}/immigration_calendar")
+
+    def country() -> DataFrame:
+        averages = country_temperatures(temperature)
+        dimension = country_dimension(immigration, country_codes, averages)
+        return write_table(dimension, f"{output}/country")
+
+    (visatype, fact), days, countries = at_once(visatype_and_fact, calendar, country)
     return {
         "immigration_fact": fact,
-        "immigration_calendar": calendar,
-        "country": country,
+        "immigration_calendar": days,
+        "country": countries,
         "visatype": visatype,
     }
 
@@ -113,15 +129,32 @@ def build_star(
     spark: SparkSession, sources: StarSources, output: str, fail_on_empty: bool = False
 ) -> Star:
     """Read, clean, model, write and check; every table at ``output`` is replaced."""
-    star = Star(
-        **write_immigration_star(
+
+    def immigration_star() -> dict[str, DataFrame]:
+        return write_immigration_star(
             load_immigration(spark, sources.immigration, sources.immigration_format),
             load_temperature(spark, sources.temperature),
             read_csv(spark, sources.country_codes, COUNTRY_CODES),
             output,
-        ),
-        demographics=write_demographics(load_demographics(spark, sources.demographics), output),
-    )
+        )
+
+    def demographics() -> DataFrame:
+        return write_demographics(load_demographics(spark, sources.demographics), output)
+
+    tables, people = at_once(immigration_star, demographics)
+    star = Star(**tables, demographics=people)
     if fail_on_empty:
         fail_if_any(star.quality())
     return star
+
+
+def at_once(*steps: Callable[[], Any]) -> list[Any]:
+    """Run steps whose Spark jobs are independent side by side."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        return [future.result() for future in [pool.submit(_in_session(s)) for s in steps]]
+
+
+def _in_session(step: Callable[[], Any]) -> Callable[[], Any]:
+    """Carry the caller's job group and local properties into the step's thread."""
+    session = SparkSession.getActiveSession()
+    return inheritable_thread_target(session)(step) if session else step

@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import contextlib
+import io
+
 import pytest
 from pyspark.sql import SparkSession
 
@@ -18,3 +21,30 @@ def spark() -> SparkSession:
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
+
+
+@pytest.fixture(scope="session")
+def plan():
+    """The physical plan of a DataFrame as text."""
+
+    def text(df) -> str:
+        out = io.StringIO()
+        with contextlib.redirect_stdout(out):
+            df.explain()
+        return out.getvalue()
+
+    return text
+
+
+@pytest.fixture
+def setting(spark):
+    """Set session options for one test."""
+    before = {}
+
+    def change(name: str, value: str) -> None:
+        before.setdefault(name, spark.conf.get(name))
+        spark.conf.set(name, value)
+
+    yield change
+    for name, value in before.items():
+        spark.conf.set(name, value)

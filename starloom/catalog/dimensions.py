@@ -13,7 +13,6 @@ from starloom.plans import cleaning
 from starloom.plans.dimensions import (
     average_by,
     calendar_dimension,
-    country_dimension,
     country_temperatures,
     demographics_dimension,
     member_dimension,
@@ -147,10 +146,7 @@ def temperature_by_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 )
 def country_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    clean = cleaning.TEMPERATURE.apply(s.readings(spark, sf_dir))
-    dimension = country_dimension(
-        s.arrivals(spark, sf_dir), s.country_codes(spark, sf_dir), country_temperatures(clean)
-    )
+    dimension = s.countries(spark, sf_dir, s.arrivals(spark, sf_dir))
     return dimension.withColumn("average_temperature", F.round("average_temperature", 4))
 
 

@@ -11,8 +11,6 @@ from starloom.operators import lookup_join
 from starloom.plans import cleaning
 from starloom.plans.dimensions import (
     calendar_dimension,
-    country_dimension,
-    country_temperatures,
     state_population,
     visa_type_dimension,
 )
@@ -139,13 +137,7 @@ def sql_over_views(spark: SparkSession, sf_dir: str) -> DataFrame:
 def star_with_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
     clean = cleaning.IMMIGRATION.apply(s.arrivals(spark, sf_dir))
     visa_types = materialise(visa_type_dimension(clean), "visatype")
-    readings = cleaning.TEMPERATURE.apply(s.readings(spark, sf_dir))
-    countries = materialise(
-        country_dimension(
-            clean, s.country_codes(spark, sf_dir), country_temperatures(readings)
-        ),
-        "country",
-    )
+    countries = materialise(s.countries(spark, sf_dir, clean), "country")
     people = cleaning.DEMOGRAPHICS.apply(s.demographics(spark, sf_dir)).withColumnsRenamed(
         {"State Code": "state_code", "Total Population": "total_population"}
     )

@@ -10,8 +10,6 @@ from starloom.catalog.registry import query
 from starloom.plans import cleaning
 from starloom.plans.dimensions import (
     calendar_dimension,
-    country_dimension,
-    country_temperatures,
     demographics_dimension,
     state_population,
     visa_type_dimension,
@@ -30,13 +28,6 @@ def _arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.IMMIGRATION.apply(s.arrivals(spark, sf_dir))
 
 
-def _countries(spark: SparkSession, sf_dir: str, arrivals: DataFrame) -> DataFrame:
-    readings = cleaning.TEMPERATURE.apply(s.readings(spark, sf_dir))
-    return country_dimension(
-        arrivals, s.country_codes(spark, sf_dir), country_temperatures(readings)
-    )
-
-
 @query(
     f"""
     select case when average_temperature is not null then
@@ -51,7 +42,7 @@ def _countries(spark: SparkSession, sf_dir: str, arrivals: DataFrame) -> DataFra
 def climate_vs_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     arrivals = _arrivals(spark, sf_dir)
     fact = immigration_fact(arrivals, visa_type_dimension(arrivals))
-    return climate_bands(fact, _countries(spark, sf_dir, arrivals), (20.0, 25.0, 30.0))
+    return climate_bands(fact, s.countries(spark, sf_dir, arrivals), (20.0, 25.0, 30.0))
 
 
 @query(
@@ -65,7 +56,7 @@ def climate_vs_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
 def climate_arrivals_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
     arrivals = _arrivals(spark, sf_dir)
     fact = immigration_fact(arrivals, visa_type_dimension(arrivals))
-    found = climate_correlation(fact, _countries(spark, sf_dir, arrivals))
+    found = climate_correlation(fact, s.countries(spark, sf_dir, arrivals))
     return found.withColumn("correlation", F.round("correlation", 6))
 
 

@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from starloom.catalog.registry import table
 from starloom.functions import sas_days, title_case
 from starloom.operators import lookup_join
+from starloom.plans import cleaning
+from starloom.plans.dimensions import country_dimension, country_temperatures
+from starloom.scratch import materialise
 
 
 def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,6 +155,12 @@ def country_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def countries(spark: SparkSession, sf_dir: str, arrivals: DataFrame) -> DataFrame:
+    readings_kept = cleaning.TEMPERATURE.apply(readings(spark, sf_dir))
+    averages = materialise(country_temperatures(readings_kept), "country-temperatures")
+    return country_dimension(arrivals, country_codes(spark, sf_dir), averages)
+
+
 VISA_TYPES = f"""
     select visatype, row_number() over (order by visatype nulls first) - 1 as visa_type_key
     from (select distinct visatype from ({ARRIVALS}))

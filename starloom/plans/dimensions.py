@@ -14,7 +14,6 @@ from starloom.operators.columns import rename
 from starloom.operators.dedup import distinct_values
 from starloom.operators.joins import lookup_join
 from starloom.operators.keys import with_surrogate_key
-from starloom.scratch import materialise
 
 # Raw demographics headers and their column names in the dimension.
 DEMOGRAPHICS_NAMES = {
@@ -72,16 +71,17 @@ def country_dimension(
     """One row per country code that occurs: ``country_code, country_name, <measure>``.
 
     ``country_codes`` holds ``code, Name``; ``temperatures`` one row per
-    ``Country``, matched to the title-cased name. The codes are reduced to
+    ``Country``, matched to the title-cased name, and should be a written table,
+    see :func:`~starloom.operators.joins.lookup_join`. The codes are reduced to
     distinct ones before any join, so no join sees the arrivals. An unknown code
     has no name, and a name without temperatures no average.
     """
     members = distinct_values(arrivals, code).withColumnRenamed(code, "country_code")
     named = lookup_join(members, country_codes, {"country_code": "code"}, duplicates="first")
     named = named.select("country_code", title_case(F.col("Name")).alias("country_name"))
-    return lookup_join(
-        named, materialise(temperatures, "country-temperatures"), {"country_name": "Country"}
-    ).select("country_code", "country_name", measure)
+    return lookup_join(named, temperatures, {"country_name": "Country"}).select(
+        "country_code", "country_name", measure
+    )
 
 
 def demographics_dimension(

@@ -11,6 +11,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from starloom.names import as_list
+from starloom.operators.columns import drop_columns
 from starloom.operators.quality import check_row_counts, fail_if_any
 from starloom.plans import cleaning
 from starloom.plans.dimensions import (
@@ -20,7 +21,7 @@ from starloom.plans.dimensions import (
     demographics_dimension,
     visa_type_dimension,
 )
-from starloom.plans.facts import immigration_fact
+from starloom.plans.facts import FACT_NAMES, immigration_fact
 from starloom.scratch import materialise
 from starloom.sources import read_csv, read_many, write_partitioned, write_table
 from starloom.sources.schemas import COUNTRY_CODES, DEMOGRAPHICS, TEMPERATURE
@@ -28,6 +29,7 @@ from starloom.sources.schemas import COUNTRY_CODES, DEMOGRAPHICS, TEMPERATURE
 _COLUMNAR = ("parquet", "orc")
 # The calendar's folder levels.
 CALENDAR_FOLDERS = ("arrival_year", "arrival_month", "arrival_week")
+_CALENDAR_TASKS = 64
 
 
 @dataclass(frozen=True)
@@ -62,15 +64,13 @@ class Star:
 def load_immigration(
     spark: SparkSession, paths: str | Iterable[str], fmt: str = "parquet"
 ) -> DataFrame:
-    """The cleaned immigration table.
+    """The raw immigration table without its sparse columns, in a columnar format.
 
-    Its users each need a few columns, so a row format is copied to Parquet
+    Several steps read a few columns each, so a row format is copied to Parquet
     first: the raw files are then decoded once for the whole run.
     """
-    raw = read_many(spark, as_list(paths), fmt)
-    if fmt not in _COLUMNAR:
-        raw = materialise(raw, "immigration")
-    return cleaning.IMMIGRATION.apply(raw)
+    raw = drop_columns(read_many(spark, as_list(paths), fmt), cleaning.IMMIGRATION.columns)
+    return raw if fmt in _COLUMNAR else materialise(raw, "immigration")
 
 
 def load_temperature(spark: SparkSession, path: str) -> DataFrame:
@@ -85,7 +85,7 @@ def load_demographics(spark: SparkSession, path: str) -> DataFrame:
 
 def write_calendar(calendar: DataFrame, path: str) -> DataFrame:
     """Write the calendar by year, month and week: few rows, one folder per week."""
-    tasks = calendar.sparkSession.sparkContext.defaultParallelism
+    tasks = min(calendar.sparkSession.sparkContext.defaultParallelism, _CALENDAR_TASKS)
     return write_partitioned(calendar, path, CALENDAR_FOLDERS, tasks=tasks)
 
 
@@ -94,25 +94,36 @@ def write_immigration_star(
 ) -> dict[str, DataFrame]:
     """Write the fact and its visa-type, calendar and country dimensions.
 
-    The visa types are read back before the fact uses them, so fact and
-    dimension hold the same keys. What does not depend on each other runs at
-    the same time, so one table's last tasks do not leave the cluster idle.
+    The raw table is read twice: the visa-type column for the dimension, which
+    is read back so that the fact holds its keys, and everything for the fact.
+    The other two dimensions each read one column of the written fact, whose
+    rows are the cleaned ones. What does not depend on each other runs at the
+    same time, so one table's last tasks do not leave the cluster idle.
     """
+    rule = cleaning.IMMIGRATION
 
     def visatype_and_fact() -> tuple[DataFrame, DataFrame]:
-        visatype = write_table(visa_type_dimension(immigration), f"{output}/visatype")
-        fact = immigration_fact(immigration, visatype)
+        types = visa_type_dimension(rule.column(immigration, "visatype"))
+        visatype = write_table(types, f"{output}/visatype")
+        fact = immigration_fact(rule.apply(immigration), visatype)
         return visatype, write_table(fact, f"{output}/immigration_fact")
 
+    def averages() -> DataFrame:
+        return materialise(country_temperatures(temperature), "country-temperatures")
+
+    (visatype, fact), temperatures = at_once(visatype_and_fact, averages)
+
     def calendar() -> DataFrame:
-        return write_calendar(calendar_dimension(immigration), f"{output}/immigration_calendar")
+        days = calendar_dimension(fact, "arrdate", sas=False)
+        return write_calendar(days, f"{output}/immigration_calendar")
 
     def country() -> DataFrame:
-        averages = country_temperatures(temperature)
-        dimension = country_dimension(immigration, country_codes, averages)
-        return write_table(dimension, f"{output}/country")
+        code = FACT_NAMES["i94res"]
+        return write_table(
+            country_dimension(fact, country_codes, temperatures, code), f"{output}/country"
+        )
 
-    (visatype, fact), days, countries = at_once(visatype_and_fact, calendar, country)
+    days, countries = at_once(calendar, country)
     return {
         "immigration_fact": fact,
         "immigration_calendar": days,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from starloom.operators import check_foreign_key, drop_incomplete_rows, missing_profile
+from starloom.plans.cleaning import Cleaning
 from starloom.plans.dimensions import member_dimension
 from starloom.plans.reports import arrivals_per_country
 from starloom.sources import write_table
@@ -33,6 +34,13 @@ def test_required_columns_reach_the_scan(spark, plan):
     assert "ReadSchema: struct<l_orderkey:bigint,l_discount:double>" in text
 
 
+def test_members_of_kept_rows_read_one_column(spark, plan):
+    kinds = Cleaning(empty_rows=True).column(read(spark, "orders"), "o_orderpriority")
+    known = plan(kinds.distinct()).split("FileScan")[1]
+    assert "ReadSchema: struct<o_orderpriority:string>" in known
+    assert "IsNotNull(o_orderpriority)" in known
+
+
 def test_profile_is_one_scan(spark, plan):
     assert plan(missing_profile(read(spark, "lineitem"))).count("FileScan") == 1
 

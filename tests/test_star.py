@@ -226,6 +226,16 @@ def test_cleaning_reports_balance(spark):
         assert tuple(rule.report(df.limit(0)).first()) == (0, 0, 0, 0)
 
 
+def test_one_column_of_the_kept_rows(spark):
+    arrivals = spark.createDataFrame(ARRIVALS, IMMIGRATION)
+    for name in ("visatype", "arrdate", "i94res"):
+        for rule in (cleaning.IMMIGRATION, cleaning.IMMIGRATION_RECORDS):
+            assert rows(rule.column(arrivals, name)) == rows(rule.apply(arrivals).select(name))
+    odd = spark.createDataFrame([(math.nan, None), (math.nan, 1), (None, 1), (2.0, None)], "a double, b int")
+    kept = Cleaning(empty_rows=True).column(odd, "a")
+    assert [repr(r) for r in rows(kept)] == ["(2.0,)", "(None,)", "(nan,)"]
+
+
 def test_cleaning_without_rules_changes_nothing(spark):
     df = spark.range(3)
     assert Cleaning().apply(df).count() == 3

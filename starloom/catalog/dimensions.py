@@ -161,9 +161,7 @@ def country_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 )
 def title_case_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = F.concat(
-        F.upper("p_type"), F.lit("-"), "p_name", F.lit(", o'"), F.upper("p_brand")
-    )
+    words = F.concat(F.upper("p_type"), F.lit("-"), "p_name", F.lit(", o'"), F.upper("p_brand"))
     return table(spark, sf_dir, "part").select("p_partkey", title_case(words).alias("title"))
 
 

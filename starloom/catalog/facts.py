@@ -53,24 +53,19 @@ def arrivals_by_visa_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fact.groupBy("visa_type_key").agg(F.count(F.lit(1)).alias("arrivals"))
 
 
-@query(
-    """
+_LINE_PARTS = """
     select l_linenumber, l_shipdate, l_quantity, l_part, p_brand, p_size
     from (select *, nullif(l_partkey, 0) as l_part from lineitem)
          left join part on l_part = p_partkey
-    """
-)
+"""
+
+
+@query(_LINE_PARTS)
 def lookup_join_broadcast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _line_parts(spark, sf_dir)
 
 
-@query(
-    """
-    select l_linenumber, l_shipdate, l_quantity, l_part, p_brand, p_size
-    from (select *, nullif(l_partkey, 0) as l_part from lineitem)
-         left join part on l_part = p_partkey
-    """
-)
+@query(_LINE_PARTS)
 def lookup_join_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _line_parts(spark, sf_dir, broadcast_bytes=0)
 

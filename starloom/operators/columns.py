@@ -25,7 +25,7 @@ def sparse_columns(df: DataFrame, threshold: float = 0.9) -> list[str]:
 
     One aggregate over the table; one short row per column reaches the driver.
     """
-    sparse = missing_profile(df).where(f"pct_missing > {100 * threshold}")
+    sparse = missing_profile(df).where(f"pct_missing > {round(100 * threshold, 6)}")
     found = {row.column_name for row in sparse.select("column_name").collect()}
     return [name for name in df.columns if name in found]
 

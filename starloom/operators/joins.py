@@ -29,7 +29,7 @@ class LookupSize:
 
 
 def measure_lookup(lookup: DataFrame, keys: Iterable[str] = ()) -> LookupSize:
-    """An upper estimate of the lookup's bytes, and the most rows any non-NULL key has."""
+    """The lookup's estimated bytes, and the most rows any non-NULL key has."""
     keys = list(keys)
     size = F.sum(reduce(add, [_cell_bytes(f) for f in lookup.schema.fields]))
     if not keys:

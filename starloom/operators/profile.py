@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from starloom.functions.missing import is_missing, percentage
 from starloom.names import as_list, col
 from starloom.operators.keys import in_global_order
+from starloom.scratch import materialise
 
 _QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 
@@ -74,10 +75,10 @@ def describe(df: DataFrame, columns: str | Iterable[str] | None = None) -> DataF
     that are neither NULL nor NaN. Quartiles are exact and interpolated.
 
     The table is scanned once, into one row per distinct value and its
-    frequency; combining before the shuffle absorbs frequent values. Everything
-    else reads that table. An exact percentile aggregate would hold every
-    distinct value of a column in one task; here the values stay in range
-    partitions and only those that hold a wanted rank are summed up.
+    frequency; combining before the shuffle absorbs frequent values. That table
+    is read for the sums per range partition, for the deviations, and for the
+    partitions that hold a wanted rank. An exact percentile aggregate would hold
+    every distinct value of a column in one task.
     """
     columns = numeric_columns(df) if columns is None else as_list(columns)
     names = df.sparkSession.range(1).select(
@@ -91,11 +92,20 @@ def describe(df: DataFrame, columns: str | Iterable[str] | None = None) -> DataF
         ["_column", "value"],
         "frequencies",
     )
-    moments = frequencies.groupBy("_column").agg(
-        F.sum("n").alias("count"),
-        (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
+    parts = materialise(
+        frequencies.groupBy("_column", "_part").agg(
+            F.sum("n").alias("size"),
+            F.sum(F.col("value") * F.col("n")).alias("total"),
+            F.min("value").alias("min"),
+            F.max("value").alias("max"),
+        ),
+        "frequency-parts",
+    )
+    moments = parts.groupBy("_column").agg(
+        F.sum("size").alias("count"),
+        (F.sum("total") / F.sum("size")).alias("mean"),
+        F.min("min").alias("min"),
+        F.max("max").alias("max"),
     )
     deviations = (
         frequencies.join(F.broadcast(moments), "_column")
@@ -106,7 +116,7 @@ def describe(df: DataFrame, columns: str | Iterable[str] | None = None) -> DataF
     return (
         names.join(moments, "_column", "left")
         .join(deviations, "_column", "left")
-        .join(_quartiles(frequencies, moments), "_column", "left")
+        .join(_quartiles(frequencies, parts, moments), "_column", "left")
         .select(
             "column_name",
             F.coalesce("count", F.lit(0)).alias("count"),
@@ -119,7 +129,7 @@ def describe(df: DataFrame, columns: str | Iterable[str] | None = None) -> DataF
     )
 
 
-def _quartiles(frequencies: DataFrame, moments: DataFrame) -> DataFrame:
+def _quartiles(frequencies: DataFrame, parts: DataFrame, moments: DataFrame) -> DataFrame:
     """Interpolated quartiles per column from range-partitioned frequencies."""
     last = F.col("count") - 1
     wanted = []
@@ -135,13 +145,9 @@ def _quartiles(frequencies: DataFrame, moments: DataFrame) -> DataFrame:
     earlier = (
         Window.partitionBy("_column").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     )
-    parts = (
-        frequencies.groupBy("_column", "_part")
-        .agg(F.sum("n").alias("size"))
-        .withColumn("start", F.coalesce(F.sum("size").over(earlier), F.lit(0)))
-    )
+    starts = parts.withColumn("start", F.coalesce(F.sum("size").over(earlier), F.lit(0)))
     holding = (
-        parts.join(ranks, "_column")
+        starts.join(ranks, "_column")
         .where("rank >= start and rank < start + size")
         .select("_column", "_part", "start")
         .distinct()

@@ -24,7 +24,7 @@ from starloom.plans.dimensions import (
 from starloom.plans.facts import FACT_NAMES, immigration_fact
 from starloom.scratch import materialise
 from starloom.sources import read_csv, read_many, write_partitioned, write_table
-from starloom.sources.schemas import COUNTRY_CODES, DEMOGRAPHICS, TEMPERATURE
+from starloom.sources.schemas import COUNTRY_CODES, DEMOGRAPHICS, IMMIGRATION, TEMPERATURE
 
 _COLUMNAR = ("parquet", "orc")
 # The calendar's folder levels.
@@ -69,7 +69,11 @@ def load_immigration(
     Several steps read a few columns each, so a row format is copied to Parquet
     first: the raw files are then decoded once for the whole run.
     """
-    raw = drop_columns(read_many(spark, as_list(paths), fmt), cleaning.IMMIGRATION.columns)
+    if fmt == "csv":
+        raw = read_csv(spark, paths, IMMIGRATION)
+    else:
+        raw = read_many(spark, as_list(paths), fmt)
+    raw = drop_columns(raw, cleaning.IMMIGRATION.columns)
     return raw if fmt in _COLUMNAR else materialise(raw, "immigration")
 
 

@@ -41,8 +41,11 @@ def test_every_query_has_sql():
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_query_matches_sql(spark, duck, name):
+def test_query_matches_sql(spark, duck, plan, name):
     result = QUERIES[name](spark, SF_DIR)
+    text = plan(result)
+    for unwanted in ("Python", "ArrowEval", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert unwanted not in text
     expected = duck.sql(ORACLE[name])
     assert sorted(result.columns) == sorted(expected.columns)
     actual = bag(result.columns, result.collect())

@@ -24,7 +24,7 @@ from starloom.plans.reports import (
     monthly_visitors_by_state,
     visit_drilldown,
 )
-from starloom.plans.star import StarSources, build_star
+from starloom.plans.star import StarSources, build_star, load_immigration
 from starloom.sources.schemas import DEMOGRAPHICS, IMMIGRATION, TEMPERATURE
 
 APRIL_1, APRIL_2, NEW_YEAR = dt.date(2016, 4, 1), dt.date(2016, 4, 2), dt.date(2016, 1, 1)
@@ -98,6 +98,18 @@ def star(spark, tmp_path_factory):
     return build_star(spark, sources, f"{folder}/out", fail_on_empty=True)
 
 
+@pytest.mark.parametrize("fmt", ["csv", "json"])
+def test_row_formats_load_like_parquet(spark, tmp_path, fmt):
+    arrivals = spark.createDataFrame(ARRIVALS, IMMIGRATION)
+    written = arrivals.write.option("header", True).format(fmt)
+    written.save(f"{tmp_path}/{fmt}")
+    loaded = load_immigration(spark, f"{tmp_path}/{fmt}", fmt)
+    assert not {"occup", "entdepu", "insnum"} & set(loaded.columns)
+    columns = ["cicid", "i94res", "i94addr", "arrdate", "visatype"]
+    expected = cleaning.IMMIGRATION.apply(arrivals).select(columns)
+    assert rows(cleaning.IMMIGRATION.apply(loaded).select(columns)) == rows(expected)
+
+
 def test_visa_types_are_ranked_with_null_first(star):
     assert rows(star.visatype) == [("B1", 1), ("B2", 2), ("WT", 3), (None, 0)]
 

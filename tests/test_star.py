@@ -8,6 +8,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from starloom.__main__ import main
 from starloom.operators.quality import QualityError
 from starloom.plans import cleaning
 from starloom.plans.cleaning import Cleaning
@@ -78,7 +79,7 @@ CODES = """code,Name
 
 
 @pytest.fixture(scope="module")
-def star(spark, tmp_path_factory):
+def sources(spark, tmp_path_factory):
     folder = tmp_path_factory.mktemp("star")
     half = len(ARRIVALS) // 2
     for name, part in (("march", ARRIVALS[:half]), ("april", ARRIVALS[half:])):
@@ -89,13 +90,34 @@ def star(spark, tmp_path_factory):
     ):
         spark.createDataFrame(data, schema).write.options(header=True, sep=sep).csv(f"{folder}/{name}")
     (folder / "codes.csv").write_text(CODES)
-    sources = StarSources(
+    return StarSources(
         immigration=(f"{folder}/march", f"{folder}/april"),
         temperature=f"{folder}/temperature",
         demographics=f"{folder}/demographics",
         country_codes=f"{folder}/codes.csv",
     )
-    return build_star(spark, sources, f"{folder}/out", fail_on_empty=True)
+
+
+@pytest.fixture(scope="module")
+def star(spark, sources, tmp_path_factory):
+    return build_star(spark, sources, f"{tmp_path_factory.mktemp('out')}/star", fail_on_empty=True)
+
+
+def test_command_line_builds_the_same_star(spark, star, sources, tmp_path, capsys):
+    main(
+        [
+            *("--immigration", *sources.immigration),
+            *("--temperature", sources.temperature),
+            *("--demographics", sources.demographics),
+            *("--country-codes", sources.country_codes),
+            *("--output", f"{tmp_path}/star/"),
+            "--fail-on-empty",
+        ]
+    )
+    assert "immigration_calendar" in capsys.readouterr().out
+    for name, table in star.tables().items():
+        again = spark.read.parquet(f"{tmp_path}/star/{name}").select(table.columns)
+        assert rows(again) == rows(table)
 
 
 @pytest.mark.parametrize("fmt", ["csv", "json"])

@@ -67,10 +67,10 @@ def lookup_join_broadcast(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_LINE_PARTS)
 def lookup_join_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _line_parts(spark, sf_dir, broadcast_bytes=0)
+    return _line_parts(spark, sf_dir, broadcast_bytes=8000, hot_share=0.0005)
 
 
-def _line_parts(spark: SparkSession, sf_dir: str, **options: int) -> DataFrame:
+def _line_parts(spark: SparkSession, sf_dir: str, **options: float) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select(
         "l_linenumber",
         "l_shipdate",

@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
-from operator import add, and_, or_
+from operator import add, and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,9 +17,9 @@ from starloom.scratch import materialise
 
 # A lookup up to this size, measured before the join, is sent to every executor.
 BROADCAST_BYTES = 64 * 1024 * 1024
-# A key with more than this share of the fact rows is hot; there can be at most
+# A key with more than this share of the fact rows is hot; there are fewer than
 # 1 / HOT_SHARE of them.
-HOT_SHARE = 0.001
+HOT_SHARE = 0.00001
 
 
 @dataclass(frozen=True)
@@ -31,7 +31,7 @@ class LookupSize:
 def measure_lookup(lookup: DataFrame, keys: Iterable[str] = ()) -> LookupSize:
     """The lookup's estimated bytes, and the most rows any non-NULL key has."""
     keys = list(keys)
-    size = F.sum(reduce(add, [_cell_bytes(f) for f in lookup.schema.fields]))
+    size = F.sum(_row_bytes(lookup))
     if not keys:
         return LookupSize(lookup.agg(size).first()[0] or 0, None)
     known = reduce(and_, [col(k).isNotNull() for k in keys])
@@ -42,6 +42,10 @@ def measure_lookup(lookup: DataFrame, keys: Iterable[str] = ()) -> LookupSize:
     return LookupSize(total[0] or 0, total[1] or 0)
 
 
+def _row_bytes(df: DataFrame) -> Column:
+    return reduce(add, [_cell_bytes(f) for f in df.schema.fields])
+
+
 def _cell_bytes(field: T.StructField) -> Column:
     """16 bytes for a fixed-width cell, 16 and its text length for any other."""
     fixed = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
@@ -70,8 +74,8 @@ def lookup_join(
 
     A lookup measured below ``broadcast_bytes`` is broadcast. A larger one is
     shuffle-joined, except for the fact rows no shuffle could spread: those of
-    hot keys meet a broadcast of just those keys' lookup rows, and those
-    without a key meet nothing.
+    hot keys meet a broadcast of just those keys' lookup rows, hottest first up
+    to ``broadcast_bytes``, and those without a key meet nothing.
 
     Measuring reads the lookup once, and the larger path reads both sides more
     than once: pass written tables, not long plans.
@@ -93,7 +97,7 @@ def lookup_join(
     )
     if size.bytes <= broadcast_bytes:
         return _left_join(fact, F.broadcast(right), list(pairs))
-    return _left_join_large(fact, right, list(pairs), hot_share)
+    return _left_join_large(fact, right, list(pairs), broadcast_bytes, hot_share)
 
 
 def _left_join(fact: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
@@ -103,27 +107,41 @@ def _left_join(fact: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _left_join_large(
-    fact: DataFrame, right: DataFrame, keys: list[str], hot_share: float
+    fact: DataFrame, right: DataFrame, keys: list[str], broadcast_bytes: int, hot_share: float
 ) -> DataFrame:
     names = [f"_key{i}" for i in range(len(keys))]
     known = reduce(and_, [col(k).isNotNull() for k in keys])
-    counts = (
-        fact.where(known)
-        .groupBy(*[col(k).alias(n) for k, n in zip(keys, names)])
-        .agg(F.count(F.lit(1)).alias("_rows"))
-    )
-    hot = materialise(
-        counts.where(F.col("_rows") > fact.count() * hot_share).select(
-            *names, F.lit(True).alias("_hot")
-        ),
-        "hot",
+    hot, hot_right = _hot_keys(
+        fact.where(known).select(*[col(k).alias(n) for k, n in zip(keys, names)]),
+        right,
+        names,
+        fact.count() * hot_share,
+        broadcast_bytes,
     )
-    hot_right = right.join(F.broadcast(hot.drop("_hot")), names, "left_semi")
-
-    marked = _left_join(fact, F.broadcast(hot), keys)
-    unknown = reduce(or_, [col(k).isNull() for k in keys])
-    local = marked.where(F.col("_hot").isNotNull() | unknown).drop("_hot")
+    marked = _left_join(fact, F.broadcast(hot.withColumn("_hot", F.lit(True))), keys)
+    local = marked.where(F.col("_hot").isNotNull() | ~known).drop("_hot")
     spread = marked.where(F.col("_hot").isNull() & known).drop("_hot")
     return _left_join(local, F.broadcast(hot_right), keys).unionByName(
         _left_join(spread, right, keys)
     )
+
+
+def _hot_keys(
+    used: DataFrame, right: DataFrame, names: list[str], rows: float, broadcast_bytes: int
+) -> tuple[DataFrame, DataFrame]:
+    """Keys used by more than ``rows`` rows, and their lookup rows.
+
+    Keys whose lookup row no longer fits into ``broadcast_bytes`` are left out.
+    """
+    counts = used.groupBy(*names).agg(F.count(F.lit(1)).alias("_rows"))
+    frequent = materialise(counts.where(F.col("_rows") > rows), "frequent-keys")
+    hottest_first = Window.orderBy(F.desc("_rows"), *names)
+    sizes = materialise(
+        right.select(*names, _row_bytes(right).alias("_bytes"))
+        .join(F.broadcast(frequent), names)
+        .select(*names, (F.sum("_bytes").over(hottest_first) <= broadcast_bytes).alias("_fits")),
+        "frequent-sizes",
+    )
+    fitting, rest = (sizes.where(c).select(*names) for c in ("_fits", "not _fits"))
+    hot = frequent.select(*names).join(F.broadcast(rest), names, "left_anti")
+    return hot, right.join(F.broadcast(fitting), names, "left_semi")

@@ -172,4 +172,5 @@ def at_once(*steps: Callable[[], Any]) -> list[Any]:
 def _in_session(step: Callable[[], Any]) -> Callable[[], Any]:
     """Carry the caller's job group and local properties into the step's thread."""
     session = SparkSession.getActiveSession()
-    return inheritable_thread_target(session)(step) if session else step
+    inherit = inheritable_thread_target(session) if session else None
+    return inherit(step) if callable(inherit) else step

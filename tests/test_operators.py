@@ -33,6 +33,7 @@ from starloom.operators import (
     with_missing_count,
     with_surrogate_key,
 )
+from starloom.operators.joins import _hot_keys
 from starloom.operators.quality import QualityError
 
 
@@ -186,16 +187,38 @@ def test_lookup_join_refuses_or_reduces_duplicates(spark):
     assert rows(lookup_join(fact, lookup.where("m is null"), "m")) == [("a", None)]
 
 
-@pytest.mark.parametrize("hot_share", [0.001, 0.05, 1.0])
-def test_lookup_join_large_equals_plain_join(skewed, hot_share):
+@pytest.mark.parametrize(
+    ("hot_share", "broadcast_bytes"),
+    [(0.05, 2000), (0.0005, 20000), (0.0, 20000), (0.0, 0), (1.0, 20000)],
+)
+def test_lookup_join_large_equals_plain_join(skewed, hot_share, broadcast_bytes):
     fact, lookup = skewed
     plain = fact.join(lookup, ["a", "b"], "left").select("id", "a", "b", "text")
-    large = lookup_join(fact, lookup, ["a", "b"], broadcast_bytes=0, hot_share=hot_share)
+    large = lookup_join(
+        fact, lookup, ["a", "b"], broadcast_bytes=broadcast_bytes, hot_share=hot_share
+    )
     assert large.columns == ["id", "a", "b", "text"]
     assert rows(large) == rows(plain)
     assert rows(lookup_join(fact, lookup, ["a", "b"])) == rows(plain)
 
 
+def test_hot_keys_are_the_hottest_that_fit(spark):
+    used = spark.range(1000).select(
+        F.when(F.col("id") % 2 == 0, 1).when(F.col("id") % 3 == 0, 2).otherwise(F.col("id") % 5 + 3).alias("_key0")
+    )
+    right = spark.createDataFrame([(1, "x" * 968), (2, "y" * 968), (5, "z")], "_key0 int, text string")
+    for limit, keys, found in (
+        (999, {3, 4, 6, 7}, set()),
+        (1000, {1, 3, 4, 6, 7}, {1}),
+        (3000, {1, 2, 3, 4, 5, 6, 7}, {1, 2, 5}),
+    ):
+        hot, hot_right = _hot_keys(used, right, ["_key0"], 20, limit)
+        assert {r[0] for r in hot.collect()} == keys
+        assert {r[0] for r in hot_right.collect()} == found
+    hot, hot_right = _hot_keys(used, right, ["_key0"], 400, 3000)
+    assert rows(hot) == [(1,)] and hot_right.count() == 1
+
+
 def test_lookup_join_broadcasts_by_measured_size(skewed, plan, setting):
     setting("spark.sql.autoBroadcastJoinThreshold", "-1")
     fact, lookup = skewed

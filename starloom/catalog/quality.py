@@ -5,7 +5,6 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from starloom.catalog.cleaning import GAPPY, gappy_lines
 from starloom.catalog.registry import query, table

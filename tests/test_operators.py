@@ -203,9 +203,8 @@ def test_lookup_join_large_equals_plain_join(skewed, hot_share, broadcast_bytes)
 
 
 def test_hot_keys_are_the_hottest_that_fit(spark):
-    used = spark.range(1000).select(
-        F.when(F.col("id") % 2 == 0, 1).when(F.col("id") % 3 == 0, 2).otherwise(F.col("id") % 5 + 3).alias("_key0")
-    )
+    key = F.when(F.col("id") % 2 == 0, 1).when(F.col("id") % 3 == 0, 2).otherwise(F.col("id") % 5 + 3)
+    used = spark.range(1000).select(key.alias("_key0"))
     right = spark.createDataFrame([(1, "x" * 968), (2, "y" * 968), (5, "z")], "_key0 int, text string")
     for limit, keys, found in (
         (999, {3, 4, 6, 7}, set()),

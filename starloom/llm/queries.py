@@ -3,10 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
-
-from starloom.llm import token_counts, url_filters
+from pyspark.sql import functions as F
+
+from starloom.llm import (
+    decontamination,
+    near_dedup,
+    packing,
+    quality_rules,
+    token_counts,
+    toxicity,
+    url_filters,
+    warc,
+)
+from starloom.scratch import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -63,3 +75,67 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM par
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = token_counts.load_pieces(_tokenizer("piece_bpe_32k.model"))
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"), pieces)
+
+
+@_query
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    rules = quality_rules.learn_rules(docs, _table(spark, sf_dir, "labels"))
+    return quality_rules.judge_quality(quality_rules.text_statistics(docs), rules)
+
+
+@_query
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes and reads back an archive; a page's capture time is derived from its id."""
+    path = scratch_path(spark, "warc")
+    captured = F.timestamp_seconds(F.lit(1_704_067_200) + F.coalesce("page_id", F.lit(0)))
+    warc.write_archive(_table(spark, sf_dir, "pages"), path, captured=captured)
+    index = warc.index_captures(warc.read_archive(spark, path))
+    return index.select(
+        F.expr("try_cast(record_id AS bigint)").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"),
+    )
+
+
+ORACLE["op7_warc"] = """
+WITH hashed AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages),
+coded AS (
+  SELECT page_id, payload_bytes, array_to_string(list_transform(range(32), lambda i:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      1 + CAST((CAST('0x' || substr(hex, CAST(10 * (i // 8) + 1 AS INT), 10) AS BIGINT)
+        >> CAST(35 - 5 * (i % 8) AS BIGINT)) & 31 AS INT), 1)), '') AS payload_digest FROM hashed),
+grouped AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS newest FROM coded)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN page_id = newest THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> newest THEN newest END AS refers_to FROM grouped
+"""
+
+
+@_query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    held_out = toxicity.fold("doc_id", 4) == 2
+    model = toxicity.learn_toxicity(docs, labels.where(~held_out))
+    return model.score(docs).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
+@_query
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = Path(_tokenizer("word_bpe_49k.json")).read_text()
+    return packing.pack(packing.tokenize(_table(spark, sf_dir, "documents"), tokenizer))
+
+
+@_query
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+@_query
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))

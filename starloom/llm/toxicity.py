@@ -8,7 +8,8 @@ class and how far voters agree beyond their class; correlated voters share their
 weight. A linear classifier over word features is then trained on the posterior
 labels and scores every document.
 
-The lexicon and the features come from a bounded sample of labelled rows
+A beginning also counts with the number of
+different words that share it. The lexicon and the features come from a bounded sample of labelled rows
 (``max_labelled``, by a hash of the id). Labels of other rows are not read.
 
 Defined results: a null or empty text has no features and gets the classifier's
@@ -34,11 +35,17 @@ from starloom.scratch import materialise
 #: Labelled rows learned from; features of the classifier; lexicon voters.
 MAX_LABELLED = 16_000
 MAX_FEATURES = 4_096
-LEXICON = 64
+LEXICON = 192
 MIN_DOCUMENTS = 4
-BEGINNINGS = (4, 5)
+#: Evidence for a feature; share of toxic documents among those with a lexicon entry;
+#: correlation within the classes above which two voters depend on each other.
+LEAST_Z = 3.0
+PRECISION = 0.93
+DEPENDENT = 0.5
+BEGINNINGS = (4, 5, 6, 7)
 PATTERNS = ("none", "several", "shouting", "exclaiming")
 _PUNCTUATION = bytes.maketrans(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~", b" " * 32)
+_CAPITALS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _REMEMBERED = 300_000
 
 
@@ -51,27 +58,36 @@ def words_of(text: bytes) -> set[bytes]:
     return set(text.decode("utf-8", "replace").lower().encode().translate(_PUNCTUATION).split())
 
 
-def features_of(word: bytes) -> list[str]:
+def parts_of(word: bytes) -> list[str]:
     """The word and its beginnings (``xxxx-``)."""
     letters = word.decode("utf-8", "replace")
     return [letters, *(f"{letters[:n]}-" for n in BEGINNINGS if len(letters) > n)]
 
 
+def features_of(text: bytes) -> list[str]:
+    """Words and beginnings; a beginning of several words also with their number (up to 4)."""
+    counts = Counter(part for word in words_of(text) for part in parts_of(word))
+    return [*counts, *(f"{part}{n}" for part, k in counts.items() for n in range(2, min(k, 4) + 1))]
+
+
 class FeatureIds(dict):
-    """Known feature ids of a word, remembered."""
+    """The parts of a word that belong to known features, remembered."""
 
     def __init__(self, ids: dict[str, int]) -> None:
         super().__init__()
         self.ids = ids
+        self.parts = {f.rstrip("234") if f.rstrip("234").endswith("-") else f for f in ids}
 
-    def __missing__(self, word: bytes) -> tuple[int, ...]:
+    def __missing__(self, word: bytes) -> tuple[str, ...]:
         if len(self) >= _REMEMBERED:
             self.clear()
-        found = self[word] = tuple(self.ids[f] for f in features_of(word) if f in self.ids)
+        found = self[word] = tuple(part for part in parts_of(word) if part in self.parts)
         return found
 
     def of(self, text: bytes) -> list[int]:
-        return sorted({i for word in words_of(text) for i in self[word]})
+        counts = Counter(part for word in words_of(text) for part in self[word])
+        named = [*counts, *(f"{part}{n}" for part, k in counts.items() for n in range(2, min(k, 4) + 1))]
+        return sorted({self.ids[f] for f in named if f in self.ids})
 
 
 @dataclass(frozen=True)
@@ -128,13 +144,13 @@ def learn_toxicity(
     spread = F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
     z = F.log(share("toxic", toxic) / share("clean", clean)) / spread
     ranked = counts.where(F.col("clean") + F.col("toxic") >= MIN_DOCUMENTS).withColumn("z", z)
-    rows = ranked.orderBy(F.abs("z").desc(), "feature").limit(max_features).collect()
+    rows = ranked.where(F.col("z") >= LEAST_Z).orderBy(F.desc("z"), "feature").limit(max_features).collect()
     ids = {row.feature: i for i, row in enumerate(rows)}
-    lexicon = [i for i, row in enumerate(rows) if row.z > 0 and row.toxic > row.clean][:LEXICON]
+    lexicon = [i for i, row in enumerate(rows) if row.toxic >= PRECISION * (row.toxic + row.clean)][:LEXICON]
 
     seen = sample.select("id", "text").mapInArrow(_look(ids, lexicon), "id string, features array<int>, votes array<int>")
     seen = sorted(seen.collect(), key=lambda row: row.id)
-    posterior = label_model(np.array([row.votes for row in seen], np.int8))
+    posterior = label_model(np.array([row.votes for row in seen], np.int8), toxic / (toxic + clean))
     weights, bias = train([row.features for row in seen], posterior, len(ids))
     return ToxicityModel(ids, weights, bias)
 
@@ -143,7 +159,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         counts: tuple[Counter, Counter] = (Counter(), Counter())
         for label, text in zip(batch.column(0).to_pylist(), texts(batch, 1), strict=True):
-            counts[label > 0].update({f for word in words_of(text) for f in features_of(word)})
+            counts[label > 0].update(features_of(text))
         features = list(counts[0].keys() | counts[1].keys())
         arrays = [pa.array([c[f] for f in features], pa.int64()) for c in counts]
         yield pa.RecordBatch.from_arrays([pa.array(features, pa.string()), *arrays], names=["f", "clean", "toxic"])
@@ -163,7 +179,7 @@ def _look(ids: dict[str, int], lexicon: list[int]):
                 vote = [0] * len(lexicon)
                 for k in hits:
                     vote[k] = 1
-                upper = sum(text.count(c) for c in b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"[::2])
+                upper = len(text) - len(text.translate(None, _CAPITALS))
                 vote += [0 if hits else -1, int(len(hits) > 2), int(upper > 0.2 * len(text)), int(text.count(b"!!") > 2)]
                 features.append(own)
                 votes.append(vote)
@@ -180,13 +196,16 @@ def _logistic(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -35, 35)))
 
 
-def label_model(votes: np.ndarray, rounds: int = 25) -> np.ndarray:
+def label_model(votes: np.ndarray, balance: float, rounds: int = 25) -> np.ndarray:
     """Posterior of class 1 from votes by expectation maximisation.
 
-    Each voter has a propensity to vote either way on either class. A voter's
-    weight is divided by one plus its positive correlations with other voters
-    within the classes, so voters that repeat each other do not add up.
+    Each voter has a propensity to vote either way on either class; ``balance`` is
+    the known share of class 1. A voter's weight is divided by one plus its
+    correlations, within the classes, with the voters that depend on it, so voters
+    that repeat each other do not add up. Voters are taken to be better than chance.
     """
+    side = np.sign(votes.sum(0))
+    alike = np.equal.outer(side, side)
     up, down = (votes == 1).astype(float), (votes == -1).astype(float)
     posterior = _logistic(2.0 * up.sum(1) - 4.0 * down.sum(1))
     for _ in range(rounds):
@@ -201,16 +220,16 @@ def label_model(votes: np.ndarray, rounds: int = 25) -> np.ndarray:
         scale = np.sqrt((rest**2).mean(0)) + 1e-9
         correlation = (rest.T @ rest) / len(rest) / np.outer(scale, scale)
         np.fill_diagonal(correlation, 0)
-        share = 1 / (1 + np.clip(correlation, 0, None).sum(1))
-        odds = np.log(mass[1] / mass[0])
-        odds = odds + up @ (share * np.log(rates["up"][1] / rates["up"][0]))
-        odds = odds + down @ (share * np.log(rates["down"][1] / rates["down"][0]))
+        share = 1 / (1 + np.where(alike & (correlation > DEPENDENT), correlation, 0).sum(1))
+        odds = np.log(balance / (1 - balance))
+        odds = odds + up @ (share * np.log(np.maximum(rates["up"][1] / rates["up"][0], 1.0)))
+        odds = odds + down @ (share * np.log(np.minimum(rates["down"][1] / rates["down"][0], 1.0)))
         posterior = _logistic(odds)
     return posterior
 
 
 def train(
-    rows: list[list[int]], target: np.ndarray, size: int, *, rounds: int = 300, sparsity: float = 2e-4
+    rows: list[list[int]], target: np.ndarray, size: int, *, rounds: int = 300, sparsity: float = 5e-5
 ) -> tuple[np.ndarray, float]:
     """Logistic regression on soft labels with an L1 penalty, by accelerated proximal steps."""
     lengths = np.array([len(row) for row in rows])

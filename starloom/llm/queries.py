@@ -13,6 +13,7 @@ from starloom.llm import (
     near_dedup,
     packing,
     quality_rules,
+    substring_dedup,
     token_counts,
     toxicity,
     url_filters,
@@ -139,3 +140,8 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"))

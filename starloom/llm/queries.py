@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from starloom.llm import (
     decontamination,
+    gated_lm,
     near_dedup,
     packing,
     quality_rules,
@@ -145,3 +146,11 @@ def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = toxicity.fold("doc_id", 10) == 0
+    scores = gated_lm.score_texts(docs, docs.where(~held_out))
+    return scores.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")

@@ -174,6 +174,16 @@ class ItemIndex:
         return places
 
 
+def _passes(benchmark: DataFrame, item_column: str, text_column: str, pass_bytes: int) -> Iterator[list[tuple]]:
+    """The items, collected in parts of about ``pass_bytes`` of text at most."""
+    items = benchmark.select(F.col(item_column).alias("item"), F.col(text_column).alias("text"))
+    total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    passes = -(-total // pass_bytes) or 1
+    for number in range(passes):
+        own = items.where(F.pmod(F.xxhash64("text"), F.lit(passes)) == number) if passes > 1 else items
+        yield sorted(((r.item, r.text) for r in own.collect()), key=str)
+
+
 def find_contamination(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -194,14 +204,9 @@ def find_contamination(
     id_type = docs.schema[id_column].dataType.simpleString()
     item_type = benchmark.schema[item_column].dataType.simpleString()
     item_kind = to_arrow_type(benchmark.schema[item_column].dataType)
-    items = benchmark.select(F.col(item_column).alias("item"), F.col(item_text_column).alias("text"))
-    total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    passes = -(-total // pass_bytes) or 1
     schema = f"{id_column} {id_type}, {item_column} {item_type}, start long, n_words long, similarity double"
     result = None
-    for number in range(passes):
-        own = items.where(F.pmod(F.xxhash64("text"), F.lit(passes)) == number) if passes > 1 else items
-        rows = sorted(((r.item, r.text) for r in own.collect()), key=str)
+    for rows in _passes(benchmark, item_column, item_text_column, pass_bytes):
         given = docs.sparkSession.sparkContext.broadcast(rows)
         found = docs.select(id_column, text_column).mapInArrow(_search(given, item_kind, threshold, radius), schema)
         result = found if result is None else result.unionByName(found)
@@ -232,7 +237,29 @@ def _search(given, item_kind: pa.DataType, threshold: float, radius: int):
     return search
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, id_column: str = "doc_id", **settings) -> DataFrame:
-    """``docs`` without the documents that hold a benchmark item."""
-    found = find_contamination(docs, benchmark, id_column=id_column, **settings)
-    return docs.join(found.select(id_column).distinct(), id_column, "left_anti")
+def drop_contaminated(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    *,
+    threshold: float = THRESHOLD,
+    radius: int = RADIUS,
+    pass_bytes: int = PASS_BYTES,
+    text_column: str = "text",
+    item_column: str = "item_id",
+    item_text_column: str = "text",
+) -> DataFrame:
+    """The rows of ``docs`` whose text holds no benchmark item, with all their columns."""
+    column = docs.columns.index(text_column)
+    for rows in _passes(benchmark, item_column, item_text_column, pass_bytes):
+        given = docs.sparkSession.sparkContext.broadcast(rows)
+        docs = docs.mapInArrow(_clean(given, column, threshold, radius), docs.schema)
+    return docs
+
+
+def _clean(given, column: int, threshold: float, radius: int):
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = ItemIndex(given.value, radius)
+        for batch in batches:
+            yield batch.filter(pa.array([not index.matches(t, threshold) for t in texts(batch, column)], pa.bool_()))
+
+    return keep

@@ -279,3 +279,11 @@ def _merged(found: DataFrame, links: DataFrame) -> DataFrame:
     nodes = group.unionByName(ends.join(group, "node", "left_anti").select("node", F.col("node").alias("component")))
     moved = nodes.join(joined, "component", "left")
     return materialise(moved.select("node", F.coalesce("joined", "component").alias("component")), "minhash-components")
+
+
+def keep_one_each(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """One row of each near-duplicate group, with all its columns; rows without an id all stay."""
+    groups = near_duplicates(docs, id_column=id_column, text_column=text_column)
+    kept = groups.where(F.col("kept") & F.col(id_column).isNotNull()).select(id_column).distinct()
+    named = docs.join(kept, id_column, "left_semi").dropDuplicates([id_column])
+    return named.unionByName(docs.where(F.col(id_column).isNull()))

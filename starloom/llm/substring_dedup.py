@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starloom.llm.words import WordHashes, Windows, mix, texts
 from starloom.scratch import materialise
@@ -287,10 +288,10 @@ def _group(table: pa.Table) -> pa.Table:
     )
 
 
-def _removal(size: int, id_column: str, with_text: bool):
+def _removal(size: int, names: list[str] | None, id_column: str, text_column: str):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         copies, data = _control(right)
-        out = {n: [] for n in ("id", "n_words", "n_removed", "kept_sha256", "text")}
+        out = {n: [] for n in ("row", "n_words", "n_removed", "kept_sha256", "text")}
         if left.num_rows:
             chunk = _Chunk(left, copies, size)
             sent = np.frombuffer(b"".join(data.get(0, [])), [("h", "<u8"), ("g", "<u4")])
@@ -306,7 +307,6 @@ def _removal(size: int, id_column: str, with_text: bool):
                 hit = order[~begins]
                 later[hit[hit >= len(sent)] - len(sent)] = True
             spans = {d: np.flatnonzero(later[starts[k] : starts[k + 1]]) for k, d in enumerate(docs)}
-            ids = left.column("id")
             for d, words in enumerate(chunk.words):
                 gone = np.zeros(len(words) + 1, np.int32)
                 if chunk.copy[d] and len(words) >= size:
@@ -317,22 +317,25 @@ def _removal(size: int, id_column: str, with_text: bool):
                 lost = np.cumsum(gone[:-1]) > 0
                 n = int(lost.sum())
                 kept = b" ".join([w for w, x in zip(words, lost.tolist(), strict=True) if not x] if n else words)
-                out["id"].append(ids[chunk.rows[d]].as_py())
+                out["row"].append(chunk.rows[d])
                 out["n_words"].append(len(words))
                 out["n_removed"].append(n)
                 out["kept_sha256"].append(hashlib.sha256(kept).hexdigest())
-                # An untouched text keeps its white space.
-                original = left.column("text")[chunk.rows[d]].as_py() if with_text and not n else None
-                out["text"].append((kept.decode() if n else original) if with_text else None)
-        columns = {
-            id_column: pa.array(out["id"], left.schema.field("id").type),
-            "n_words": pa.array(out["n_words"], pa.int64()),
-            "n_removed": pa.array(out["n_removed"], pa.int64()),
-            "kept_sha256": pa.array(out["kept_sha256"], pa.string()),
-        }
-        if with_text:
-            columns["text"] = pa.array(out["text"], pa.string())
-        return pa.table(columns)
+                if names is not None:
+                    # An untouched text keeps its white space.
+                    out["text"].append(kept.decode() if n else left.column("text")[chunk.rows[d]].as_py())
+        rest = left.column("rest").take(pa.array(out["row"], pa.int64())).combine_chunks()
+        if names is None:
+            return pa.table(
+                {
+                    id_column: rest.field(0),
+                    "n_words": pa.array(out["n_words"], pa.int64()),
+                    "n_removed": pa.array(out["n_removed"], pa.int64()),
+                    "kept_sha256": pa.array(out["kept_sha256"], pa.string()),
+                }
+            )
+        columns = {name: rest.field(i) for i, name in enumerate(n for n in names if n != text_column)}
+        return pa.table({n: pa.array(out["text"], pa.string()) if n == text_column else columns[n] for n in names})
 
     return run
 
@@ -343,25 +346,26 @@ def remove_repeats(
     size: int = SIZE,
     id_column: str = "doc_id",
     text_column: str = "text",
-    with_text: bool = False,
+    rows: bool = False,
     chunk_bytes: int = CHUNK_BYTES,
     shard_bits: int = SHARD_BITS,
     group_windows: int = GROUP_WINDOWS,
 ) -> DataFrame:
-    """One row per row of ``docs``: id, n_words, n_removed, kept_sha256 (and kept text).
+    """One row per row of ``docs``: id, n_words, n_removed, kept_sha256.
 
-    The id must be an integer column. With ``with_text`` the kept text follows, words
-    joined by one space; a text that loses nothing is returned as it was.
+    The id must be an integer column. With ``rows`` the result is the rows of ``docs``
+    themselves with what is kept of their texts, words joined by one space; a text
+    that loses nothing is returned as it was, and one that loses all is empty.
     """
     spark = docs.sparkSession
     id_type = docs.schema[id_column].dataType.simpleString()
     named = docs.select(
         F.monotonically_increasing_id().alias("rid"),
         F.coalesce(F.col(id_column).cast("long"), F.lit(_LAST)).alias("ord"),
-        F.col(id_column).alias("id"),
+        F.struct(*([c for c in docs.columns if c != text_column] if rows else [id_column])).alias("rest"),
         F.col(text_column).alias("text"),
     )
-    schema = f"chunk long, rid long, ord long, id {id_type}, text string"
+    schema = T.StructType([T.StructField("chunk", T.LongType()), *named.schema.fields])
     table = materialise(named.mapInArrow(_chunked(chunk_bytes), schema), "substring-chunks")
 
     keys = table.select("chunk", "rid", "ord", F.md5(F.col("text").cast("binary")).alias("same")).where(F.length("text") > 0)
@@ -385,9 +389,8 @@ def remove_repeats(
         "part long, chunk long, h binary, g binary, ord binary, rid binary, at binary",
     )
     later = materialise(found.groupBy("part").applyInArrow(_group, answer), "substring-later")
-    columns = f"{id_column} {id_type}, n_words long, n_removed long, kept_sha256 string"
-    if with_text:
-        columns += ", text string"
+    names = docs.columns if rows else None
+    columns = docs.schema if rows else f"{id_column} {id_type}, n_words long, n_removed long, kept_sha256 string"
     return table.groupBy("chunk").cogroup(later.unionByName(copies).groupBy("chunk")).applyInArrow(
-        _removal(size, id_column, with_text), columns
+        _removal(size, names, id_column, text_column), columns
     )

@@ -114,6 +114,21 @@ class ToxicityModel:
 
         return docs.select(id_column, text_column).mapInArrow(run, f"{id_column} {id_type}, score double")
 
+    def keep_clean(self, docs: DataFrame, threshold: float, *, text_column: str = "text") -> DataFrame:
+        """The rows of ``docs`` that score below ``threshold``, with all their columns."""
+        used = {f: i for f, i in self.ids.items() if self.weights[i]}
+        given = docs.sparkSession.sparkContext.broadcast((used, self.weights, self.bias))
+        column = docs.columns.index(text_column)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            ids, weights, bias = given.value
+            known = FeatureIds(ids)
+            for batch in batches:
+                sums = np.array([bias + weights[known.of(t)].sum() for t in texts(batch, column)], np.float64)
+                yield batch.filter(pa.array(_logistic(sums) < threshold))
+
+        return docs.mapInArrow(run, docs.schema)
+
 
 def learn_toxicity(
     docs: DataFrame,

@@ -388,7 +388,8 @@ def remove_repeats(
         _candidates(bits, shard_bits, size, parts),
         "part long, chunk long, h binary, g binary, ord binary, rid binary, at binary",
     )
-    later = materialise(found.groupBy("part").applyInArrow(_group, answer), "substring-later")
+    # Not written: in one plan both passes over the chunks share one shuffle of the texts.
+    later = found.groupBy("part").applyInArrow(_group, answer)
     names = docs.columns if rows else None
     columns = docs.schema if rows else f"{id_column} {id_type}, n_words long, n_removed long, kept_sha256 string"
     return table.groupBy("chunk").cogroup(later.unionByName(copies).groupBy("chunk")).applyInArrow(

@@ -82,19 +82,23 @@ class HammingIndex:
         for shift, width in blocks(radius):
             part = self._part(prints, shift, width)
             order = np.argsort(part, kind="stable")
-            starts = np.searchsorted(part[order], np.arange((1 << width) + 1))
-            self.tables.append((shift, width, order, starts))
+            dense = np.searchsorted(part[order], np.arange((1 << width) + 1)) if width <= 16 else None
+            self.tables.append((shift, width, order, part[order], dense))
 
     @staticmethod
     def _part(prints: np.ndarray, shift: int, width: int) -> np.ndarray:
-        return ((prints >> np.uint64(shift)) & np.uint64((1 << width) - 1)).astype(np.int64)
+        return ((prints >> np.uint64(shift)) & np.uint64((1 << width) - 1)).view(np.int64)
 
     def search(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(query, indexed fingerprint) of all pairs within the radius, each once."""
         found = []
-        for shift, width, order, starts in self.tables:
+        for shift, width, order, values, dense in self.tables:
             part = self._part(queries, shift, width)
-            first, count = starts[part], starts[part + 1] - starts[part]
+            if dense is not None:
+                first, last = dense[part], dense[part + 1]
+            else:
+                first, last = (np.searchsorted(values, part, side) for side in ("left", "right"))
+            count = last - first
             query = np.repeat(np.arange(len(queries)), count)
             step = np.arange(len(query)) - np.repeat(np.cumsum(count) - count, count)
             entry = order[first[query] + step]

@@ -1,0 +1,80 @@
+from __future__ import annotations
+
+import base64
+import hashlib
+import random
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from starloom.llm.warc import LoserTree, index_captures, read_archive, write_archive
+
+TRICKY = ["", "\r\n\r\n", "\r\n", "\r", "x\r\n", "\r\n\r\nWARC/1.1\r\n", "\n\r\n\r\n\r", "é" * 3, "\x00\r\n\r\n\x00", "a" * 300_000]
+
+
+def digest(text: str) -> str:
+    return base64.b32encode(hashlib.sha1(text.encode()).digest()).decode()
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 20)), max_size=9))
+def test_loser_tree_merges(runs):
+    runs = [sorted(run) for run in runs]
+    order = list(LoserTree(runs))
+    assert [runs[r][i] for r, i in order] == sorted(x for run in runs for x in run)
+    assert len(set(order)) == len(order)
+
+
+def archive(spark, tmp_path, rows, **settings_):
+    pages = spark.createDataFrame([(*r, "z", "q") for r in rows], "page_id long, url string, html string, digest string, id string")
+    path = str(tmp_path / "warc")
+    write_archive(pages, path, captured=F.timestamp_seconds(F.lit(1_700_000_000) + F.coalesce("page_id", F.lit(0)) % 7), **settings_)
+    return path
+
+
+def test_payloads_come_back_byte_by_byte(spark, tmp_path):
+    rows = [(i, f"http://a.b/{i}", text) for i, text in enumerate(TRICKY)] + [(90, None, None), (91, "a\r\nX: y", "é" * 3)]
+    got = {r.record_id: r for r in read_archive(spark, archive(spark, tmp_path, rows), payloads=True).collect()}
+    assert len(got) == len(rows)
+    for i, text in enumerate(TRICKY):
+        r = got[str(i)]
+        assert (r.payload_bytes, r.payload_digest) == (len(text.encode()), digest(text))
+        if r.record_type == "response":
+            assert r.payload == text.encode()
+    # Of equal payloads the largest id is the response.
+    assert (got["0"].record_type, got["0"].refers_to) == ("revisit", "90")
+    assert (got["7"].record_type, got["7"].refers_to) == ("revisit", "91")
+    assert got["7"].payload is None and got["91"].url == "a%0D%0AX: y"
+
+
+def test_repeated_rows_null_ids_and_short_payloads(spark, tmp_path):
+    rows = [(1, "u", "same"), (2, "u", "same"), (2, "u", "same"), (None, "u", "same"), (3, "u", ""), (4, "u", "")]
+    path = archive(spark, tmp_path, rows, min_bytes=1)
+    got = sorted((r.record_id, r.record_type, r.refers_to) for r in read_archive(spark, path).collect() if r.record_type)
+    assert got == sorted(
+        [("1", "revisit", "2"), ("2", "response", None), ("2", "response", None), ("", "response", None),
+         ("3", "response", None), ("4", "response", None)], key=lambda r: r[:2])
+
+
+def test_index_is_in_global_order_whatever_the_runs(spark, tmp_path):
+    own = random.Random(2)
+    rows = [(i, f"https://{own.choice(['b.a', 'a', 'c.a'])}/{own.randrange(5)}", str(i % 50)) for i in range(300)]
+    captures = read_archive(spark, archive(spark, tmp_path, rows))
+    for run_rows, range_rows in ((7, 40), (1000, 1000)):
+        index = index_captures(captures, run_rows=run_rows, range_rows=range_rows).collect()
+        index.sort(key=lambda r: (r.range, r.position))
+        keys = [(r.url_key, r.captured, r.record_id) for r in index]
+        assert keys == sorted(keys) and len(keys) == 300
+    assert index_captures(captures.limit(0)).count() == 0
+
+
+def test_damage_is_noticed(spark, tmp_path):
+    path = archive(spark, tmp_path, [(1, "u", "payload")])
+    text = spark.read.text(path, wholetext=True).first()[0]
+    for bad in (text.replace("payload", "PAYLOAD"), text[:-8]):
+        other = str(tmp_path / f"bad{len(bad)}{bad[-9:-8]}")
+        spark.createDataFrame([(bad,)], "v string").write.text(other)
+        with pytest.raises(Exception, match="digest|inside a record"):
+            read_archive(spark, other).collect()

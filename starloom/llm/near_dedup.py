@@ -8,11 +8,11 @@ classes that agree on all rows of a band share a bucket.
 1. In every bucket each class is paired with the smallest one. Pairs whose
    signatures agree well enough are verified on full sets, and links become
    components by alternating large-star and small-star.
-2. In buckets that still hold several components, the other pairs across
-   components are examined: first the best few of each class, then all that the
-   signatures allow. Components that meet stop producing pairs, so a large group of
-   near copies costs about as many verifications as it has members, and still no
-   pair that could join two components is left out.
+2. In buckets that still hold several components, all other pairs across
+   components are examined, block by block inside tasks: signatures first, which
+   mark the classes that have a partner, then the full sets of those. A pair is examined in
+   the first bucket it shares, the best first, and components that meet are
+   one from then on. Only links leave a task, never candidate pairs.
 
 Two sets at the threshold share a bucket with probability
 ``1 - (1 - 0.75**ROWS)**BANDS`` (more than 0.99999), and signatures reject
@@ -41,9 +41,8 @@ SHINGLE = 5
 BANDS, ROWS = 32, 4
 #: Matching minima of 128 below which a pair at 0.75 is out of the question (five deviations).
 LEAST_MATCHES = 72
-#: Members of a bucket compared in one block, and partners a class tries in early rounds.
-BLOCK = 2048
-FIRST_PARTNERS, EARLY_ROUNDS = 4, 2
+#: Members of a bucket compared in one block.
+BLOCK = 512
 _random = np.random.default_rng(20240607)
 _MULTIPLY = _random.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)[:, None] * np.uint64(2) + np.uint64(1)
 _ADD = _random.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)[:, None]
@@ -143,34 +142,67 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
 
 
-def _across(partners: int):
-    """Pairs across components in one block of a bucket (or between two), by signatures."""
-
-    def pair(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
-        node, group, size, block = (table.column(n).to_numpy() for n in ("id", "component", "n", "block"))
-        first, second = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-        signature = _matrix(table.column("signature").combine_chunks())
-        left, right = np.flatnonzero(block == first), np.flatnonzero(block == second)
-        out = []
-        for start in range(0, len(left), 32):
-            rows = left[start : start + 32]
-            score = np.stack([(signature[right] == signature[r]).sum(1) for r in rows])
-            fits = 100 * np.minimum(size[rows, None], size[right]) >= 75 * np.maximum(size[rows, None], size[right])
-            good = (score >= LEAST_MATCHES) & fits & (group[rows, None] != group[right])
-            if partners:
-                score = np.where(good, score, -1)
-                kth = np.sort(score, axis=1)[:, -min(partners, score.shape[1]), None]
-                good &= score >= np.maximum(kth, LEAST_MATCHES)
-                # Of equal scores only the first few.
-                good &= np.cumsum(good, axis=1) <= partners
-            a, b = np.nonzero(good)
-            out.append(np.stack([node[rows[a]], node[right[b]]]))
-        a, b = np.concatenate(out, axis=1) if out else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-        kind = table.schema.field("id").type
-        return pa.table({"a": pa.array(np.minimum(a, b), kind), "b": pa.array(np.maximum(a, b), kind)})
-
-    return pair
+class _Block:
+    """One block of a bucket, or two that face each other, with signatures."""
+
+    def __init__(self, table: pa.Table) -> None:
+        self.table = table = table.combine_chunks()
+        self.node, self.group, self.size, block = (table.column(n).to_numpy() for n in ("id", "component", "n", "block"))
+        self.signature = _matrix(table.column("signature").combine_chunks())
+        bands = table.column("bands").combine_chunks()
+        self.bands = bands.flatten().to_numpy().reshape(-1, BANDS)
+        self.bucket = table.column("bucket")[0].as_py()
+        self.left = np.flatnonzero(block == table.column("i")[0].as_py())
+        self.right = np.flatnonzero(block == table.column("j")[0].as_py())
+
+    def pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(row, row, matching minima) of pairs across components that may link and meet here first."""
+        right = self.right
+        for start in range(0, len(self.left), 32):
+            rows = self.left[start : start + 32]
+            score = np.stack([(self.signature[right] == self.signature[r]).sum(1) for r in rows])
+            fits = 100 * np.minimum(self.size[rows, None], self.size[right]) >= 75 * np.maximum(self.size[rows, None], self.size[right])
+            x, y = np.nonzero((score >= LEAST_MATCHES) & fits & (self.group[rows, None] != self.group[right]))
+            a, b = rows[x], right[y]
+            first = (self.bands[a] == self.bands[b]).argmax(axis=1)
+            here = self.bands[a, first] == self.bucket
+            yield a[here], b[here], score[x[here], y[here]]
+
+
+def _marked(table: pa.Table) -> pa.Table:
+    """The rows that have a partner to be examined, for this block."""
+    block = _Block(table)
+    marked = np.zeros(table.num_rows, bool)
+    for a, b, _ in block.pairs():
+        marked[a] = True
+        marked[b] = True
+    return block.table.filter(pa.array(marked))
+
+
+def _links(table: pa.Table) -> pa.Table:
+    """Links across components, verified on full sets, the most similar pairs first."""
+    block = _Block(table)
+    sets = [np.frombuffer(x.as_py(), np.uint64) for x in block.table.column("set")]
+    a, b, score = (np.concatenate(x) for x in zip(*block.pairs(), strict=True)) if len(block.left) else ([], [], [])
+    parent: dict[int, int] = {}
+
+    def find(g: int) -> int:
+        while (up := parent.get(g, g)) != g:
+            g = up
+        return g
+
+    out = []
+    for k in np.argsort(-np.asarray(score), kind="stable"):
+        x, y = find(int(block.group[a[k]])), find(int(block.group[b[k]]))
+        if x == y:
+            continue
+        own, other = sets[a[k]], sets[b[k]]
+        both = len(np.intersect1d(own, other, assume_unique=True))
+        if 100 * both >= 75 * (len(own) + len(other) - both):
+            parent[max(x, y)] = min(x, y)
+            out.append(sorted((int(block.node[a[k]]), int(block.node[b[k]]))))
+    kind = table.schema.field("id").type
+    return pa.table({"a": pa.array([x for x, _ in out], kind), "b": pa.array([y for _, y in out], kind)})
 
 
 def near_duplicates(
@@ -199,25 +231,14 @@ def near_duplicates(
 
     signatures = classes.select("id", "n", "signature")
     pairs = buckets.where(F.col("lead") != F.col("id")).select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
-    tested = materialise(_signature_check(pairs, signatures, kind), "minhash-pairs")
-    links = _verified(tested, named, kind)
+    links = _verified(_signature_check(pairs, signatures, kind), named, kind)
     # Rows that share an id are one node, whatever class they are in.
     same = members.where(F.col("id") != F.col("rep")).select(F.col("rep").alias("u"), F.col("id").alias("v")).distinct()
     found = connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(same))
     found = materialise(found, "minhash-components")
-
-    for round_ in range(EARLY_ROUNDS + 1):
-        partners = FIRST_PARTNERS if round_ < EARLY_ROUNDS else 0
-        pairs = _cross_pairs(buckets, found, signatures, partners, kind)
-        fresh = materialise(pairs.join(tested, ["a", "b"], "left_anti"), "minhash-pairs")
-        if fresh.isEmpty():
-            if partners:
-                continue
-            break
-        tested = tested.unionByName(fresh)
-        links = materialise(_verified(fresh, named, kind), "minhash-links")
-        if not links.isEmpty():
-            found = _merged(found, links)
+    links = materialise(_cross_links(buckets, found, classes, named, kind), "minhash-links")
+    if not links.isEmpty():
+        found = _merged(found, links)
 
     named_ = found.select(F.col("node").alias("id"), F.col("component").alias("component_id"))
     result = signed.select("id", "n").join(named_, "id", "left")
@@ -238,17 +259,24 @@ def _signature_check(pairs: DataFrame, signatures: DataFrame, kind: str) -> Data
     return joined.select("a", "b", "n_a", "n_b", "s_a", "s_b").mapInArrow(_matching, f"a {kind}, b {kind}").distinct()
 
 
+def _read_sets(ids: DataFrame, named: DataFrame, kind: str) -> DataFrame:
+    """(id, set) of the given ids; only their texts are read again."""
+    sets = named.join(ids, "id", "left_semi").mapInArrow(_sets, f"id {kind}, set binary")
+    return materialise(sets, "minhash-sets")
+
+
 def _verified(pairs: DataFrame, named: DataFrame, kind: str) -> DataFrame:
-    """The pairs whose full sets reach the threshold; only texts of paired documents are read again."""
-    involved = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = materialise(named.join(involved, "id", "left_semi").mapInArrow(_sets, f"id {kind}, set binary"), "minhash-sets")
+    """The pairs whose full sets reach the threshold."""
+    pairs = materialise(pairs, "minhash-pairs")
+    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+    sets = _read_sets(ids, named, kind)
     side = lambda x: sets.select(F.col("id").alias(x), F.col("set").alias(f"set_{x}"))
     joined = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "set_a", "set_b")
     return joined.mapInArrow(_verify, f"a {kind}, b {kind}").distinct()
 
 
-def _cross_pairs(buckets: DataFrame, found: DataFrame, signatures: DataFrame, partners: int, kind: str) -> DataFrame:
-    """Pairs of different components that share a bucket, with signatures that allow a link.
+def _cross_links(buckets: DataFrame, found: DataFrame, classes: DataFrame, named: DataFrame, kind: str) -> DataFrame:
+    """Links between members of different components that share a bucket.
 
     A bucket of many members is cut into blocks, and each pair of blocks is a task
     of its own. Pairs with the lead have been examined before.
@@ -261,11 +289,13 @@ def _cross_pairs(buckets: DataFrame, found: DataFrame, signatures: DataFrame, pa
     )
     mixed = mixed.where(F.col("low") < F.col("high")).select("bucket", F.ceil(F.col("members") / BLOCK).alias("blocks"))
     members = rest.join(mixed, "bucket").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    known = members.join(classes.select("id", "n", "signature", "bands"), "id")
     facing = F.explode(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int"))).alias("facing")
-    spread = members.select("bucket", "id", "component", "block", facing)
-    spread = spread.withColumn("i", F.least("block", "facing")).withColumn("j", F.greatest("block", "facing"))
-    known = spread.join(signatures, "id").select("bucket", "i", "j", "id", "component", "block", "n", "signature")
-    return known.groupBy("bucket", "i", "j").applyInArrow(_across(partners), f"a {kind}, b {kind}").distinct()
+    spread = known.select("bucket", "id", "component", "block", "n", "signature", "bands", facing)
+    spread = spread.withColumn("i", F.least("block", "facing")).withColumn("j", F.greatest("block", "facing")).drop("facing")
+    marked = materialise(spread.groupBy("bucket", "i", "j").applyInArrow(_marked, spread.schema), "minhash-marked")
+    sets = _read_sets(marked.select("id").distinct(), named, kind)
+    return marked.join(sets, "id").groupBy("bucket", "i", "j").applyInArrow(_links, f"a {kind}, b {kind}").distinct()
 
 
 def _merged(found: DataFrame, links: DataFrame) -> DataFrame:

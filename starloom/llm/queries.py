@@ -154,3 +154,10 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = toxicity.fold("doc_id", 10) == 0
     scores = gated_lm.score_texts(docs, docs.where(~held_out))
     return scores.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@_query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
-from starloom.plans.star import StarSources, build_star
+from starloom.plans.star import StarSources, build_star, cleaning_report
 
 
 def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
@@ -22,6 +22,7 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--country-codes", required=True, help="comma-separated code and name")
     parser.add_argument("--output", required=True)
     parser.add_argument("--fail-on-empty", action="store_true")
+    parser.add_argument("--report", action="store_true", help="show what cleaning removes first")
     return parser.parse_args(argv)
 
 
@@ -35,6 +36,8 @@ def main(argv: Sequence[str] | None = None) -> None:
         country_codes=args.country_codes,
         immigration_format=args.immigration_format,
     )
+    if args.report:
+        cleaning_report(spark, sources).show()
     build_star(spark, sources, args.output.rstrip("/"), args.fail_on_empty).quality().show()
 
 

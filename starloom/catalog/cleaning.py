@@ -13,6 +13,8 @@ from starloom.operators import (
     drop_empty_rows,
     drop_incomplete_rows,
     drop_sparse_columns,
+    missing_profile,
+    only_missing,
     peek,
     rename,
     sparse_rows,
@@ -152,19 +154,19 @@ def rename_and_derive(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("p_retailprice")
 
 
-@query(f"select * exclude (occup) from ({s.ARRIVALS})")
+@query(f"select * exclude (occup) from ({s.RAW_ARRIVALS}) where i94yr is not null")
 def clean_immigration(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaning.IMMIGRATION.apply(s.arrivals(spark, sf_dir))
+    return cleaning.IMMIGRATION.apply(s.raw_arrivals(spark, sf_dir))
 
 
 @query(
     f"""
-    select * exclude (occup) from ({s.ARRIVALS}) where cicid is not null
-    qualify row_number() over (partition by cicid order by arrdate) = 1
+    select * exclude (occup) from ({s.RAW_ARRIVALS}) where cicid is not null
+    qualify row_number() over (partition by cicid order by depdate) = 1
     """
 )
 def clean_immigration_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaning.IMMIGRATION_RECORDS.apply(s.arrivals(spark, sf_dir))
+    return cleaning.IMMIGRATION_RECORDS.apply(s.raw_arrivals(spark, sf_dir))
 
 
 @query(s.CLEAN_READINGS)
@@ -189,6 +191,52 @@ def _report(source: str, present: str, keys: str | None) -> str:
     """
 
 
+@query(_report(s.RAW_ARRIVALS, "i94yr is not null", None))
+def immigration_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleaning.IMMIGRATION.report(s.raw_arrivals(spark, sf_dir))
+
+
+@query(_report(s.RAW_ARRIVALS, "cicid is not null", "cicid"))
+def immigration_records_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleaning.IMMIGRATION_RECORDS.report(s.raw_arrivals(spark, sf_dir))
+
+
+def _lines_with_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    odd = F.when(F.col("l_returnflag") == "A", F.lit("NaN").cast("double"))
+    lines = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_discount", "l_tax")
+    return lines.withColumns(
+        {
+            "l_discount": odd.otherwise(F.col("l_discount")),
+            "l_tax": F.nullif(F.col("l_tax"), F.lit(0.0)),
+        }
+    )
+
+
+@query(
+    """
+    select 'l_discount' as column_name, count_if(l_returnflag = 'A') as missing,
+           round(100.0 * count_if(l_returnflag = 'A') / count(*), 6) as pct_missing from lineitem
+    union all
+    select 'l_tax', count_if(l_tax = 0.0), round(100.0 * count_if(l_tax = 0.0) / count(*), 6)
+    from lineitem
+    """
+)
+def missing_with_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    profile = only_missing(missing_profile(_lines_with_nan(spark, sf_dir)))
+    return profile.select("column_name", "missing", F.round("pct_missing", 6).alias("pct_missing"))
+
+
+@query(
+    """
+    select l_returnflag, count(*) as n from lineitem
+    where l_returnflag <> 'A' and l_tax <> 0.0 group by 1
+    """
+)
+def dropna_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = drop_incomplete_rows(_lines_with_nan(spark, sf_dir), ["l_discount", "l_tax"])
+    return kept.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(_report(GAPPY, "l_discount is not null", "l_orderkey, l_linenumber"))
 def cleaning_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     rule = Cleaning(required=("l_discount",), unique_by=("l_orderkey", "l_linenumber"))

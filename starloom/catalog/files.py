@@ -117,6 +117,70 @@ def months_with_new_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_many(spark, [early, late])
 
 
+@query(
+    """
+    select o_orderpriority, count(*) as n_rows, count_if(o_orderpriority = '1-URGENT') as n_malformed,
+           round(sum(case when o_orderpriority <> '1-URGENT' then o_totalprice end), 2) as total
+    from orders group by 1
+    """
+)
+def malformed_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    price = F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("1,200 or so"))
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        "o_orderpriority",
+        price.otherwise(F.col("o_totalprice").cast("string")).alias("o_totalprice"),
+    )
+    schema = "o_orderkey bigint, o_orderpriority string, o_totalprice double"
+    lines = read_csv(spark, _csv(orders, ";"), schema, sep=";", malformed="line")
+    return lines.groupBy("o_orderpriority").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count("line").alias("n_malformed"),
+        F.round(F.sum("o_totalprice"), 2).alias("total"),
+    )
+
+
+@query("select c_custkey, 'Å' || c_name as c_name from customer")
+def csv_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    named = table(spark, sf_dir, "customer").select(
+        "c_custkey", F.concat(F.lit("Å"), "c_name").alias("c_name")
+    )
+    path = scratch_path(spark, "csv")
+    named.write.options(header=True, encoding="ISO-8859-1").csv(path)
+    return read_csv(spark, path, named.schema, encoding="ISO-8859-1")
+
+
+@query(
+    """
+    select o_orderkey, o_totalprice,
+           case when o_orderdate >= timestamp '1998-01-01' then o_orderpriority end
+               as o_orderpriority
+    from orders
+    """
+)
+def csv_months_differ(spark: SparkSession, sf_dir: str) -> DataFrame:
+    is_late = F.col("o_orderdate") >= F.lit("1998-01-01").cast("timestamp_ntz")
+    orders = table(spark, sf_dir, "orders")
+    early = orders.where(~is_late).select("o_totalprice", "o_orderkey")
+    late = orders.where(is_late).select("o_orderkey", "o_orderpriority", "o_totalprice")
+    schema = "o_orderkey bigint, o_totalprice double, o_orderpriority string"
+    return read_many(spark, [_csv(early, ","), _csv(late, ",")], "csv", schema)
+
+
+@query(
+    """
+    select 2 as n_columns, count(*) as n_rows from orders
+    union all select 3, count(*) from customer
+    """
+)
+def inventory_mixed_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "mixed")
+    table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice").write.parquet(path)
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
+    customer.write.mode("append").parquet(path)
+    return file_inventory(spark, path).groupBy("n_columns").agg(F.sum("n_rows").alias("n_rows"))
+
+
 def _star(spark: SparkSession, sf_dir: str) -> Star:
     arrivals = scratch_path(spark, "arrivals")
     s.arrivals(spark, sf_dir).write.parquet(arrivals)

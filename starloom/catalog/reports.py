@@ -7,14 +7,15 @@ from pyspark.sql import functions as F
 
 from starloom.catalog import standins as s
 from starloom.catalog.registry import query
+from starloom.operators import rename
 from starloom.plans import cleaning
 from starloom.plans.dimensions import (
+    DEMOGRAPHICS_NAMES,
     calendar_dimension,
-    demographics_dimension,
     state_population,
     visa_type_dimension,
 )
-from starloom.plans.facts import immigration_fact
+from starloom.plans.facts import FACT_NAMES, fact_table, immigration_fact
 from starloom.plans.reports import (
     climate_bands,
     climate_correlation,
@@ -28,6 +29,11 @@ def _arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.IMMIGRATION.apply(s.arrivals(spark, sf_dir))
 
 
+def _fact(arrivals: DataFrame) -> DataFrame:
+    """The fact's renamed columns and dates; reports that need no visa types build no more."""
+    return fact_table(arrivals, {}, FACT_NAMES, "arrdate")
+
+
 @query(
     f"""
     select case when average_temperature is not null then
@@ -41,8 +47,7 @@ def _arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def climate_vs_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     arrivals = _arrivals(spark, sf_dir)
-    fact = immigration_fact(arrivals, visa_type_dimension(arrivals))
-    return climate_bands(fact, s.countries(spark, sf_dir, arrivals), (20.0, 25.0, 30.0))
+    return climate_bands(_fact(arrivals), s.countries(spark, sf_dir, arrivals), (20.0, 25.0, 30.0))
 
 
 @query(
@@ -55,8 +60,7 @@ def climate_vs_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def climate_arrivals_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
     arrivals = _arrivals(spark, sf_dir)
-    fact = immigration_fact(arrivals, visa_type_dimension(arrivals))
-    found = climate_correlation(fact, s.countries(spark, sf_dir, arrivals))
+    found = climate_correlation(_fact(arrivals), s.countries(spark, sf_dir, arrivals))
     return found.withColumn("correlation", F.round("correlation", 6))
 
 
@@ -70,9 +74,8 @@ def climate_arrivals_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 )
 def population_vs_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    arrivals = _arrivals(spark, sf_dir)
-    fact = immigration_fact(arrivals, visa_type_dimension(arrivals))
-    people = demographics_dimension(cleaning.DEMOGRAPHICS.apply(s.demographics(spark, sf_dir)))
+    fact = _fact(_arrivals(spark, sf_dir))
+    people = rename(cleaning.DEMOGRAPHICS.apply(s.demographics(spark, sf_dir)), DEMOGRAPHICS_NAMES)
     return monthly_visitors_by_state(fact, state_population(people))
 
 

@@ -53,6 +53,42 @@ ARRIVALS = """
 """
 
 
+def raw_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arrivals with what cleaning is for: empty rows, records without an id, repeated
+    records, and rows without a date or a residence."""
+    given = arrivals(spark, sf_dir)
+    empty = F.col("matflag").isNull()
+    lacking = {"cicid": "2-HIGH", "arrdate": "3-MEDIUM", "i94res": "3-MEDIUM"}
+    cells = []
+    for name in given.columns:
+        gone = empty | (F.col("visatype") == lacking[name]) if name in lacking else empty
+        value = F.when(~F.coalesce(gone, F.lit(False)), F.col(name)).alias(name)
+        # Only the column that cleaning drops first still has a value.
+        cells.append(F.when(empty, F.lit("x")).alias(name) if name == "occup" else value)
+    again = given.where((F.col("visatype") == "1-URGENT") & ~empty)
+    return given.select(*cells).unionByName(again.withColumn("depdate", F.col("depdate") + 1))
+
+
+_EMPTY = "matflag is null"
+RAW_ARRIVALS = f"""
+    select case when not ({_EMPTY}) and visatype is distinct from '2-HIGH' then cicid end as cicid,
+           case when not ({_EMPTY}) then i94yr end as i94yr,
+           case when not ({_EMPTY}) then i94mon end as i94mon,
+           case when not ({_EMPTY}) and visatype is distinct from '3-MEDIUM' then i94res end as i94res,
+           case when not ({_EMPTY}) and visatype is distinct from '3-MEDIUM' then arrdate end as arrdate,
+           case when not ({_EMPTY}) then i94addr end as i94addr,
+           case when not ({_EMPTY}) then depdate end as depdate,
+           case when not ({_EMPTY}) then "count" end as "count",
+           case when {_EMPTY} then 'x' end as occup,
+           matflag,
+           case when not ({_EMPTY}) then visatype end as visatype
+    from ({ARRIVALS})
+    union all
+    select cicid, i94yr, i94mon, i94res, arrdate, i94addr, depdate + 1, "count", occup, matflag, visatype
+    from ({ARRIVALS}) where visatype = '1-URGENT' and matflag is not null
+"""
+
+
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation").select(
         F.col("n_nationkey").alias("s_nationkey"), title_case(F.col("n_name")).alias("Country")
@@ -90,7 +126,7 @@ CLEAN_READINGS = f"""
     select * from ({READINGS}) where "AverageTemperature" is not null
     qualify row_number() over (
         partition by dt, "City", "Country"
-        order by "AverageTemperature", "AverageTemperatureUncertainty", "Latitude", "Longitude"
+        order by "Latitude", "Longitude", "AverageTemperature", "AverageTemperatureUncertainty"
     ) = 1
 """
 TEMPERATURES = f"""

@@ -7,15 +7,19 @@ from pyspark.sql import functions as F
 
 # Fixed value: day 0 of the SAS calendar.
 SAS_EPOCH = "1960-01-01"
+# Day numbers of 0001-01-01 and 9999-12-31.
+FIRST_DAY = -715509
+LAST_DAY = 2936549
 
 
 def sas_to_date(days: Column, zero_is_null: bool = True) -> Column:
     """Days since 1960-01-01 as a date; fractions floor, NULL and NaN give NULL.
 
-    Day 0 counts as "no date" unless ``zero_is_null`` is off.
+    Numbers that no date of the years 1 to 9999 has give NULL as well. Day 0 counts
+    as "no date" unless ``zero_is_null`` is off.
     """
     number = days.cast("double")
-    usable = ~F.isnan(number)
+    usable = (number >= FIRST_DAY) & (number < LAST_DAY + 1)  # false for NaN as well
     if zero_is_null:
         usable = usable & (number != 0)
     epoch = F.lit(SAS_EPOCH).cast("date")

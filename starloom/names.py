@@ -13,6 +13,14 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def fresh(name: str, *taken: Iterable[str]) -> str:
+    """``name``, or a variant of it that no column of ``taken`` has."""
+    used = {c.lower() for columns in taken for c in columns}
+    while name.lower() in used:
+        name += "_"
+    return name
+
+
 def as_list(names: str | Iterable[str]) -> list[str]:
     return [names] if isinstance(names, str) else list(names)
 

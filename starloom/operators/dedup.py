@@ -9,9 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.names import as_list, col
-
-_UNORDERED = (T.MapType, T.VariantType)
+from starloom.names import as_list, col, fresh
 
 
 def distinct_values(df: DataFrame, columns: str | Iterable[str]) -> DataFrame:
@@ -28,7 +26,8 @@ def dedup(
     """Keep one row per key; NULL keys equal each other.
 
     ``survivor="first"`` keeps the first row by ``order_by`` and then by the
-    remaining columns, so every run keeps the same one. Spark ranks within each
+    remaining columns, missing values last, so every run keeps the same one.
+    Columns without an order (maps) are compared as text. Spark ranks within each
     input task before the shuffle, so a key held by a third of the rows reaches
     its final task as one row per input task. ``survivor="any"`` keeps whichever
     row comes first.
@@ -38,12 +37,29 @@ def dedup(
         return df.dropDuplicates(keys)
     named = [c for c in order_by if isinstance(c, str)]
     rest = [
-        col(f.name)
+        (col(f.name) if _has_order(f.dataType) else _as_text(f)).asc_nulls_last()
         for f in df.schema.fields
-        if f.name not in keys and f.name not in named and not isinstance(f.dataType, _UNORDERED)
+        if f.name not in keys and f.name not in named
     ]
     order = [col(c) if isinstance(c, str) else c for c in order_by] + rest
     by = [col(k) for k in keys]
     # The hash leads so that the sort mostly compares one fixed-width number.
     ranked = Window.partitionBy(F.xxhash64(*by), *by).orderBy(*(order or [F.lit(1)]))
-    return df.withColumn("_rank", F.row_number().over(ranked)).where("_rank = 1").drop("_rank")
+    rank = fresh("_rank", df.columns)
+    return df.withColumn(rank, F.row_number().over(ranked)).where(col(rank) == 1).drop(rank)
+
+
+def _has_order(kind: T.DataType) -> bool:
+    """False for maps and variants, and for whatever holds one."""
+    if isinstance(kind, T.ArrayType):
+        return _has_order(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return all(_has_order(f.dataType) for f in kind.fields)
+    return not isinstance(kind, (T.MapType, T.VariantType))
+
+
+def _as_text(field: T.StructField) -> Column:
+    if isinstance(field.dataType, T.MapType):
+        # Entries in key order, so that equal maps give equal text.
+        return F.to_json(F.array_sort(F.map_entries(col(field.name))))
+    return F.to_json(F.struct(col(field.name)))

@@ -7,11 +7,11 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import add, and_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.names import as_pairs, col
+from starloom.names import as_pairs, col, fresh
 from starloom.operators.dedup import dedup
 from starloom.scratch import materialise
 
@@ -35,10 +35,11 @@ def measure_lookup(lookup: DataFrame, keys: Iterable[str] = ()) -> LookupSize:
     if not keys:
         return LookupSize(lookup.agg(size).first()[0] or 0, None)
     known = reduce(and_, [col(k).isNotNull() for k in keys])
+    rows, sizes = fresh("_rows", keys), fresh("_bytes", keys)
     per_key = lookup.groupBy(*[col(k) for k in keys]).agg(
-        F.count(F.lit(1)).alias("_rows"), size.alias("_bytes")
+        F.count(F.lit(1)).alias(rows), size.alias(sizes)
     )
-    total = per_key.agg(F.sum("_bytes"), F.max(F.when(known, F.col("_rows")))).first()
+    total = per_key.agg(F.sum(sizes), F.max(F.when(known, F.col(rows)))).first()
     return LookupSize(total[0] or 0, total[1] or 0)
 
 
@@ -64,84 +65,137 @@ def lookup_join(
     duplicates: str = "error",
     broadcast_bytes: int = BROADCAST_BYTES,
     hot_share: float = HOT_SHARE,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Left join that keeps exactly the fact's rows.
 
     ``on`` names the shared columns or maps fact columns to lookup columns; the
-    lookup's key columns do not appear in the result. A NULL or unmatched key
-    gives NULLs. A lookup with several rows per key is refused, or reduced to
-    its first row by all columns with ``duplicates="first"``.
-
-    A lookup measured below ``broadcast_bytes`` is broadcast. A larger one is
-    shuffle-joined, except for the fact rows no shuffle could spread: those of
-    hot keys meet a broadcast of just those keys' lookup rows, hottest first up
-    to ``broadcast_bytes``, and those without a key meet nothing.
-
-    Measuring reads the lookup once, and the larger path reads both sides more
-    than once: pass written tables, not long plans.
+    lookup's key columns do not appear in the result, and its other columns must
+    not be named like a fact column. A NULL or unmatched key gives NULLs. A lookup
+    with several rows per key is refused, or reduced to its first row by all
+    columns with ``duplicates="first"``.
+
+    A lookup measured below ``broadcast_bytes`` is broadcast. For a larger one the
+    fact's keys are counted, which reads the key columns only, of ``counted`` if it
+    is given (the fact before other lookups were joined to it). Then one pass over
+    the fact joins a broadcast of the hot keys' lookup rows and shuffles for the
+    rest; rows that need no shuffled lookup (hot, or without a key) are spread
+    evenly.
     """
+    if hot_share <= 0:
+        raise ValueError("hot_share must be positive: it bounds the number of hot keys")
     pairs = as_pairs(on)
-    if duplicates == "first":
-        size = measure_lookup(lookup)
-        lookup = dedup(lookup, pairs.values())
-    else:
-        size = measure_lookup(lookup, pairs.values())
-        if size.max_per_key > 1:
-            keys = list(pairs.values())
+    keys = list(pairs.values())
+    payload = [c for c in lookup.columns if c not in keys]
+    clash = {c.lower() for c in fact.columns} & {c.lower() for c in payload}
+    if clash:
+        raise ValueError(f"fact and lookup both have columns {sorted(clash)}: rename them first")
+    size = measure_lookup(lookup, keys)
+    if (size.max_per_key or 0) > 1:
+        if duplicates != "first":
             raise ValueError(f"lookup has up to {size.max_per_key} rows per key {keys}")
-
-    payload = [c for c in lookup.columns if c not in pairs.values()]
+        lookup = dedup(lookup, keys)
+        if size.bytes > broadcast_bytes:
+            lookup = materialise(lookup, "lookup-firsts")
+            size = measure_lookup(lookup)
+    names = _key_names(pairs, fact, payload)
     right = lookup.select(
-        *[col(r).alias(f"_key{i}") for i, r in enumerate(pairs.values())],
-        *[col(c) for c in payload],
+        *[col(r).alias(n) for r, n in zip(keys, names)], *[col(c) for c in payload]
     )
     if size.bytes <= broadcast_bytes:
-        return _left_join(fact, F.broadcast(right), list(pairs))
-    return _left_join_large(fact, right, list(pairs), broadcast_bytes, hot_share)
+        return _left_join(fact, F.broadcast(right), list(pairs), names)
+    used = (fact if counted is None else counted).select(*[col(k).alias(n) for k, n in zip(pairs, names)])
+    hot = _hot_rows(used, right, names, payload, hot_share, broadcast_bytes)
+    return _left_join_large(fact, right, hot, list(pairs), names, payload)
 
 
-def _left_join(fact: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    names = [f"_key{i}" for i in range(len(keys))]
-    same = reduce(and_, [col(k) == F.col(n) for k, n in zip(keys, names)])
+def lookup_joins(
+    fact: DataFrame, *lookups: tuple[DataFrame, str | Iterable[str] | Mapping[str, str]], **settings
+) -> DataFrame:
+    """Several lookups whose keys are columns of ``fact``; keys are counted on it alone."""
+    joined = fact
+    for lookup, on in lookups:
+        joined = lookup_join(joined, lookup, on, counted=fact, **settings)
+    return joined
+
+
+def _key_names(pairs: Mapping[str, str], fact: DataFrame, payload: list[str]) -> list[str]:
+    return [fresh(f"_key{i}", fact.columns, payload) for i in range(len(pairs))]
+
+
+def _left_join(fact: DataFrame, right: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
+    same = reduce(and_, [col(k) == col(n) for k, n in zip(keys, names)])
     return fact.join(right, same, "left").drop(*names)
 
 
 def _left_join_large(
-    fact: DataFrame, right: DataFrame, keys: list[str], broadcast_bytes: int, hot_share: float
+    fact: DataFrame,
+    right: DataFrame,
+    hot: DataFrame,
+    keys: list[str],
+    names: list[str],
+    payload: list[str],
 ) -> DataFrame:
-    names = [f"_key{i}" for i in range(len(keys))]
-    known = reduce(and_, [col(k).isNotNull() for k in keys])
-    hot, hot_right = _hot_keys(
-        fact.where(known).select(*[col(k).alias(n) for k, n in zip(keys, names)]),
-        right,
-        names,
-        fact.count() * hot_share,
-        broadcast_bytes,
+    """One pass: hot keys by broadcast, then the rest by a shuffle on key and salt.
+
+    A row that is done, or has no key, goes into the shuffle with a NULL key and a
+    hash of its cells as salt: it matches nothing and lands anywhere.
+    """
+    taken = [fact.columns, payload, names]
+    local = {c: fresh(f"_hot_{c}", *taken) for c in payload}
+    done, salt = fresh("_done", *taken), fresh("_salt", *taken)
+    marked = hot.select(
+        *[col(n) for n in names], *[col(c).alias(local[c]) for c in payload], F.lit(True).alias(done)
+    )
+    first = _left_join(fact, F.broadcast(marked), keys, names)
+    ready = reduce(and_, [col(k).isNotNull() for k in keys]) & col(done).isNull()
+    spread = F.xxhash64(*[F.hash(col(k)) for k in fact.columns if _hashable(fact, k)])
+    moved = [fresh(f"_shuffled{i}", *taken, local.values()) for i in range(len(keys))]
+    sent = first.select(
+        "*",
+        *[F.when(ready, col(k)).alias(m) for k, m in zip(keys, moved)],
+        F.when(ready, F.lit(0).cast("long")).otherwise(spread).alias(salt),
     )
-    marked = _left_join(fact, F.broadcast(hot.withColumn("_hot", F.lit(True))), keys)
-    local = marked.where(F.col("_hot").isNotNull() | ~known).drop("_hot")
-    spread = marked.where(F.col("_hot").isNull() & known).drop("_hot")
-    return _left_join(local, F.broadcast(hot_right), keys).unionByName(
-        _left_join(spread, right, keys)
+    same = [col(m) == col(n) for m, n in zip(moved, names)]
+    zero = fresh("_zero", *taken)
+    other = right.withColumn(zero, F.lit(0).cast("long"))
+    joined = sent.join(other, reduce(and_, [*same, col(salt) == col(zero)]), "left")
+    return joined.select(
+        *[col(c) for c in fact.columns],
+        *[F.when(col(done), col(local[c])).otherwise(col(c)).alias(c) for c in payload],
     )
 
 
-def _hot_keys(
-    used: DataFrame, right: DataFrame, names: list[str], rows: float, broadcast_bytes: int
-) -> tuple[DataFrame, DataFrame]:
-    """Keys used by more than ``rows`` rows, and their lookup rows.
+def _hashable(df: DataFrame, name: str) -> bool:
+    return not isinstance(df.schema[name].dataType, (T.MapType, T.VariantType))
 
-    Keys whose lookup row no longer fits into ``broadcast_bytes`` are left out.
+
+def _hot_rows(
+    used: DataFrame,
+    right: DataFrame,
+    names: list[str],
+    payload: list[str],
+    hot_share: float,
+    broadcast_bytes: int,
+) -> DataFrame:
+    """Lookup rows of the keys that more than ``hot_share`` of the rows use.
+
+    If they exceed ``broadcast_bytes``, the share is raised until they fit. Keys are
+    counted once; the keys sent to tasks are fewer than ``1 / hot_share``.
     """
-    counts = used.groupBy(*names).agg(F.count(F.lit(1)).alias("_rows"))
-    frequent = materialise(counts.where(F.col("_rows") > rows), "frequent-keys")
-    hottest_first = Window.orderBy(F.desc("_rows"), *names)
-    sizes = materialise(
-        right.select(*names, _row_bytes(right).alias("_bytes"))
-        .join(F.broadcast(frequent), names)
-        .select(*names, (F.sum("_bytes").over(hottest_first) <= broadcast_bytes).alias("_fits")),
-        "frequent-sizes",
-    )
-    fitting, rest = (sizes.where(c).select(*names) for c in ("_fits", "not _fits"))
-    hot = frequent.select(*names).join(F.broadcast(rest), names, "left_anti")
-    return hot, right.join(F.broadcast(fitting), names, "left_semi")
+    rows, size = (fresh(n, names, payload) for n in ("_rows", "_bytes"))
+    known = reduce(and_, [col(n).isNotNull() for n in names])
+    counts = used.groupBy(*names).agg(F.count(F.lit(1)).alias(rows))
+    counts = materialise(counts, "key-counts")
+    total = counts.agg(F.sum(rows)).first()[0] or 0
+    frequent = counts.where(known & (col(rows) > total * hot_share))
+    measured = frequent.select(*names, rows)
+    bytes_ = measured.agg(F.sum(reduce(add, [_cell_bytes(f) for f in measured.schema.fields]))).first()[0] or 0
+    side = F.broadcast(measured) if bytes_ <= broadcast_bytes else measured
+    found = materialise(right.join(side, names), "hot-lookups")
+    share = hot_share
+    while True:
+        hot = found.where(col(rows) > total * share).drop(rows)
+        if (hot.agg(F.sum(_row_bytes(hot)).alias(size)).first()[0] or 0) <= broadcast_bytes:
+            return hot
+        share *= 4

@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import dataclass
+from math import ceil, floor
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.functions.missing import is_missing, percentage
-from starloom.names import as_list, col
-from starloom.operators.keys import in_global_order
-from starloom.scratch import materialise
+from starloom.names import as_list, col, fresh
 
 _QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 
@@ -41,16 +41,17 @@ def missing_profile(df: DataFrame) -> DataFrame:
     One scan: the row count is taken by the same aggregate as the missing
     counts. The percentage of an empty table is NULL.
     """
+    total = fresh("_n_rows", df.columns)
     counts = df.agg(
-        F.count(F.lit(1)).alias("_n_rows"),
+        F.count(F.lit(1)).alias(total),
         *[F.count_if(is_missing(f)).alias(f.name) for f in df.schema.fields],
     )
-    long = counts.unpivot("_n_rows", [col(c) for c in df.columns], "column_name", "missing")
-    return long.select(
+    long = counts.unpivot(total, [col(c) for c in df.columns], "column_name", "missing")
+    return long.toDF("n_rows", "column_name", "missing").select(
         "column_name",
         "missing",
-        percentage(F.col("missing"), F.col("_n_rows")).alias("pct_missing"),
-        F.col("_n_rows").alias("n_rows"),
+        percentage(F.col("missing"), F.col("n_rows")).alias("pct_missing"),
+        "n_rows",
     )
 
 
@@ -72,94 +73,147 @@ def describe(df: DataFrame, columns: str | Iterable[str] | None = None) -> DataF
     """Summary statistics, one row per numeric column.
 
     ``column_name, count, mean, std, min, p25, p50, p75, max`` over the values
-    that are neither NULL nor NaN. Quartiles are exact and interpolated.
-
-    The table is scanned once, into one row per distinct value and its
-    frequency; combining before the shuffle absorbs frequent values. That table
-    is read for the sums per range partition, for the deviations, and for the
-    partitions that hold a wanted rank. An exact percentile aggregate would hold
-    every distinct value of a column in one task.
+    that are neither NULL nor NaN. All are doubles, so whole numbers beyond 2**53 are
+    rounded. Quartiles are exact and interpolated.
+
+    No value is shuffled but the few next to a quartile: the first scan takes all
+    else and brackets each quartile between approximate percentiles whose error is
+    bounded; the next counts what lies below and inside each bracket, and narrows
+    brackets that still hold more than ``_INSIDE`` values; the last groups the
+    values inside.
     """
     columns = numeric_columns(df) if columns is None else as_list(columns)
-    names = df.sparkSession.range(1).select(
-        F.posexplode(F.array(*[F.lit(c) for c in columns])).alias("_column", "column_name")
-    )
-    values = df.select(
-        F.posexplode(F.array(*[col(c).cast("double") for c in columns])).alias("_column", "value")
-    ).where(F.col("value").isNotNull() & ~F.isnan("value"))
-    frequencies = in_global_order(
-        values.groupBy("_column", "value").agg(F.count(F.lit(1)).alias("n")),
-        ["_column", "value"],
-        "frequencies",
-    )
-    parts = materialise(
-        frequencies.groupBy("_column", "_part").agg(
-            F.sum("n").alias("size"),
-            F.sum(F.col("value") * F.col("n")).alias("total"),
-            F.min("value").alias("min"),
-            F.max("value").alias("max"),
-        ),
-        "frequency-parts",
-    )
-    moments = parts.groupBy("_column").agg(
-        F.sum("size").alias("count"),
-        (F.sum("total") / F.sum("size")).alias("mean"),
-        F.min("min").alias("min"),
-        F.max("max").alias("max"),
-    )
-    deviations = (
-        frequencies.join(F.broadcast(moments), "_column")
-        .groupBy("_column")
-        .agg(F.sum(F.col("n") * F.pow(F.col("value") - F.col("mean"), 2)).alias("squares"))
-    )
-    std = F.sqrt(F.try_divide("squares", F.col("count") - 1)).alias("std")
-    return (
-        names.join(moments, "_column", "left")
-        .join(deviations, "_column", "left")
-        .join(_quartiles(frequencies, parts, moments), "_column", "left")
-        .select(
-            "column_name",
-            F.coalesce("count", F.lit(0)).alias("count"),
-            "mean",
-            std,
-            "min",
-            *_QUARTILES,
-            "max",
-        )
-    )
-
-
-def _quartiles(frequencies: DataFrame, parts: DataFrame, moments: DataFrame) -> DataFrame:
-    """Interpolated quartiles per column from range-partitioned frequencies."""
-    last = F.col("count") - 1
-    wanted = []
-    for label, share in _QUARTILES.items():
-        low = F.floor(last * share)
-        above = last * share - low
-        for rank, weight in ((low, 1 - above), (F.ceil(last * share), above)):
-            wanted.append(
-                F.struct(F.lit(label).alias("label"), rank.alias("rank"), weight.alias("weight"))
-            )
-    ranks = moments.select("_column", F.inline(F.array(*wanted)))
-
-    earlier = (
-        Window.partitionBy("_column").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    starts = parts.withColumn("start", F.coalesce(F.sum("size").over(earlier), F.lit(0)))
-    holding = (
-        starts.join(ranks, "_column")
-        .where("rank >= start and rank < start + size")
-        .select("_column", "_part", "start")
-        .distinct()
-    )
-    so_far = Window.partitionBy("_column", "_part").orderBy("value")
-    values = (
-        frequencies.join(F.broadcast(holding), ["_column", "_part"])
-        .withColumn("end", F.col("start") + F.sum("n").over(so_far))
-        .join(F.broadcast(ranks), "_column")
-        .where("rank >= end - n and rank < end")
-    )
-    weighted = F.col("value") * F.col("weight")
-    return values.groupBy("_column").agg(
-        *[F.sum(F.when(F.col("label") == q, weighted)).alias(q) for q in _QUARTILES]
+    values = df.select(*[_number(c).alias(f"v{i}") for i, c in enumerate(columns)])
+    rows = []
+    for i, (name, row) in enumerate(zip(columns, _moments(values, len(columns)))):
+        rows.append(row | {"column_name": name, "column": i})
+    for row, found in zip(rows, _quartiles(values, rows)):
+        row.update(found)
+    order = ("column_name", "count", "mean", "std", "min", *_QUARTILES, "max")
+    kinds = ", ".join(f"{n} {_KINDS.get(n, 'double')}" for n in order)
+    return df.sparkSession.createDataFrame([[row[n] for n in order] for row in rows], kinds)
+
+
+_KINDS = {"column_name": "string", "count": "long"}
+# Values a bracket may hold before they are grouped; the share of values on either
+# side of a quartile that the error of approximate percentiles cannot exceed.
+_INSIDE = 100_000
+_ACCURACY = 10_000
+_SLACK = 2 / _ACCURACY
+
+
+def _number(name: str) -> Column:
+    """The column as a double, NULL where it is NaN."""
+    value = col(name).cast("double")
+    return F.when(~F.isnan(value), value)
+
+
+def _moments(values: DataFrame, width: int) -> list[dict]:
+    """Per column its moments and the first bracket (low, high) of each quartile."""
+    shares = [min(1.0, max(0.0, p + d)) for p in _QUARTILES.values() for d in (-_SLACK, _SLACK)]
+
+    def facts(i: int) -> Column:
+        v = F.col(f"v{i}")
+        return F.struct(
+            F.count(v).alias("count"),
+            F.avg(v).alias("mean"),
+            F.stddev_samp(v).alias("std"),
+            F.min(v).alias("min"),
+            F.max(v).alias("max"),
+            F.percentile_approx(v, shares, _ACCURACY).alias("brackets"),
+        ).alias(f"f{i}")
+
+    if not width:
+        return []
+    return [fact.asDict() for fact in values.agg(*[facts(i) for i in range(width)]).first()]
+
+
+@dataclass
+class _Bracket:
+    """Where the two ranks next to a quartile lie, as a closed interval of values."""
+
+    column: int
+    label: str
+    low: float
+    high: float
+    first: int
+    last: int
+
+    def inside(self) -> Column:
+        return F.col(f"v{self.column}").between(F.lit(self.low), F.lit(self.high))
+
+    def below(self) -> Column:
+        return F.col(f"v{self.column}") < F.lit(self.low)
+
+
+def _quartiles(values: DataFrame, rows: list[dict]) -> list[dict]:
+    brackets = []
+    for row in rows:
+        for k, (label, share) in enumerate(_QUARTILES.items()):
+            if row["count"]:
+                at = (row["count"] - 1) * share
+                few = row["count"] <= _INSIDE
+                low, high = (row["min"], row["max"]) if few else row["brackets"][2 * k : 2 * k + 2]
+                brackets.append(_Bracket(row["column"], label, low, high, floor(at), ceil(at)))
+    below = _narrow(values, brackets)
+    found = {(b.column, b.label): {} for b in brackets}
+    for b, start in zip(brackets, below):
+        if b.low == b.high:
+            found[b.column, b.label] = {b.first: b.low, b.last: b.low}
+    wide = [(k, b) for k, b in enumerate(brackets) if b.low < b.high]
+    if wide:
+        one = [
+            F.when(b.inside(), F.struct(F.lit(k).alias("k"), F.col(f"v{b.column}").alias("value")))
+            for k, b in wide
+        ]
+        near = values.select(F.explode(F.array_compact(F.array(*one))).alias("x")).select("x.*")
+        counts = near.groupBy("k", "value").agg(F.count(F.lit(1)).alias("n"))
+        # At most _INSIDE values of each bracket.
+        upto = F.sum("n").over(Window.partitionBy("k").orderBy("value"))
+        starts = F.create_map(*[F.lit(x) for k, _ in wide for x in (k, below[k])])
+        ends = counts.withColumn("end", upto + starts[F.col("k")])
+        ranks = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(r).alias("rank")) for k, b in wide for r in {b.first, b.last}])
+        wanted = F.filter(ranks, lambda r: (r["k"] == F.col("k")) & (r["rank"] >= F.col("end") - F.col("n")) & (r["rank"] < F.col("end")))
+        for r in ends.select("value", F.explode(wanted).alias("r")).select("value", "r.*").collect():
+            found[brackets[r.k].column, brackets[r.k].label][r["rank"]] = r.value
+    out = []
+    for row in rows:
+        own = {}
+        for label, share in _QUARTILES.items():
+            at, known = (row["count"] - 1) * share, found.get((row["column"], label))
+            own[label] = known and _between(known[floor(at)], known[ceil(at)], at - floor(at))
+        out.append(own)
+    return out
+
+
+def _between(low: float, high: float, share: float) -> float:
+    """Linear interpolation that leaves a rank of no weight out (0 times infinity)."""
+    return low if not share or low == high else low * (1 - share) + high * share
+
+
+def _narrow(values: DataFrame, brackets: list[_Bracket]) -> list[int]:
+    """Shrinks the brackets until they hold few values; how many values lie below each."""
+    while brackets:
+        counts = values.agg(
+            *[F.count_if(b.below()).alias(f"b{k}") for k, b in enumerate(brackets)],
+            *[F.count_if(b.inside()).alias(f"i{k}") for k, b in enumerate(brackets)],
+        ).first()
+        below = [counts[f"b{k}"] for k in range(len(brackets))]
+        inside = [counts[f"i{k}"] for k in range(len(brackets))]
+        wide = [k for k, b in enumerate(brackets) if inside[k] > _INSIDE and b.low < b.high]
+        if not wide:
+            return below
+        closer = values.agg(*[_closer(brackets[k], below[k], inside[k]).alias(f"c{k}") for k in wide]).first()
+        for k in wide:
+            b, (low, high) = brackets[k], closer[f"c{k}"]
+            if (low, high) == (b.low, b.high):  # two neighbouring values hold the rest
+                return below
+            b.low, b.high = low, high
+    return []
+
+
+def _closer(b: _Bracket, below: int, inside: int) -> Column:
+    shares = ((b.first - below) / inside - _SLACK, (b.last + 1 - below) / inside + _SLACK)
+    return F.percentile_approx(
+        F.when(b.inside(), F.col(f"v{b.column}")), [min(1.0, max(0.0, s)) for s in shares], _ACCURACY
     )

@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.names import as_list, as_pairs, col
+from starloom.functions.missing import is_missing
+from starloom.names import as_list, as_pairs, col, fresh
 
 
 def check_row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -37,22 +38,24 @@ def _outcome(check: str, checked: Column, violations: Column) -> list[Column]:
 def check_unique(df: DataFrame, keys: str | Iterable[str]) -> DataFrame:
     """Counts rows that repeat an earlier row's key; NULL keys equal each other."""
     keys = as_list(keys)
-    per_key = df.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
+    n = fresh("_n", keys)
+    per_key = df.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias(n))
     name = "unique(" + ", ".join(keys) + ")"
     return per_key.agg(
-        F.sum("_n").alias("rows"), F.sum(F.col("_n") - 1).alias("surplus")
+        F.sum(n).alias("rows"), F.sum(F.col(n) - 1).alias("surplus")
     ).select(*_outcome(name, F.col("rows"), F.col("surplus")))
 
 
 def check_not_null(df: DataFrame, columns: str | Iterable[str]) -> DataFrame:
-    """Counts NULLs, one row per column, in one scan."""
+    """Counts NULLs and NaNs, one row per column, in one scan."""
     columns = as_list(columns)
+    total = fresh("_rows", columns)
     counts = df.agg(
-        F.count(F.lit(1)).alias("_rows"),
-        *[F.count_if(col(c).isNull()).alias(c) for c in columns],
+        F.count(F.lit(1)).alias(total),
+        *[F.count_if(is_missing(df.schema[c], text_nan=False)).alias(c) for c in columns],
     )
-    long = counts.unpivot("_rows", [col(c) for c in columns], "_column", "_nulls")
-    check, *rest = _outcome("", F.col("_rows"), F.col("_nulls"))
+    long = counts.unpivot(total, [col(c) for c in columns], "_column", "_nulls")
+    check, *rest = _outcome("", F.col(total), F.col("_nulls"))
     named = F.concat(F.lit("not_null("), F.col("_column"), F.lit(")")).alias("check_name")
     return long.select(named, *rest)
 

@@ -6,27 +6,33 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starloom.functions.missing import is_missing
 from starloom.names import col
 from starloom.operators.columns import drop_columns
-from starloom.operators.dedup import dedup
+from starloom.operators.dedup import dedup, distinct_values
 from starloom.operators.rows import (
     drop_empty_rows,
     drop_incomplete_rows,
     is_complete,
     missing_cells,
 )
+from starloom.scratch import materialise
 
 
 @dataclass(frozen=True)
 class Cleaning:
-    """Applied in field order: drop columns, empty rows, incomplete rows, duplicates."""
+    """Applied in field order: drop columns, empty rows, incomplete rows, duplicates.
+
+    Of rows with equal ``unique_by`` the first by ``order_by`` stays.
+    """
 
     columns: tuple[str, ...] = ()
     empty_rows: bool = False
     required: tuple[str, ...] = ()
     unique_by: tuple[str, ...] = ()
+    order_by: tuple[str, ...] = ()
 
     def apply(self, df: DataFrame) -> DataFrame:
         df = drop_columns(df, self.columns)
@@ -35,20 +41,28 @@ class Cleaning:
         if self.required:
             df = drop_incomplete_rows(df, self.required)
         if self.unique_by:
-            df = dedup(df, self.unique_by)
+            df = dedup(df, self.unique_by, self.order_by)
         return df
 
-    def column(self, df: DataFrame, name: str) -> DataFrame:
-        """One column of the kept rows: ``apply(df).select(name)`` with less reading.
+    def distinct_column(self, df: DataFrame, name: str) -> DataFrame:
+        """Distinct values of one column over the kept rows, with less reading.
 
-        A row that has this column is not empty, so the empty-row test, which
-        looks at every column, is made only for the rows that miss it.
+        A row that has this column is not empty, so its values come from a scan of
+        it alone. Whether any kept row misses it, which all columns decide, is asked
+        as a test for emptiness: that stops at the first such row.
         """
         if self.required or self.unique_by:
-            return self.apply(df).select(col(name))
-        missing = is_missing(df.schema[name], text_nan=False)
-        known = df.where(~missing).select(col(name))
-        return known.unionByName(self.apply(df.where(missing)).select(col(name)))
+            return distinct_values(self.apply(df), name)
+        field = df.schema[name]
+        missing = is_missing(field, text_nan=False)
+        values = df.where(~missing).select(col(name)).distinct()
+        kinds = [col(name).isNull()]
+        if isinstance(field.dataType, (T.FloatType, T.DoubleType)):
+            kinds.append(F.isnan(col(name)))
+        for kind in kinds:
+            if not (lost := self.apply(df.where(kind)).select(col(name)).limit(1)).isEmpty():
+                values = values.unionByName(materialise(lost, "missing-member"))
+        return values
 
     def report(self, df: DataFrame) -> DataFrame:
         """One row: ``rows_in, dropped_missing, dropped_duplicates, rows_out``.
@@ -92,7 +106,12 @@ IMMIGRATION = Cleaning(columns=("occup", "entdepu", "insnum"), empty_rows=True)
 IMMIGRATION_RECORDS = Cleaning(
     columns=("occup", "entdepu", "insnum"), required=("cicid",), unique_by=("cicid",)
 )
-TEMPERATURE = Cleaning(required=("AverageTemperature",), unique_by=("dt", "City", "Country"))
+# A city measured at several places keeps the readings of one of them throughout.
+TEMPERATURE = Cleaning(
+    required=("AverageTemperature",),
+    unique_by=("dt", "City", "Country"),
+    order_by=("Latitude", "Longitude"),
+)
 DEMOGRAPHICS = Cleaning(
     required=(
         "Male Population",

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from starloom.functions.dates import sas_to_date
 from starloom.names import as_list, col
 from starloom.operators.columns import rename
-from starloom.operators.joins import lookup_join
+from starloom.operators.joins import lookup_join, lookup_joins
 
 # Raw immigration columns and their names in the fact table.
 FACT_NAMES = {
@@ -62,7 +62,10 @@ def star_join(
     :func:`~starloom.plans.dimensions.state_population`; the demographics table
     itself has many and would multiply the fact.
     """
-    joined = lookup_join(fact, calendar.drop("id"), "arrdate")
-    joined = lookup_join(joined, country, {"country_residence_code": "country_code"})
-    joined = lookup_join(joined, visa_types, "visa_type_key")
-    return lookup_join(joined, states, "state_code")
+    return lookup_joins(
+        fact,
+        (calendar.drop("id"), "arrdate"),
+        (country, {"country_residence_code": "country_code"}),
+        (visa_types, "visa_type_key"),
+        (states, "state_code"),
+    )

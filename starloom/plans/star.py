@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import FIRST_EXCEPTION, ThreadPoolExecutor, wait
 from dataclasses import dataclass
+from functools import reduce
 from typing import Any
+from uuid import uuid4
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from starloom.names import as_list
 from starloom.operators.columns import drop_columns
@@ -22,8 +25,8 @@ from starloom.plans.dimensions import (
     visa_type_dimension,
 )
 from starloom.plans.facts import FACT_NAMES, immigration_fact
-from starloom.scratch import materialise
-from starloom.sources import read_csv, read_many, write_partitioned, write_table
+from starloom.scratch import materialise, scratch_path
+from starloom.sources import publish, read_csv, read_many, write_partitioned, write_table
 from starloom.sources.schemas import COUNTRY_CODES, DEMOGRAPHICS, IMMIGRATION, TEMPERATURE
 
 _COLUMNAR = ("parquet", "orc")
@@ -61,18 +64,34 @@ class Star:
         return check_row_counts(self.tables())
 
 
+def cleaning_report(spark: SparkSession, sources: StarSources) -> DataFrame:
+    """One row per cleaned source: ``source`` and what each step of its rule removed."""
+    tables = {
+        "immigration": (
+            cleaning.IMMIGRATION,
+            load_immigration(spark, sources.immigration, sources.immigration_format),
+        ),
+        "temperature": (cleaning.TEMPERATURE, read_csv(spark, sources.temperature, TEMPERATURE)),
+        "demographics": (
+            cleaning.DEMOGRAPHICS,
+            read_csv(spark, sources.demographics, DEMOGRAPHICS, sep=";"),
+        ),
+    }
+    reports = [
+        rule.report(df).select(F.lit(name).alias("source"), "*") for name, (rule, df) in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, reports)
+
+
 def load_immigration(
     spark: SparkSession, paths: str | Iterable[str], fmt: str = "parquet"
 ) -> DataFrame:
     """The raw immigration table without its sparse columns, in a columnar format.
 
-    Several steps read a few columns each, so a row format is copied to Parquet
+    Months are matched by column name and brought to the declared types. Several steps read a few columns each, so a row format is copied to Parquet
     first: the raw files are then decoded once for the whole run.
     """
-    if fmt == "csv":
-        raw = read_csv(spark, paths, IMMIGRATION)
-    else:
-        raw = read_many(spark, as_list(paths), fmt)
+    raw = read_many(spark, as_list(paths), fmt, IMMIGRATION)
     raw = drop_columns(raw, cleaning.IMMIGRATION.columns)
     return raw if fmt in _COLUMNAR else materialise(raw, "immigration")
 
@@ -98,8 +117,9 @@ def write_immigration_star(
 ) -> dict[str, DataFrame]:
     """Write the fact and its visa-type, calendar and country dimensions.
 
-    The raw table is read twice: the visa-type column for the dimension, which
-    is read back so that the fact holds its keys, and everything for the fact.
+    The raw table is read in full once, for the fact. Before that, the visa-type
+    column is read for the dimension, which is read back so that the fact holds its
+    keys, and rows without one are looked for until the first is found.
     The other two dimensions each read one column of the written fact, whose
     rows are the cleaned ones. What does not depend on each other runs at the
     same time, so one table's last tasks do not leave the cluster idle.
@@ -107,7 +127,7 @@ def write_immigration_star(
     rule = cleaning.IMMIGRATION
 
     def visatype_and_fact() -> tuple[DataFrame, DataFrame]:
-        types = visa_type_dimension(rule.column(immigration, "visatype"))
+        types = visa_type_dimension(rule.distinct_column(immigration, "visatype"))
         visatype = write_table(types, f"{output}/visatype")
         fact = immigration_fact(rule.apply(immigration), visatype)
         return visatype, write_table(fact, f"{output}/immigration_fact")
@@ -143,34 +163,64 @@ def write_demographics(demographics: DataFrame, output: str) -> DataFrame:
 def build_star(
     spark: SparkSession, sources: StarSources, output: str, fail_on_empty: bool = False
 ) -> Star:
-    """Read, clean, model, write and check; every table at ``output`` is replaced."""
+    """Read, clean, model, write, check and publish; every table at ``output`` is replaced.
+
+    The tables are built in the scratch folder. Only when all are written, and with
+    ``fail_on_empty`` none is empty, do they take the place of the old ones, so
+    a bad month or a failed run leaves the old star as it was.
+    """
+    built = scratch_path(spark, "star")
 
     def immigration_star() -> dict[str, DataFrame]:
         return write_immigration_star(
             load_immigration(spark, sources.immigration, sources.immigration_format),
             load_temperature(spark, sources.temperature),
             read_csv(spark, sources.country_codes, COUNTRY_CODES),
-            output,
+            built,
         )
 
     def demographics() -> DataFrame:
-        return write_demographics(load_demographics(spark, sources.demographics), output)
+        return write_demographics(load_demographics(spark, sources.demographics), built)
 
     tables, people = at_once(immigration_star, demographics)
     star = Star(**tables, demographics=people)
     if fail_on_empty:
         fail_if_any(star.quality())
-    return star
+    published = {
+        name: publish(table, f"{built}/{name}", f"{output}/{name}")
+        for name, table in star.tables().items()
+    }
+    return Star(**published)
 
 
 def at_once(*steps: Callable[[], Any]) -> list[Any]:
-    """Run steps whose Spark jobs are independent side by side."""
-    with ThreadPoolExecutor(len(steps)) as pool:
-        return [future.result() for future in [pool.submit(_in_session(s)) for s in steps]]
-
+    """Run steps whose Spark jobs are independent side by side.
 
-def _in_session(step: Callable[[], Any]) -> Callable[[], Any]:
-    """Carry the caller's job group and local properties into the step's thread."""
+    When one fails, the jobs of the others are cancelled.
+    """
     session = SparkSession.getActiveSession()
-    inherit = inheritable_thread_target(session) if session else None
-    return inherit(step) if callable(inherit) else step
+    tag = f"starloom-{uuid4().hex}"
+    with ThreadPoolExecutor(len(steps)) as pool:
+        futures = [pool.submit(_in_session(session, tag, step)) for step in steps]
+        done, _ = wait(futures, return_when=FIRST_EXCEPTION)
+        failed = next((f for f in done if f.exception()), None)
+        if failed and session:
+            session.sparkContext.cancelJobsWithTag(tag)
+            wait(futures)
+            raise failed.exception()
+        return [future.result() for future in futures]
+
+
+def _in_session(
+    session: SparkSession | None, tag: str, step: Callable[[], Any]
+) -> Callable[[], Any]:
+    """Carry the caller's local properties into the step's thread, and mark its jobs."""
+    if session is None:
+        return step
+
+    def marked() -> Any:
+        session.sparkContext.addJobTag(tag)
+        return step()
+
+    inherit = inheritable_thread_target(session)
+    return inherit(marked) if callable(inherit) else marked

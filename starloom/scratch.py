@@ -7,7 +7,6 @@ column by column, and its file sizes give the optimizer true statistics.
 
 from __future__ import annotations
 
-import tempfile
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,15 +15,11 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The session's shared folder; a temporary one only for an unset local session."""
-    context = spark.sparkContext
-    folder = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
+    """The session's shared folder; where none is set, one beside its tables."""
+    folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not context.master.startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="starloom-"))
-    return context.getCheckpointDir()
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

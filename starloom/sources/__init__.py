@@ -1,9 +1,17 @@
 from starloom.sources.inventory import file_inventory
-from starloom.sources.readers import read_csv, read_many, read_table, register
-from starloom.sources.writers import read_partitioned, stage, write_partitioned, write_table
+from starloom.sources.readers import conform, read_csv, read_many, read_table, register
+from starloom.sources.writers import (
+    publish,
+    read_partitioned,
+    stage,
+    write_partitioned,
+    write_table,
+)
 
 __all__ = [
+    "conform",
     "file_inventory",
+    "publish",
     "read_csv",
     "read_many",
     "read_partitioned",

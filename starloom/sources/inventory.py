@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import reduce
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,35 +11,55 @@ from pyspark.sql import functions as F
 from starloom.names import as_list
 from starloom.sources.readers import read_table
 
+# Files whose footers or headers are opened at the same time.
+_OPEN = 16
+
 
 def file_inventory(
     spark: SparkSession, paths: str | Iterable[str], fmt: str = "parquet", **options: str
 ) -> DataFrame:
     """One row per file: ``file_path, n_bytes, n_rows, n_columns``.
 
-    Give one path per month when months differ in columns: each path's column
-    count is its own. Files without rows are listed with 0 rows. Listing reads
-    no file content, and the row counts read no columns.
+    Folders are expanded to their files, and each file's column count is its own
+    (folder columns included). Files without rows are listed with 0 rows. The row
+    counts read no columns; only footers or headers are opened besides.
     """
+    paths = as_list(paths)
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
+    files = listed.select(F.col("_metadata.file_path").alias("file_path"), F.col("length").alias("n_bytes"))
+    if fmt == "csv":
+        options = {"header": True} | options
+
+    def width(file: str) -> tuple[str, int]:
+        base = {} if file.rstrip("/") in bases else {"basePath": _base(file, bases)}
+        return file, len(read_table(spark, file, fmt, **base, **options).columns)
+
+    names = [row.file_path for row in files.select("file_path").collect()]
+    bases = [_plain(path) for path in paths]
+    with ThreadPoolExecutor(_OPEN) as pool:
+        widths = list(pool.map(width, names))
+    columns = spark.createDataFrame(widths, "file_path string, n_columns int")
+    counts = [
+        read_table(spark, path, fmt, **options)
+        .groupBy(F.col("_metadata.file_path").alias("file_path"))
+        .agg(F.count(F.lit(1)).alias("n_rows"))
+        for path in paths
+    ]
+    rows = counts[0]
+    for more in counts[1:]:
+        rows = rows.unionByName(more)
+    return files.join(rows, "file_path", "left").join(columns, "file_path").select(
+        "file_path", "n_bytes", F.coalesce("n_rows", F.lit(0)).alias("n_rows"), "n_columns"
+    )
+
+
+def _plain(path: str) -> str:
+    return path.rstrip("/")
+
 
-    def one(path: str) -> DataFrame:
-        table = read_table(spark, path, fmt, **options)
-        rows = (
-            table.select(F.col("_metadata.file_path").alias("file_path"))
-            .groupBy("file_path")
-            .agg(F.count(F.lit(1)).alias("n_rows"))
-        )
-        files = (
-            spark.read.format("binaryFile")
-            .option("recursiveFileLookup", True)
-            .load(path)
-            .select(F.col("_metadata.file_path").alias("file_path"), F.col("length").alias("n_bytes"))
-        )
-        return files.join(rows, "file_path", "left").select(
-            "file_path",
-            "n_bytes",
-            F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
-            F.lit(len(table.columns)).alias("n_columns"),
-        )
-
-    return reduce(DataFrame.unionByName, [one(path) for path in as_list(paths)])
+def _base(file: str, bases: list[str]) -> str:
+    """The given path a file lies below, so that its folder columns are seen."""
+    for base in bases:
+        if base.removeprefix("file:").lstrip("/") + "/" in file:
+            return base
+    return file.rsplit("/", 1)[0]

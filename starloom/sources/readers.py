@@ -6,9 +6,10 @@ from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.names import as_list
+from starloom.names import as_list, col
 
 
 def read_table(
@@ -31,31 +32,61 @@ def read_csv(
     schema: T.StructType | str | None = None,
     sep: str = ",",
     encoding: str = "UTF-8",
+    malformed: str | None = None,
 ) -> DataFrame:
     """Read CSV with a header row.
 
-    With a schema the header is checked against it and no inference job runs;
-    without one the types are inferred, which scans the files once more.
+    With a schema the whole header is checked against it, whatever columns are used
+    later, and no inference job runs; without one the types are inferred, which
+    scans the files once more. With a schema a line that does not fit it, in a cell
+    or in the number of cells, fails the read; or else ``malformed`` names a text column
+    that holds such lines, and is NULL for all others.
     """
     options = {"header": True, "sep": sep, "encoding": encoding}
     if schema is None:
-        options["inferSchema"] = True
-    else:
-        options["enforceSchema"] = False
+        return read_table(spark, paths, "csv", inferSchema=True, **options)
+    options |= {"enforceSchema": False, "columnPruning": False, "mode": "FAILFAST"}
+    if malformed is not None:
+        if isinstance(schema, str):
+            schema = T.StructType.fromDDL(schema)
+        schema = T.StructType([*schema.fields, T.StructField(malformed, T.StringType())])
+        options |= {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": malformed}
     return read_table(spark, paths, "csv", schema, **options)
 
 
 def read_many(
-    spark: SparkSession, paths: Iterable[str], fmt: str = "parquet", **options: str
+    spark: SparkSession,
+    paths: Iterable[str],
+    fmt: str = "parquet",
+    schema: T.StructType | str | None = None,
+    **options: str,
 ) -> DataFrame:
     """Read monthly tables whose columns may differ, matching columns by name.
 
-    A column a month lacks reads as NULL. Only file footers are opened here.
+    A column a month lacks reads as NULL. With a schema each month's columns are cast
+    to its types, whatever the month stored, so months agree; a value that does not
+    fit fails the read. Columns beyond the schema are kept. CSV months are read as text under their own
+    header and need a schema for other types. Only footers and headers are opened here.
     """
+    if fmt == "csv":
+        options = {"header": True} | options
     months = [read_table(spark, path, fmt, **options) for path in paths]
+    if schema is not None:
+        months = [conform(month, schema) for month in months]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), months)
 
 
+def conform(df: DataFrame, schema: T.StructType | str) -> DataFrame:
+    """The schema's columns in its order and types (NULL if absent), then all others."""
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    declared = [
+        (col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in schema.fields
+    ]
+    return df.select(*declared, *[col(c) for c in df.columns if c not in schema.names])
+
+
 def register(**tables: DataFrame) -> None:
     """Create or replace a temporary view per keyword, for use in SQL text."""
     for name, table in tables.items():

@@ -51,6 +51,30 @@ def read_partitioned(spark: SparkSession, path: str, schema: T.StructType) -> Da
     return table.select(*[col(name) for name in schema.names])
 
 
+def publish(table: DataFrame, built: str, path: str) -> DataFrame:
+    """Move a finished table from ``built`` to ``path``, in place of what lies there.
+
+    The old table is moved aside first and deleted last. Both paths have to be in one
+    file system; otherwise the table is copied.
+    """
+    spark = table.sparkSession
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+    source, target, aside = hadoop(built), hadoop(path), hadoop(path.rstrip("/") + ".replaced")
+    files = source.getFileSystem(conf)
+    if not files.getUri().equals(target.getFileSystem(conf).getUri()):
+        table.write.mode("overwrite").parquet(path)
+        return spark.read.schema(table.schema).parquet(path)
+    files.mkdirs(target.getParent())
+    files.delete(aside, True)
+    if files.exists(target) and not files.rename(target, aside):
+        raise OSError(f"{path} cannot be moved aside")
+    if not files.rename(source, target):
+        files.rename(aside, target)
+        raise OSError(f"{built} cannot be moved to {path}")
+    files.delete(aside, True)
+    return read_partitioned(spark, path, table.schema)
+
+
 def stage(df: DataFrame, path: str) -> DataFrame:
     """Copy a raw table to Parquet at a new path and continue from the copy.
 

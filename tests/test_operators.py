@@ -33,7 +33,7 @@ from starloom.operators import (
     with_missing_count,
     with_surrogate_key,
 )
-from starloom.operators.joins import _hot_keys
+from starloom.operators.joins import _hot_rows, lookup_joins
 from starloom.operators.quality import QualityError
 
 
@@ -189,7 +189,7 @@ def test_lookup_join_refuses_or_reduces_duplicates(spark):
 
 @pytest.mark.parametrize(
     ("hot_share", "broadcast_bytes"),
-    [(0.05, 2000), (0.0005, 20000), (0.0, 20000), (0.0, 0), (1.0, 20000)],
+    [(0.05, 2000), (0.0005, 20000), (1e-9, 20000), (1e-9, 0), (1.0, 20000)],
 )
 def test_lookup_join_large_equals_plain_join(skewed, hot_share, broadcast_bytes):
     fact, lookup = skewed
@@ -206,16 +206,71 @@ def test_hot_keys_are_the_hottest_that_fit(spark):
     key = F.when(F.col("id") % 2 == 0, 1).when(F.col("id") % 3 == 0, 2).otherwise(F.col("id") % 5 + 3)
     used = spark.range(1000).select(key.alias("_key0"))
     right = spark.createDataFrame([(1, "x" * 968), (2, "y" * 968), (5, "z")], "_key0 int, text string")
-    for limit, keys, found in (
-        (999, {3, 4, 6, 7}, set()),
-        (1000, {1, 3, 4, 6, 7}, {1}),
-        (3000, {1, 2, 3, 4, 5, 6, 7}, {1, 2, 5}),
-    ):
-        hot, hot_right = _hot_keys(used, right, ["_key0"], 20, limit)
-        assert {r[0] for r in hot.collect()} == keys
-        assert {r[0] for r in hot_right.collect()} == found
-    hot, hot_right = _hot_keys(used, right, ["_key0"], 400, 3000)
-    assert rows(hot) == [(1,)] and hot_right.count() == 1
+    for limit, found in ((999, set()), (1000, {1}), (3000, {1, 2, 5})):
+        hot = _hot_rows(used, right, ["_key0"], ["text"], 0.02, limit)
+        assert {r[0] for r in hot.collect()} == found
+    assert rows(_hot_rows(used, right, ["_key0"], ["text"], 0.4, 3000)) == [(1, "x" * 968)]
+
+
+def test_chained_large_lookups_read_the_fact_once_each(spark, plan, tmp_path):
+    fact = spark.range(3000).select("id", *[(F.col("id") % (50 + i)).alias(f"k{i}") for i in range(3)])
+    fact.write.parquet(f"{tmp_path}/fact")
+    fact = spark.read.parquet(f"{tmp_path}/fact")
+    lookups = [
+        (spark.range(60).select(F.col("id").alias(f"k{i}"), (F.col("id") * 7).alias(f"v{i}")), f"k{i}")
+        for i in range(3)
+    ]
+    joined = lookup_joins(fact, *lookups, broadcast_bytes=200)
+    assert plan(joined).count(f"{tmp_path}/fact") == 1
+    assert sorted(rows(joined)) == sorted((*r, *[7 * k for k in r[1:]]) for r in rows(fact))
+
+
+def test_lookups_refuse_what_they_cannot_keep(spark):
+    fact = spark.createDataFrame([(1, "a")], "k int, name string")
+    lookup = spark.createDataFrame([(1, "b")], "k int, Name string")
+    with pytest.raises(ValueError, match="name"):
+        lookup_join(fact, lookup, "k")
+    with pytest.raises(ValueError, match="hot_share"):
+        lookup_join(fact, lookup.drop("Name"), "k", hot_share=0)
+
+
+HELPERS = ("_rank", "_part", "_pos", "_slot", "_size", "_offset", "_n_rows", "_rows", "_n", "_hot", "_key0", "_done", "_salt", "_zero", "_bytes")
+
+
+def test_columns_named_like_helpers_survive(spark):
+    names = ("k", *HELPERS)
+    values = [(k, *[10 * k + i for i in range(len(HELPERS))]) for k in (1, 1, 2)]
+    df = spark.createDataFrame(values, ", ".join(f"{n} int" for n in names))
+    assert rows(dedup(df, "k")) == sorted(set(values))
+    assert rows(with_surrogate_key(dedup(df, "k"), "k", "id")) == [(*v, i) for i, v in enumerate(sorted(set(values)))]
+    assert {r.column_name: r.missing for r in missing_profile(df).collect()} == dict.fromkeys(names, 0)
+    assert rows(check_not_null(df, names))[0][1:] == (3, 0, True)
+    assert rows(check_unique(df, ("_n", "_rows")))[0][1:3] == (3, 1)
+    lookup = spark.createDataFrame([(1, "x"), (2, "y")], "k int, _shuffled0 string")
+    for size in (10**6, 1):
+        joined = lookup_join(df, lookup, "k", broadcast_bytes=size)
+        assert rows(joined) == sorted((*v, {1: "x", 2: "y"}[v[0]]) for v in values)
+    with pytest.raises(ValueError, match="k"):
+        with_surrogate_key(df, "_n", "k")
+
+
+def test_the_more_complete_duplicate_survives_and_maps_are_ordered(spark):
+    df = spark.createDataFrame(
+        [(1, None, {"a": 2}, ({"b": 1},)), (1, 30.0, {"a": 3}, ({"b": 0},)), (1, 30.0, {"a": 2}, ({"b": 1},))],
+        "k int, v double, m map<string,int>, s struct<m: map<string,int>>",
+    )
+    for layout in (df, df.repartition(3)):
+        assert [tuple(r) for r in dedup(layout, "k").collect()] == [(1, 30.0, {"a": 2}, ({"b": 1},))]
+
+
+def test_quartiles_with_infinities_ties_and_many_values(spark):
+    inf = math.inf
+    df = spark.createDataFrame([(v,) for v in (1.0, 2.0, inf, inf, inf)], "v double")
+    assert [tuple(r)[5:] for r in describe(df).collect()] == [(2.0, inf, inf, inf)]
+    many = spark.range(300_000).select((F.col("id") * 7919 % 300_000).alias("a"), F.when(F.col("id") % 10 > 0, 5).alias("t"))
+    got = {r.column_name: r for r in describe(many).collect()}
+    assert (got["a"].p25, got["a"].p50, got["a"].p75) == (74999.75, 149999.5, 224999.25)
+    assert (got["t"]["count"], got["t"].p25, got["t"].p75) == (270_000, 5.0, 5.0)
 
 
 def test_lookup_join_broadcasts_by_measured_size(skewed, plan, setting):
@@ -313,7 +368,7 @@ def test_unique_check(spark):
 
 def test_not_null_check(gappy):
     assert rows(check_not_null(gappy, ["k", "Median Age"])) == [
-        ("not_null(Median Age)", 4, 2, False),
+        ("not_null(Median Age)", 4, 3, False),
         ("not_null(k)", 4, 1, False),
     ]
 

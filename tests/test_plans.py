@@ -25,8 +25,8 @@ def test_required_columns_reach_the_scan(spark, plan):
 
 
 def test_members_of_kept_rows_read_one_column(spark, plan):
-    kinds = Cleaning(empty_rows=True).column(read(spark, "orders"), "o_orderpriority")
-    known = plan(kinds.distinct()).split("FileScan")[1]
+    kinds = Cleaning(empty_rows=True).distinct_column(read(spark, "orders"), "o_orderpriority")
+    known = plan(kinds).split("FileScan")[1]
     assert "ReadSchema: struct<o_orderpriority:string>" in known
     assert "IsNotNull(o_orderpriority)" in known
 

@@ -20,6 +20,7 @@ Only id and text columns of the two tables are read.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -33,15 +34,16 @@ from starloom.llm.words import WordHashes, Windows, texts
 
 SHINGLE = 5
 THRESHOLD = 0.75
-RADIUS = 10
+RADIUS = 7
 STRIDE = 4
 SIZES = (8, 10, 13, 16, 20, 25, 31, 39, 49, 61, 76, 95, 119)
 #: Positions tried on either side of the place a fingerprint points to.
-SLACK = 3
+SLACK = 1
 #: Bytes of benchmark text one pass over the documents takes; more items take more passes.
 PASS_BYTES = 16 << 20
-#: Windows fingerprinted at once.
+#: Windows fingerprinted at once, and words of short documents laid end to end.
 _ROWS = 16_384
+_TOGETHER = 1 << 16
 
 
 class SimHash:
@@ -142,23 +144,40 @@ class ItemIndex:
             return Counter(Windows(len(hashes)).of(hashes).tolist())
         return Counter(self.windows.of(hashes).tolist())
 
-    def matches(self, text: bytes, threshold: float) -> dict[int, tuple[float, int]]:
-        """Per item number the best (similarity, first word) that reaches the threshold."""
-        words = text.lower().split()
-        best: dict[int, tuple[float, int]] = {}
-        places = self._candidates(words)
-        if not places:
-            return best
-        hashes = self.hashes.of(words)
-        for number, starts in places.items():
+    def matches(self, documents: list[bytes], threshold: float) -> list[dict[int, tuple[float, int]]]:
+        """Per document and item number the best (similarity, first word) at or over the threshold.
+
+        Documents are laid end to end, each beginning at a multiple of the stride.
+        """
+        out: list[dict[int, tuple[float, int]]] = []
+        words: list[bytes] = []
+        bounds: list[tuple[int, int]] = []
+        for document in documents:
+            own = document.lower().split()
+            if len(words) + len(own) > _TOGETHER and bounds:
+                out += self._verified(words, bounds, threshold)
+                words, bounds = [], []
+            bounds.append((len(words), len(words) + len(own)))
+            words += own
+            words += [b""] * (-len(words) % self.stride)
+        return out + (self._verified(words, bounds, threshold) if bounds else [])
+
+    def _verified(
+        self, words: list[bytes], bounds: list[tuple[int, int]], threshold: float
+    ) -> list[dict[int, tuple[float, int]]]:
+        best: list[dict[int, tuple[float, int]]] = [{} for _ in bounds]
+        begins = [b for b, _ in bounds]
+        for number, starts in self._candidates(words).items():
             size, weights = self.sizes[number], self.weights[number]
             for start in sorted({s + d for s in starts for d in range(-SLACK, SLACK + 1)}):
-                if 0 <= start and start + size <= len(words):
-                    own = self._shingles(hashes[start : start + size])
+                at = max(0, bisect_right(begins, start) - 1)
+                first, last = bounds[at]
+                if first <= start and start + size <= last:
+                    own = self._shingles(self.hashes.of(words[start : start + size]))
                     both = sum((weights & own).values())
                     value = both / (weights.total() + own.total() - both)
-                    if value >= threshold and value > best.get(number, (0.0, 0))[0]:
-                        best[number] = (value, start)
+                    if value >= threshold and value > best[at].get(number, (0.0, 0))[0]:
+                        best[at][number] = (value, start - first)
         return best
 
     def _candidates(self, words: list[bytes]) -> dict[int, set[int]]:
@@ -222,8 +241,8 @@ def _search(given, item_kind: pa.DataType, threshold: float, radius: int):
         index = ItemIndex(given.value, radius)
         for batch in batches:
             take, rows = [], []
-            for i, text in enumerate(texts(batch, 1)):
-                for number, (value, start) in sorted(index.matches(text, threshold).items()):
+            for i, found in enumerate(index.matches(list(texts(batch, 1)), threshold)):
+                for number, (value, start) in sorted(found.items()):
                     take.append(i)
                     rows.append((index.ids[number], start, index.sizes[number], value))
             item, start, size, value = zip(*rows, strict=True) if rows else [()] * 4
@@ -264,6 +283,7 @@ def _clean(given, column: int, threshold: float, radius: int):
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = ItemIndex(given.value, radius)
         for batch in batches:
-            yield batch.filter(pa.array([not index.matches(t, threshold) for t in texts(batch, column)], pa.bool_()))
+            found = index.matches(list(texts(batch, column)), threshold)
+            yield batch.filter(pa.array([not own for own in found], pa.bool_()))
 
     return keep

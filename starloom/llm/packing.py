@@ -47,20 +47,23 @@ ELITES = 1
 NEIGHBOURS = 24
 TAIL_BINS = 12
 #: Words whose ids a Python worker remembers.
-_REMEMBERED = 500_000
-_held: dict = {}
+_REMEMBERED = 1_000_000
 
 
 def _encoder(text: str):
-    """The tokenizer of this worker and its memory of words."""
-    key = zlib.crc32(text.encode())
-    if key not in _held:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+    """The tokenizer of this worker process and its memory of words.
+
+    Both outlive a task: they are kept with the library, as task code is not.
+    """
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    import tokenizers
 
-        _held.clear()
-        _held[key] = (Tokenizer.from_str(text), {})
-    return _held[key]
+    held = vars(tokenizers).setdefault("_starloom_held", {})
+    key = zlib.crc32(text.encode())
+    if key not in held:
+        held.clear()
+        held[key] = (tokenizers.Tokenizer.from_str(text), {})
+    return held[key]
 
 
 def tokenize(

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 
 from starloom.plans.star import StarSources, build_star, cleaning_report
+from starloom.scratch import clear_scratch
 
 
 def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
@@ -39,6 +40,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     if args.report:
         cleaning_report(spark, sources).show()
     build_star(spark, sources, args.output.rstrip("/"), args.fail_on_empty).quality().show()
+    clear_scratch(spark)
 
 
 if __name__ == "__main__":

@@ -22,9 +22,20 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
 
 
+def session_dir(spark: SparkSession) -> str:
+    """The part of the shared folder that belongs to this application."""
+    return f"{shared_dir(spark)}/starloom/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path below the shared folder that nothing has used before."""
-    return f"{shared_dir(spark)}/starloom/{name}-{uuid4().hex}"
+    """A path below this application's folder that nothing has used before."""
+    return f"{session_dir(spark)}/{name}-{uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables; results not yet written are lost."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(session_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

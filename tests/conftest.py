@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 
 
 @pytest.fixture(scope="session")
-def spark() -> SparkSession:
+def spark(tmp_path_factory) -> SparkSession:
     session = (
         SparkSession.builder.master("local[*]")
         .appName("starloom-tests")
@@ -16,6 +16,7 @@ def spark() -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("scratch")))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

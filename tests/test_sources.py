@@ -5,9 +5,16 @@ import glob
 import pytest
 from pyspark.sql import functions as F
 
-from starloom.scratch import CHECKPOINT_DIR, materialise, scratch_path, shared_dir
+from starloom.scratch import (
+    CHECKPOINT_DIR,
+    clear_scratch,
+    materialise,
+    scratch_path,
+    shared_dir,
+)
 from starloom.sources import (
     file_inventory,
+    publish,
     read_csv,
     read_many,
     read_table,
@@ -125,9 +132,11 @@ def test_register_replaces_views(spark):
 class FakeSession:
     """A session's settings, without a session."""
 
-    def __init__(self, folder=None, master="local[2]", checkpoint=None):
-        self.conf = {CHECKPOINT_DIR: folder} if folder else {}
-        self.master, self.checkpoint = master, checkpoint
+    def __init__(self, folder=None, checkpoint=None):
+        self.conf = {"spark.sql.warehouse.dir": "hdfs:///tables/"}
+        if folder:
+            self.conf[CHECKPOINT_DIR] = folder
+        self.checkpoint = checkpoint
 
     @property
     def sparkContext(self):
@@ -136,17 +145,11 @@ class FakeSession:
     def getCheckpointDir(self):
         return self.checkpoint
 
-    def setCheckpointDir(self, folder):
-        self.checkpoint = folder
-
 
 def test_the_shared_folder_is_the_sessions():
-    assert shared_dir(FakeSession("s3a://bucket/shared/", "yarn")) == "s3a://bucket/shared"
-    assert shared_dir(FakeSession(master="yarn", checkpoint="hdfs:///c")) == "hdfs:///c"
-    with pytest.raises(RuntimeError, match="every executor"):
-        shared_dir(FakeSession(master="yarn"))
-    local = FakeSession()
-    assert shared_dir(local) == shared_dir(local) == local.checkpoint
+    assert shared_dir(FakeSession("s3a://bucket/shared/")) == "s3a://bucket/shared"
+    assert shared_dir(FakeSession(checkpoint="hdfs:///c")) == "hdfs:///c"
+    assert shared_dir(FakeSession()) == "hdfs:///tables/scratch"
 
 
 def test_scratch_paths_are_new_and_shared(spark):
@@ -155,3 +158,51 @@ def test_scratch_paths_are_new_and_shared(spark):
     table = materialise(spark.range(4), "four")
     assert table.count() == 4
     assert shared_dir(spark).removeprefix("file:") in table.inputFiles()[0]
+
+
+def test_scratch_can_be_cleared(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("starloom.scratch.session_dir", lambda session: str(tmp_path / "own"))
+    materialise(spark.range(4), "four")
+    assert list((tmp_path / "own").rglob("*.parquet"))
+    clear_scratch(spark)
+    assert not list((tmp_path / "own").rglob("*.parquet"))
+
+
+def test_malformed_csv_lines_fail_or_are_kept_apart(spark, tmp_path):
+    path = str(tmp_path / "codes.csv")
+    (tmp_path / "codes.csv").write_text("code,Name\n1,A\n10.0,B\n\"1,200\",C\n4\n5,E,extra\n")
+    with pytest.raises(Exception, match="MALFORMED|Malformed"):
+        read_csv(spark, path, COUNTRY_CODES).select("Name").collect()
+    df = read_csv(spark, path, COUNTRY_CODES, malformed="line")
+    assert {r.line is not None for r in df.where("Name = 'A'").collect()} == {False}
+    assert df.where("line is not null").count() >= 3 and df.count() == 5
+
+
+def test_csv_with_one_more_column_is_refused_whatever_is_read(spark, tmp_path):
+    (tmp_path / "codes.csv").write_text("code,Name,more\n1,A,x\n")
+    with pytest.raises(Exception, match="header"):
+        read_csv(spark, str(tmp_path / "codes.csv"), COUNTRY_CODES).select("Name").collect()
+
+
+def test_months_agree_in_type_and_keep_more_columns(spark, tmp_path):
+    (tmp_path / "jan.csv").write_text("b,a\nx,1\n")
+    (tmp_path / "feb.csv").write_text("a,c\n2.5,z\n")
+    paths = [str(tmp_path / f"{m}.csv") for m in ("jan", "feb")]
+    df = read_many(spark, paths, "csv", "a double, b string")
+    assert df.dtypes == [("a", "double"), ("b", "string"), ("c", "string")]
+    assert rows(df) == [(1.0, "x", None), (2.5, None, "z")]
+
+
+def test_inventory_tells_each_files_columns(spark, tmp_path):
+    spark.range(3).coalesce(1).write.parquet(f"{tmp_path}/all")
+    spark.range(5).selectExpr("id", "id as more").coalesce(1).write.mode("append").parquet(f"{tmp_path}/all")
+    got = file_inventory(spark, f"{tmp_path}/all").where("n_rows > 0").select("n_rows", "n_columns")
+    assert rows(got) == [(3, 1), (5, 2)]
+
+
+def test_publishing_replaces_and_reads_back(spark, tmp_path):
+    for n in (3, 4):
+        built = f"{tmp_path}/built{n}"
+        table = write_table(spark.range(n), built)
+        assert publish(table, built, f"{tmp_path}/out/t").count() == n
+    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == ["t"]

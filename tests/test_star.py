@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import math
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -25,7 +26,7 @@ from starloom.plans.reports import (
     monthly_visitors_by_state,
     visit_drilldown,
 )
-from starloom.plans.star import StarSources, build_star, load_immigration
+from starloom.plans.star import StarSources, at_once, build_star, load_immigration
 from starloom.sources.schemas import DEMOGRAPHICS, IMMIGRATION, TEMPERATURE
 
 APRIL_1, APRIL_2, NEW_YEAR = dt.date(2016, 4, 1), dt.date(2016, 4, 2), dt.date(2016, 1, 1)
@@ -307,5 +308,23 @@ def test_an_empty_table_fails_the_build(spark, tmp_path):
     sources = StarSources(
         f"{tmp_path}/immigration", f"{tmp_path}/t", f"{tmp_path}/d", f"{tmp_path}/codes.csv"
     )
+    old = f"{tmp_path}/out/immigration_fact"
+    spark.range(3).write.parquet(old)
     with pytest.raises(QualityError, match="immigration_fact"):
         build_star(spark, sources, f"{tmp_path}/out", fail_on_empty=True)
+    assert spark.read.parquet(old).count() == 3
+    assert [p.name for p in (tmp_path / "out").iterdir()] == ["immigration_fact"]
+
+
+def test_a_failing_step_cancels_its_siblings(spark):
+    def slow():
+        spark.sparkContext.parallelize(range(2), 2).foreach(lambda _: time.sleep(90))
+
+    def broken():
+        time.sleep(3)
+        raise KeyError("broken")
+
+    start = time.monotonic()
+    with pytest.raises(KeyError):
+        at_once(slow, broken)
+    assert time.monotonic() - start < 60

@@ -26,7 +26,15 @@ from starloom.plans.dimensions import (
 )
 from starloom.plans.facts import FACT_NAMES, immigration_fact
 from starloom.scratch import materialise, scratch_path
-from starloom.sources import publish, read_csv, read_many, write_partitioned, write_table
+from starloom.sources import (
+    publish,
+    read_csv,
+    read_many,
+    read_table,
+    write_partitioned,
+    write_table,
+)
+from starloom.sources.readers import fits
 from starloom.sources.schemas import COUNTRY_CODES, DEMOGRAPHICS, IMMIGRATION, TEMPERATURE
 
 _COLUMNAR = ("parquet", "orc")
@@ -89,11 +97,14 @@ def load_immigration(
     """The raw immigration table without its sparse columns, in a columnar format.
 
     Months are matched by column name and brought to the declared types. Several steps read a few columns each, so a row format is copied to Parquet
-    first: the raw files are then decoded once for the whole run.
+    first: the raw files are then decoded once for the whole run. So are months
+    whose types differ from the declared ones.
     """
-    raw = read_many(spark, as_list(paths), fmt, IMMIGRATION)
+    paths = as_list(paths)
+    raw = read_many(spark, paths, fmt, IMMIGRATION)
     raw = drop_columns(raw, cleaning.IMMIGRATION.columns)
-    return raw if fmt in _COLUMNAR else materialise(raw, "immigration")
+    as_is = fmt in _COLUMNAR and all(fits(read_table(spark, p, fmt), IMMIGRATION) for p in paths)
+    return raw if as_is else materialise(raw, "immigration")
 
 
 def load_temperature(spark: SparkSession, path: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -80,13 +80,27 @@ def conform(df: DataFrame, schema: T.StructType | str) -> DataFrame:
     """The schema's columns in its order and types (NULL if absent), then all others."""
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
-    declared = [
-        (col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-        for f in schema.fields
-    ]
+    have = {f.name: f.dataType for f in df.schema.fields}
+
+    def declare(f: T.StructField) -> Column:
+        if have.get(f.name) == f.dataType:
+            # Not renamed: filters over many renamed columns are slow to optimise.
+            return col(f.name)
+        value = col(f.name) if f.name in have else F.lit(None)
+        return value.cast(f.dataType).alias(f.name)
+
+    declared = [declare(f) for f in schema.fields]
     return df.select(*declared, *[col(c) for c in df.columns if c not in schema.names])
 
 
+def fits(df: DataFrame, schema: T.StructType | str) -> bool:
+    """True if no column that ``df`` shares with the schema has another type."""
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    have = {f.name: f.dataType for f in df.schema.fields}
+    return all(have.get(f.name, f.dataType) == f.dataType for f in schema.fields)
+
+
 def register(**tables: DataFrame) -> None:
     """Create or replace a temporary view per keyword, for use in SQL text."""
     for name, table in tables.items():

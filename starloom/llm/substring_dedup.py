@@ -180,14 +180,16 @@ class _Chunk:
     def searched(self) -> list[int]:
         return [d for d, words in enumerate(self.words) if len(words) >= self.size and not self.copy[d]]
 
-    def hashes(self, d: int) -> tuple[np.ndarray, np.ndarray]:
-        words = self.words[d]
-        second = self.windows[1].of(self.second.of(words)) >> np.uint64(32)
-        return self.windows[0].of(self.first.of(words)), second
+    def check(self, d: int) -> np.ndarray:
+        """32 more bits of hash of each window; needed only where the first ones repeat."""
+        return self.windows[1].of(self.second.of(self.words[d])) >> np.uint64(32)
 
 
 def _grouped(h: np.ndarray, g: np.ndarray, *later: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Order by the two hashes (then by ``later``, least significant first) and where groups begin."""
+    """Order by the two hashes (then by ``later``, least significant first) and where groups begin.
+
+    Equal keys keep the order they come in.
+    """
     order = np.lexsort((*later, g, h))
     h, g = h[order], g[order]
     begins = np.ones(len(order), bool)
@@ -227,17 +229,18 @@ def _candidates(bits: int, shard_bits: int, size: int, parts: int):
             anchors = Anchors(size)
             found = []
             for d in chunk.searched():
-                each, _ = anchors.of(chunk.first.of(chunk.words[d]))
+                hashes = chunk.first.of(chunk.words[d])
+                each, _ = anchors.of(hashes)
                 wanted = np.ones(len(each), bool)
                 for row in range(DEPTH):
                     wanted &= _within(cells_of(each, row, bits), hot[row])
                 at = np.flatnonzero(wanted)
                 if len(at):
-                    h, g = chunk.hashes(d)
-                    found.append((h[at], g[at], np.full(len(at), d), at))
+                    h = chunk.windows[0].of(hashes)
+                    found.append((h[at], chunk.check(d)[at], np.full(len(at), d), at))
             if found:
                 h, g, doc, at = (np.concatenate(x) for x in zip(*found, strict=True))
-                order, begins = _grouped(h, g, at, doc)
+                order, begins = _grouped(h, g)
                 own = np.sort(order[begins])
                 h, g, doc, at = h[own], g[own], doc[own], at[own]
                 part = (h % np.uint64(parts)).astype(np.int64)
@@ -296,15 +299,23 @@ def _removal(size: int, names: list[str] | None, id_column: str, text_column: st
             chunk = _Chunk(left, copies, size)
             sent = np.frombuffer(b"".join(data.get(0, [])), [("h", "<u8"), ("g", "<u4")])
             docs = chunk.searched()
-            pairs = [chunk.hashes(d) for d in docs]
-            starts = np.cumsum([0, *(len(h) for h, _ in pairs)])
+            each = [chunk.windows[0].of(chunk.first.of(chunk.words[d])) for d in docs]
+            starts = np.cumsum([0, *map(len, each)])
             later = np.zeros(starts[-1], bool)
             if docs:
                 # Windows sent back come first in their group, so all of the chunk's are later.
-                h = np.concatenate([sent["h"], *(h for h, _ in pairs)])
-                g = np.concatenate([sent["g"].astype(np.uint64), *(g for _, g in pairs)])
-                order, begins = _grouped(h, g, np.arange(len(h)))
-                hit = order[~begins]
+                h = np.concatenate([sent["h"], *each])
+                order = np.argsort(h)
+                sorted_ = h[order]
+                same = sorted_[1:] == sorted_[:-1]
+                again = np.sort(order[np.append(same, False) | np.append(False, same)])
+                own = again[again >= len(sent)] - len(sent)
+                g = np.zeros(len(h), np.uint64)
+                g[: len(sent)] = sent["g"]
+                for k in np.unique(np.searchsorted(starts, own, "right") - 1).tolist():
+                    g[len(sent) + starts[k] : len(sent) + starts[k + 1]] = chunk.check(docs[k])
+                order, begins = _grouped(h[again], g[again])
+                hit = again[order[~begins]]
                 later[hit[hit >= len(sent)] - len(sent)] = True
             spans = {d: np.flatnonzero(later[starts[k] : starts[k + 1]]) for k, d in enumerate(docs)}
             for d, words in enumerate(chunk.words):

@@ -77,6 +77,7 @@ class Network:
             random = np.random.default_rng(1)
             for name, scale in (("embed", 0.3), ("input", 0.25), ("state", 0.15), ("class", 0.02), ("word", 0.02)):
                 self.p[name][...] = random.normal(0, scale, self.p[name].shape)
+            self.p["word_bias"].reshape(-1)[words:] = -30  # the last class's empty places
             if shares is not None:  # start at the training frequencies
                 self._start(shares)
 

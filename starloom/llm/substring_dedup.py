@@ -121,7 +121,8 @@ def _sketches(bits: int, shard_bits: int, size: int):
             cells, counts = np.unique(cells_of(own, row, bits), return_counts=True)
             shards = (cells >> np.uint64(shard_bits)).astype(np.int64)
             edges = np.flatnonzero(np.diff(shards, prepend=-1))
-            for start, end in zip(edges, [*edges[1:], len(cells)], strict=True):
+            ends = np.append(edges[1:], len(cells))[: len(edges)]  # none for a chunk of short texts
+            for start, end in zip(edges, ends, strict=True):
                 low = cells[start:end] & np.uint64((1 << shard_bits) - 1)
                 again = low[counts[start:end] > 1]
                 out.append((int(shards[start]) * DEPTH + row, chunk, _pack(low), _pack(again)))

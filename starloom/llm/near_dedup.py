@@ -42,7 +42,7 @@ BANDS, ROWS = 32, 4
 #: Matching minima of 128 below which a pair at 0.75 is out of the question (five deviations).
 LEAST_MATCHES = 72
 #: Members of a bucket compared in one block.
-BLOCK = 512
+BLOCK = 2048
 _random = np.random.default_rng(20240607)
 _MULTIPLY = _random.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)[:, None] * np.uint64(2) + np.uint64(1)
 _ADD = _random.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)[:, None]

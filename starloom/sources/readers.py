@@ -40,7 +40,8 @@ def read_csv(
     later, and no inference job runs; without one the types are inferred, which
     scans the files once more. With a schema a line that does not fit it, in a cell
     or in the number of cells, fails the read; or else ``malformed`` names a text column
-    that holds such lines, and is NULL for all others.
+    that holds such lines, and is NULL for all others (Spark refuses a query that uses
+    that column alone).
     """
     options = {"header": True, "sep": sep, "encoding": encoding}
     if schema is None:

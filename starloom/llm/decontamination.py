@@ -1,16 +1,23 @@
 """Benchmark decontamination by SimHash windows and multi-index Hamming blocks.
 
-Text is lower-cased (A-Z) and split into words. Each benchmark item has a window
-size: the largest of ``SIZES`` that its length allows. Sub-windows of an item of
-that size, at every offset of one stride at its beginning and at its end, are
-fingerprinted (64-bit SimHash of the words, by frequency); windows of a document
-are fingerprinted at multiples of the stride, so a copied item always has a window
-that lines up with one of its sub-windows. Fingerprints are looked up by
-``RADIUS + 1`` blocks of bits: two fingerprints within the radius agree in at
-least one block, so every pair within it is found. Each candidate is then verified: the weighted Jaccard similarity of
-the 5-word shingles of the item and of the item-long passage, best of a few
-alignments, must reach ``threshold``; a shingle's weight is its number of
-occurrences.
+Text is lower-cased (A-Z) and split into words. A passage matches an item if the
+weighted Jaccard similarity of their 5-word shingles reaches ``threshold``; a
+shingle's weight is its number of occurrences. All passages as long as the item
+are decided, without sampling:
+
+* Rare shingles: a passage at the threshold shares so many shingles with the item
+  that it holds one of any ``total - needed + 1`` of them. The rarest of each item
+  are looked up at every word of a document. Documents without any match nothing.
+* SimHash windows: each item has a window size, the largest of ``SIZES`` that its length
+  allows. Sub-windows of an item of that size, at every offset of one stride at its
+  beginning and at its end, are fingerprinted (64-bit SimHash of the words, by
+  frequency), and so are windows of the documents left, at multiples of the stride.
+  Fingerprints are looked up by ``RADIUS + 1`` blocks of bits: two fingerprints within
+  the radius agree in at least one block, so every pair within it is found.
+* Places: the similarity is counted exactly where a fingerprint points to and,
+  because a passage at the threshold can lie outside the radius, at each passage
+  that ends with a shingle of the item around its rare shingles. The earliest best
+  passage always ends so, or begins the document.
 
 Defined results: null, empty and blank texts match nothing. An item of fewer
 than five words is one shingle. Equal items each give their row; repeated
@@ -20,6 +27,7 @@ Only id and text columns of the two tables are read.
 
 from __future__ import annotations
 
+import math
 from bisect import bisect_right
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -34,11 +42,11 @@ from starloom.llm.words import WordHashes, Windows, texts
 
 SHINGLE = 5
 THRESHOLD = 0.75
-RADIUS = 7
+RADIUS = 10
 STRIDE = 4
 SIZES = (8, 10, 13, 16, 20, 25, 31, 39, 49, 61, 76, 95, 119)
 #: Positions tried on either side of the place a fingerprint points to.
-SLACK = 1
+SLACK = 3
 #: Bytes of benchmark text one pass over the documents takes; more items take more passes.
 PASS_BYTES = 16 << 20
 #: Windows fingerprinted at once, and words of short documents laid end to end.
@@ -110,14 +118,48 @@ class HammingIndex:
         return np.divmod(pairs, max(1, len(self.prints)))
 
 
+class RareShingles:
+    """Items by those of their shingles of which a passage at the threshold holds one at least."""
+
+    def __init__(self, size: int, items: dict[int, Counter], threshold: float) -> None:
+        self.windows = Windows(size)
+        often = Counter(shingle for weights in items.values() for shingle in weights)
+        self.items: dict[int, list[int]] = defaultdict(list)
+        for number, weights in items.items():
+            # The union has at least the item's total, so this many have to be shared.
+            needed = max(1, math.ceil(threshold * weights.total() - 1e-9))
+            spare = weights.total() - needed
+            for shingle in sorted(weights, key=lambda x: (often[x], x)):
+                self.items[shingle].append(number)
+                spare -= weights[shingle]
+                if spare < 0:
+                    break
+        self.mask = np.uint64((1 << max(16, (8 * len(self.items)).bit_length())) - 1)
+        self.seen = np.zeros(int(self.mask) + 1, bool)
+        self.seen[np.fromiter(self.items, np.uint64, len(self.items)) & self.mask] = True
+
+    def places(self, shingles: np.ndarray) -> Iterator[tuple[int, list[int]]]:
+        """(position, item numbers) of the rare shingles."""
+        for at in np.flatnonzero(self.seen[shingles & self.mask]).tolist():
+            if numbers := self.items.get(int(shingles[at])):
+                yield at, numbers
+
+
 class ItemIndex:
     """Fingerprints and shingle weights of benchmark items."""
 
-    def __init__(self, items: list[tuple[int, str]], radius: int = RADIUS, stride: int = STRIDE) -> None:
+    def __init__(
+        self,
+        items: list[tuple[int, str]],
+        radius: int = RADIUS,
+        stride: int = STRIDE,
+        threshold: float = THRESHOLD,
+    ) -> None:
         self.simhash = SimHash()
         self.hashes = WordHashes()
         self.windows = Windows(SHINGLE)
         self.stride = stride
+        self.threshold = threshold
         self.ids, self.sizes, self.weights = [], [], []
         entries: dict[tuple[int, int], list[tuple[int, int, int]]] = defaultdict(list)
         for item_id, text in items:
@@ -138,13 +180,17 @@ class ItemIndex:
         for key, rows in entries.items():
             prints, number, offset = (np.array(v, k) for v, k in zip(zip(*rows, strict=True), (np.uint64, np.int64, np.int64), strict=True))
             self.groups[key] = (HammingIndex(prints, radius), number, offset)
+        kinds: dict[int, dict[int, Counter]] = defaultdict(dict)
+        for number, weights in enumerate(self.weights):
+            kinds[min(SHINGLE, self.sizes[number])][number] = weights
+        self.rare = {size: RareShingles(size, own, threshold) for size, own in kinds.items()}
 
     def _shingles(self, hashes: np.ndarray) -> Counter:
         if len(hashes) < SHINGLE:
             return Counter(Windows(len(hashes)).of(hashes).tolist())
         return Counter(self.windows.of(hashes).tolist())
 
-    def matches(self, documents: list[bytes], threshold: float) -> list[dict[int, tuple[float, int]]]:
+    def matches(self, documents: list[bytes]) -> list[dict[int, tuple[float, int]]]:
         """Per document and item number the best (similarity, first word) at or over the threshold.
 
         Documents are laid end to end, each beginning at a multiple of the stride.
@@ -155,31 +201,91 @@ class ItemIndex:
         for document in documents:
             own = document.lower().split()
             if len(words) + len(own) > _TOGETHER and bounds:
-                out += self._verified(words, bounds, threshold)
+                out += self._verified(words, bounds)
                 words, bounds = [], []
             bounds.append((len(words), len(words) + len(own)))
             words += own
             words += [b""] * (-len(words) % self.stride)
-        return out + (self._verified(words, bounds, threshold) if bounds else [])
+        return out + (self._verified(words, bounds) if bounds else [])
 
-    def _verified(
-        self, words: list[bytes], bounds: list[tuple[int, int]], threshold: float
-    ) -> list[dict[int, tuple[float, int]]]:
+    def _verified(self, words: list[bytes], bounds: list[tuple[int, int]]) -> list[dict[int, tuple[float, int]]]:
         best: list[dict[int, tuple[float, int]]] = [{} for _ in bounds]
         begins = [b for b, _ in bounds]
-        for number, starts in self._candidates(words).items():
-            size, weights = self.sizes[number], self.weights[number]
-            for start in sorted({s + d for s in starts for d in range(-SLACK, SLACK + 1)}):
-                at = max(0, bisect_right(begins, start) - 1)
-                first, last = bounds[at]
-                if first <= start and start + size <= last:
-                    own = self._shingles(self.hashes.of(words[start : start + size]))
-                    both = sum((weights & own).values())
-                    value = both / (weights.total() + own.total() - both)
-                    if value >= threshold and value > best[at].get(number, (0.0, 0))[0]:
-                        best[at][number] = (value, start - first)
+        hashes = self.hashes.of(words)
+        shingles = {size: rare.windows.of(hashes) for size, rare in self.rare.items()}
+        # Positions of an item's rare shingles, by document and item.
+        places: dict[tuple[int, int], list[int]] = defaultdict(list)
+        for size, rare in self.rare.items():
+            for place, numbers in rare.places(shingles[size]):
+                at = bisect_right(begins, place) - 1
+                if place + size <= bounds[at][1]:
+                    for number in numbers:
+                        places[at, number].append(place - bounds[at][0])
+        pointed = self._pointed(words, bounds, sorted({at for at, _ in places}))
+        for (at, number), own in places.items():
+            first, last = bounds[at]
+            size = min(SHINGLE, self.sizes[number])
+            found = self._best(
+                number, shingles[size][first : last - size + 1], np.array(own), pointed.get((at, number), set())
+            )
+            if found:
+                best[at][number] = found
         return best
 
+    def _pointed(
+        self, words: list[bytes], bounds: list[tuple[int, int]], documents: list[int]
+    ) -> dict[tuple[int, int], set[int]]:
+        """First words of the passages that fingerprints point to, by document and item."""
+        left: list[bytes] = []
+        begins = []
+        for at in documents:
+            begins.append(len(left))
+            left += words[slice(*bounds[at])]
+            left += [b""] * (-len(left) % self.stride)
+        out: dict[tuple[int, int], set[int]] = defaultdict(set)
+        for number, starts in self._candidates(left).items():
+            for start in starts:
+                # A window may reach over the end of a document into the next.
+                for end in {start, start + self.sizes[number] - 1}:
+                    k = max(0, bisect_right(begins, end) - 1)
+                    out[documents[k], number].add(start - begins[k])
+        return out
+
+    def _best(
+        self, number: int, shingles: np.ndarray, places: np.ndarray, pointed: set[int]
+    ) -> tuple[float, int] | None:
+        """The earliest best (similarity, first word) of an item around places in one document."""
+        n, weights = self.sizes[number], self.weights[number]
+        size, total = min(SHINGLE, n), weights.total()
+        words = len(shingles) + size - 1
+        # Positions of all of the item's shingles, as far as a passage around a place reaches.
+        low, high = np.maximum(places - n, 0), np.minimum(places + n + 1, len(shingles))
+        cut = np.flatnonzero(low[1:] > high[:-1]) + 1
+        near = zip(low[[0, *cut]].tolist(), high[[*(cut - 1), -1]].tolist(), strict=True)
+        near = np.concatenate([np.arange(*ends) for ends in near])
+        known = np.sort(np.fromiter(weights, np.uint64, len(weights)))
+        kind = np.minimum(np.searchsorted(known, shingles[near]), len(known) - 1)
+        hit = known[kind] == shingles[near]
+        hits, kind = near[hit], kind[hit]
+
+        slack = [start + d for start in pointed for d in range(-SLACK, SLACK + 1)]
+        starts = np.unique(np.concatenate([hits - (n - size), np.array([0, *slack])]))
+        starts = starts[(starts >= 0) & (starts + n <= words)]
+        # A passage's shingles begin in [low, high).
+        low, high = starts, starts + n - size + 1
+        most = np.minimum(np.searchsorted(hits, high) - np.searchsorted(hits, low), total)
+        keep = most / (total + high - low - most) >= self.threshold
+        low, high = low[keep], high[keep]
+        if not len(low):
+            return None
+        both = np.zeros(len(low), np.int64)
+        for k in np.unique(kind).tolist():
+            own = hits[kind == k]
+            both += np.minimum(np.searchsorted(own, high) - np.searchsorted(own, low), weights[int(known[k])])
+        value = both / (total + high - low - both)
+        top = int(np.argmax(value))
+        return (float(value[top]), int(low[top])) if value[top] >= self.threshold else None
+
     def _candidates(self, words: list[bytes]) -> dict[int, set[int]]:
         places: dict[int, set[int]] = defaultdict(set)
         smallest = min((size for size, _ in self.groups), default=0)
@@ -238,10 +344,10 @@ def find_contamination(
 
 def _search(given, item_kind: pa.DataType, threshold: float, radius: int):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = ItemIndex(given.value, radius)
+        index = ItemIndex(given.value, radius, threshold=threshold)
         for batch in batches:
             take, rows = [], []
-            for i, found in enumerate(index.matches(list(texts(batch, 1)), threshold)):
+            for i, found in enumerate(index.matches(list(texts(batch, 1)))):
                 for number, (value, start) in sorted(found.items()):
                     take.append(i)
                     rows.append((index.ids[number], start, index.sizes[number], value))
@@ -281,9 +387,9 @@ def drop_contaminated(
 
 def _clean(given, column: int, threshold: float, radius: int):
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = ItemIndex(given.value, radius)
+        index = ItemIndex(given.value, radius, threshold=threshold)
         for batch in batches:
-            found = index.matches(list(texts(batch, column)), threshold)
+            found = index.matches(list(texts(batch, column)))
             yield batch.filter(pa.array([not own for own in found], pa.bool_()))
 
     return keep

@@ -1,11 +1,14 @@
 from __future__ import annotations
 
+import random
+from collections import Counter
+
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm_cases import edge_rows, prose
 
-from starloom.llm.decontamination import HammingIndex, drop_contaminated, find_contamination
+from starloom.llm.decontamination import RADIUS, SLACK, HammingIndex, drop_contaminated, find_contamination
 
 
 @settings(max_examples=40, deadline=None)
@@ -55,3 +58,47 @@ def test_rows_without_an_item_stay_with_all_columns(spark, documents):
     assert sorted(r.doc_id or 0 for r in left.collect()) == sorted(r[0] or 0 for r in [*edge_rows(), (2001, "")])
     assert drop_contaminated(docs.limit(0), benchmark).count() == 0
     assert find_contamination(docs, benchmark.limit(0)).count() == 0
+
+
+def shingles(words):
+    return Counter(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4)))
+
+
+def similarity(a, b):
+    both = (a & b).total()
+    return both / (a.total() + b.total() - both)
+
+
+def changed_runs(words, own):
+    """Copies with one run, or two, of replaced, inserted or deleted words."""
+    for k in range(1, 1 + max(1, len(words) // 9)):
+        at = own.randrange(1, max(2, len(words) - k))
+        new = [f"new{own.randrange(9)}" for _ in range(k)]
+        yield words[:at] + new + words[at + k :]
+        yield words[:at] + new + words[at:]
+        yield words[:at] + words[at + k :]
+        yield [*words[:at], "new", *words[at + 1 : -2], "new", words[-1]]
+
+
+def test_every_passage_at_the_threshold_is_found_as_by_brute_force(spark, documents):
+    own = random.Random(4)
+    items = [(i, prose(700 + i, n)) for i, n in enumerate((5, 8, 15, 22, 30, 41, 59, 80, 100, 100, 130))]
+    items.append((90, "a b " * 20))
+    rows = []
+    for i, text in items:
+        for k, copy in enumerate(changed_runs(text.split(), own)):
+            left, right = prose(own.randrange(10**6), 60 + k % 5).split(), prose(own.randrange(10**6), 60).split()
+            rows.append((1000 * (i + 1) + k, " ".join(left + copy + right)))
+    wanted = {}
+    for i, text in items:
+        n, weights = len(text.split()), shingles(text.split())
+        for d, document in rows:
+            words = document.split()
+            if d // 1000 == i + 1:
+                every = [(similarity(weights, shingles(words[s : s + n])), -s) for s in range(len(words) - n + 1)]
+                if max(every)[0] >= 0.75:
+                    wanted[d, i] = max(every)
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.similarity, -r.start) for r in find_contamination(documents(rows), benchmark).collect()}
+    assert len(wanted) > 100 and got == wanted
+    assert RADIUS >= 10 and SLACK >= 3

@@ -3,7 +3,8 @@
 Text is lower-cased (A-Z) and split into words. A passage matches an item if the
 weighted Jaccard similarity of their 5-word shingles reaches ``threshold``; a
 shingle's weight is its number of occurrences. All passages as long as the item
-are decided, without sampling:
+are decided, without sampling, and so are shorter ones that a document's beginning
+or end cuts off:
 
 * Rare shingles: a passage at the threshold shares so many shingles with the item
   that it holds one of any ``total - needed + 1`` of them. The rarest of each item
@@ -16,11 +17,11 @@ are decided, without sampling:
   the radius agree in at least one block, so every pair within it is found.
 * Places: the similarity is counted exactly where a fingerprint points to and,
   because a passage at the threshold can lie outside the radius, at each passage
-  that ends with a shingle of the item around its rare shingles. The earliest best
-  passage always ends so, or begins the document.
+  that ends with a shingle of the item around its rare shingles, and where the document
+  ends first, that begins with one. The earliest best passage is always among them.
 
 Defined results: null, empty and blank texts match nothing. An item of fewer
-than five words is one shingle. Equal items each give their row; repeated
+than five words is one shingle. ``n_words`` is the length of the passage. Equal items each give their row; repeated
 documents give theirs. Of equal similarities the earliest passage is reported.
 Only id and text columns of the two tables are read.
 """
@@ -190,12 +191,12 @@ class ItemIndex:
             return Counter(Windows(len(hashes)).of(hashes).tolist())
         return Counter(self.windows.of(hashes).tolist())
 
-    def matches(self, documents: list[bytes]) -> list[dict[int, tuple[float, int]]]:
-        """Per document and item number the best (similarity, first word) at or over the threshold.
+    def matches(self, documents: list[bytes]) -> list[dict[int, tuple[float, int, int]]]:
+        """Per document and item number the best (similarity, first word, words) at or over the threshold.
 
         Documents are laid end to end, each beginning at a multiple of the stride.
         """
-        out: list[dict[int, tuple[float, int]]] = []
+        out: list[dict[int, tuple[float, int, int]]] = []
         words: list[bytes] = []
         bounds: list[tuple[int, int]] = []
         for document in documents:
@@ -208,8 +209,8 @@ class ItemIndex:
             words += [b""] * (-len(words) % self.stride)
         return out + (self._verified(words, bounds) if bounds else [])
 
-    def _verified(self, words: list[bytes], bounds: list[tuple[int, int]]) -> list[dict[int, tuple[float, int]]]:
-        best: list[dict[int, tuple[float, int]]] = [{} for _ in bounds]
+    def _verified(self, words: list[bytes], bounds: list[tuple[int, int]]) -> list[dict[int, tuple[float, int, int]]]:
+        best: list[dict[int, tuple[float, int, int]]] = [{} for _ in bounds]
         begins = [b for b, _ in bounds]
         hashes = self.hashes.of(words)
         shingles = {size: rare.windows.of(hashes) for size, rare in self.rare.items()}
@@ -253,8 +254,8 @@ class ItemIndex:
 
     def _best(
         self, number: int, shingles: np.ndarray, places: np.ndarray, pointed: set[int]
-    ) -> tuple[float, int] | None:
-        """The earliest best (similarity, first word) of an item around places in one document."""
+    ) -> tuple[float, int, int] | None:
+        """The earliest best (similarity, first word, words) of an item around places in one document."""
         n, weights = self.sizes[number], self.weights[number]
         size, total = min(SHINGLE, n), weights.total()
         words = len(shingles) + size - 1
@@ -269,10 +270,11 @@ class ItemIndex:
         hits, kind = near[hit], kind[hit]
 
         slack = [start + d for start in pointed for d in range(-SLACK, SLACK + 1)]
-        starts = np.unique(np.concatenate([hits - (n - size), np.array([0, *slack])]))
-        starts = starts[(starts >= 0) & (starts + n <= words)]
-        # A passage's shingles begin in [low, high).
-        low, high = starts, starts + n - size + 1
+        starts = [hits - (n - size), hits[hits + n > words], np.array(slack, np.int64)]
+        starts = np.unique(np.concatenate(starts))
+        # A passage's shingles begin in [low, high); it is cut off at both ends of the document.
+        low, high = np.maximum(starts, 0), np.minimum(starts + n, words) - size + 1
+        low, high = low[low < high], high[low < high]
         most = np.minimum(np.searchsorted(hits, high) - np.searchsorted(hits, low), total)
         keep = most / (total + high - low - most) >= self.threshold
         low, high = low[keep], high[keep]
@@ -284,7 +286,8 @@ class ItemIndex:
             both += np.minimum(np.searchsorted(own, high) - np.searchsorted(own, low), weights[int(known[k])])
         value = both / (total + high - low - both)
         top = int(np.argmax(value))
-        return (float(value[top]), int(low[top])) if value[top] >= self.threshold else None
+        found = float(value[top]), int(low[top]), int(high[top] - low[top]) + size - 1
+        return found if value[top] >= self.threshold else None
 
     def _candidates(self, words: list[bytes]) -> dict[int, set[int]]:
         places: dict[int, set[int]] = defaultdict(set)
@@ -348,9 +351,9 @@ def _search(given, item_kind: pa.DataType, threshold: float, radius: int):
         for batch in batches:
             take, rows = [], []
             for i, found in enumerate(index.matches(list(texts(batch, 1)))):
-                for number, (value, start) in sorted(found.items()):
+                for number, (value, start, length) in sorted(found.items()):
                     take.append(i)
-                    rows.append((index.ids[number], start, index.sizes[number], value))
+                    rows.append((index.ids[number], start, length, value))
             item, start, size, value = zip(*rows, strict=True) if rows else [()] * 4
             yield pa.RecordBatch.from_arrays(
                 [

@@ -102,3 +102,34 @@ def test_every_passage_at_the_threshold_is_found_as_by_brute_force(spark, docume
     got = {(r.doc_id, r.item_id): (r.similarity, -r.start) for r in find_contamination(documents(rows), benchmark).collect()}
     assert len(wanted) > 100 and got == wanted
     assert RADIUS >= 10 and SLACK >= 3
+
+
+def test_items_with_words_missing_are_found_as_whole_documents_and_at_both_ends(spark, documents):
+    items = [(i, prose(800 + i, n)) for i, n in enumerate((6, 15, 24, 33, 47, 59, 100))]
+    rows = []
+    for i, text in items:
+        words, n = text.split(), len(text.split())
+        copies = [words, words[:-1], words[1:], words[:-3], words[3:], words[: n // 2] + words[n // 2 + 1 :], words[: n - n // 8], words[: n // 2]]
+        for k, copy in enumerate(copies):
+            before, after = prose(900 + i, 40 + k).split(), prose(950 + i, 40 + k).split()
+            for place, document in enumerate((copy, copy + after, before + copy)):
+                rows.append((1000 * i + 10 * k + place, " ".join(document)))
+    wanted = {}
+    for d, document in rows:
+        i, words = d // 1000, document.split()
+        n, weights = len(items[i][1].split()), shingles(items[i][1].split())
+        ends = [(max(0, s), min(len(words), s + n)) for s in range(1 - n, len(words))]
+        value, start = max((similarity(weights, shingles(words[a:b])), -a) for a, b in ends)
+        if value >= 0.75:
+            wanted[d, i] = value, start
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in find_contamination(documents(rows), benchmark).collect()}
+    assert len(wanted) > 80
+    assert {key: (r.similarity, -r.start) for key, r in got.items()} == wanted
+    texts = dict(rows)
+    for (d, i), r in got.items():
+        passage = texts[d].split()[r.start : r.start + r.n_words]
+        assert len(passage) == r.n_words and similarity(shingles(items[i][1].split()), shingles(passage)) == r.similarity
+    # The item without its last three words, as a whole document.
+    assert (got[3030, 3].start, got[3030, 3].n_words) == (0, 30)
+    assert {r.doc_id for r in drop_contaminated(documents(rows), benchmark).collect()} == {d for d, _ in rows} - {d for d, _ in wanted}

@@ -78,3 +78,34 @@ def test_damage_is_noticed(spark, tmp_path):
         spark.createDataFrame([(bad,)], "v string").write.text(other)
         with pytest.raises(Exception, match="digest|inside a record"):
             read_archive(spark, other).collect()
+
+
+@pytest.mark.parametrize("text", ["x\r\n", "\r\n", "x\r\n\r\n", "x\r\n\r\n\r\n", "x\r", "x\n\r\n"])
+def test_a_last_payload_may_end_in_line_ends(spark, tmp_path, text):
+    path = archive(spark, tmp_path, [(1, "u", text)])
+    (got,) = read_archive(spark, path, payloads=True).collect()
+    assert (got.record_id, got.payload, got.payload_digest) == ("1", text.encode(), digest(text))
+    whole = spark.read.text(path, wholetext=True).first()[0]
+    assert got.length == len(whole)
+    # Cut inside the payload or its end, it is still damage; so is a break between records.
+    for k, bad in enumerate((whole[:-6], whole + "\r\n\r\n" + whole)):
+        other = str(tmp_path / f"bad{k}")
+        spark.createDataFrame([(bad,)], "v string").coalesce(1).write.option("lineSep", "\n").text(other)
+        with pytest.raises(Exception, match="digest|inside a record|not a WARC"):
+            read_archive(spark, other).collect()
+
+
+def test_files_that_end_in_line_ends_follow_each_other(spark, tmp_path, setting):
+    setting("spark.sql.files.openCostInBytes", "0")
+    pages = [(i, f"u{i}", f"{i}\r\n", "z") for i in range(6)]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string, z string").repartition(6, "page_id")
+    path = str(tmp_path / "several")
+    write_archive(frame, path, captured=F.timestamp_seconds(F.lit(0)))
+    spark.conf.set("spark.sql.files.minPartitionNum", "1")  # one task reads all files
+    try:
+        read = read_archive(spark, path, payloads=True)
+        assert read.rdd.getNumPartitions() == 1
+        got = read.collect()
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+    assert sorted((r.record_id, r.payload) for r in got) == [(str(i), f"{i}\r\n".encode()) for i in range(6)]

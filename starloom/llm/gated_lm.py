@@ -8,9 +8,9 @@ tokens are made by Spark. The model is a GRU in numpy:
   classes by their first three bytes, with smoothed training counts within the class.
 * training: truncated back-propagation over windows of ``WINDOW`` steps, with Adam.
   Every task trains a replica on its documents; replicas are averaged over all
-  tasks, in a tree of bounded fan-in, after each round. Rounds see different
-  documents; together a fixed share (``ROUNDS / SLICES``) of the training documents,
-  so training grows with the input.
+  tasks, in a tree of bounded fan-in, after each round. Every training document is
+  learned from once: the rounds share them out by a hash of id and text, so copies
+  of one text are spread over the rounds.
 * scoring: documents are laid on lanes that advance together; the state is carried from
   window to window and is reset only where a document begins.
 
@@ -43,7 +43,7 @@ FREQUENT, CLASS, TAIL = 2048, 64, 64
 KNOWN = 50_000
 HIDDEN, EMBEDDING = 32, 16
 WINDOW, TRAIN_LANES, SCORE_LANES = 24, 16, 256
-ROUNDS, SLICES = 4, 32
+ROUNDS = 4
 FAN_IN = 64
 _REMEMBERED = 300_000
 
@@ -346,7 +346,6 @@ def score_texts(
     frequent_words: int = FREQUENT,
     known_words: int = KNOWN,
     rounds: int = ROUNDS,
-    slices: int = SLICES,
 ) -> DataFrame:
     """One row per row of ``docs``: id, n_tokens, n_known, train_tokens, base_score, score.
 
@@ -373,12 +372,11 @@ def score_texts(
     shares = np.array([*(by_word.get(w, 0) for w in frequent), *mass[:, 0]], float) + 0.5
     network = Network(len(frequent), shares=shares / shares.sum())
 
-    slice_of = F.pmod(F.xxhash64("text"), F.lit(slices))
-    chosen = text.withColumn("slice", slice_of).where(F.col("slice") < rounds)
-    chosen = materialise(chosen, "gated-training")
+    slice_of = F.pmod(F.xxhash64(id_column, text_column), F.lit(rounds)).alias("slice")
+    shared = materialise(training.select(F.col(text_column).alias("text"), slice_of), "gated-training")
     for round_ in range(rounds):
         given = spark.sparkContext.broadcast((frequent, network.flat, 0.01 / (1 + round_)))
-        own = chosen.where(F.col("slice") == round_).select("text")
+        own = shared.where(F.col("slice") == round_).select("text")
         mean = _averaged(own.mapInArrow(_replica(given), "tokens long, weights binary"))
         if mean is not None:
             network = Network(len(frequent), mean.astype(np.float32))

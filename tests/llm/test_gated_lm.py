@@ -83,3 +83,21 @@ def test_training_beats_the_unigram():
     before = score_documents(network, docs[:40], 0).sum()
     Trainer(network, 0.01).learn(docs, 0)
     assert score_documents(network, docs[:40], 0).sum() > 0.6 * before
+
+
+def test_the_network_learns_from_every_training_row(documents, monkeypatch):
+    # Half of the rows are copies of one text.
+    docs = documents([*edge_rows(), *((100 + i, prose(i, 30)) for i in range(60)), *((200 + i, prose(7, 30)) for i in range(60))])
+    rounds = []
+
+    def averaged(replicas, inner=gated_lm._averaged):
+        rounds.append(sum(r.tokens for r in replicas.select("tokens").collect()))
+        return inner(replicas)
+
+    monkeypatch.setattr(gated_lm, "_averaged", averaged)
+    tokens = score_texts(docs, docs).first().train_tokens
+    assert len(rounds) == gated_lm.ROUNDS and sum(rounds) == tokens
+    rounds.clear()
+    copies = docs.where("doc_id >= 200")
+    score_texts(copies, copies).first()
+    assert sum(rounds) == 60 * 31 and max(rounds) < 30 * 31

@@ -165,7 +165,10 @@ def learn_rules(
     chosen = labelled.orderBy(F.xxhash64(id_column), id_column).limit(max_labelled)
     # At most max_labelled pairs of an id and a label.
     found = docs.select(id_column, text_column).join(F.broadcast(chosen), id_column)
-    carried = found.select(F.struct(id_column, "label").alias("key"), F.col(text_column).alias("text"))
+    # One row per id: of repeated ids the text with the smallest hash.
+    one = F.min(F.struct(F.xxhash64(text_column).alias("hash"), F.col(text_column).alias("text"))).alias("one")
+    found = found.groupBy(id_column, "label").agg(one)
+    carried = found.select(F.struct(id_column, "label").alias("key"), F.col("one.text").alias("text"))
     rows = text_statistics(carried, id_column="key", text_column="text").select("key.*", *FEATURES).collect()
     rows = sorted(rows, key=lambda r: r[0])
     values = np.array([[r[f] for f in FEATURES] for r in rows], float).reshape(-1, len(FEATURES))

@@ -146,7 +146,11 @@ def learn_toxicity(
     chosen = given.orderBy(F.xxhash64("id"), "id").limit(max_labelled)
     named = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     # At most max_labelled pairs of an id and a label are broadcast.
-    sample = materialise(named.join(F.broadcast(chosen), "id"), "toxicity-sample")
+    found = named.join(F.broadcast(chosen), "id")
+    # One row per id: of repeated ids the text with the smallest hash.
+    one = F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("one")
+    found = found.groupBy("id", "label").agg(one).select("id", F.col("one.text").alias("text"), "label")
+    sample = materialise(found, "toxicity-sample")
     sizes = {row.label: row["count"] for row in sample.groupBy("label").count().collect()}
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     if not toxic or not clean:

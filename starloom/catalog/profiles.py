@@ -83,6 +83,23 @@ def describe_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(describe(table(spark, sf_dir, "events").select("value", "user_id")))
 
 
+_TIED = """
+    select case when l_orderkey % 10 < 3 then 0 when l_orderkey % 10 < 5 then 1
+                when l_partkey % 1000 = 7 then 2 when l_orderkey % 10 < 7 then 3 else 4 end as steps,
+           l_linenumber % 2 as odd
+    from lineitem
+"""
+
+
+@query(_statistics(_TIED, ("steps", "odd")))
+def describe_tied_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole brackets of equal values; the columns in the order that once failed."""
+    tens, rare = F.col("l_orderkey") % 10, F.col("l_partkey") % 1000 == 7
+    steps = F.when(tens < 3, 0).when(tens < 5, 1).when(rare, 2).when(tens < 7, 3).otherwise(4)
+    lines = table(spark, sf_dir, "lineitem")
+    return _rounded(describe(lines.select(steps.alias("steps"), (F.col("l_linenumber") % 2).alias("odd"))))
+
+
 @query("select count(*) as n_rows, 11 as n_columns from lineitem")
 def table_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shape(table(spark, sf_dir, "lineitem"))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import dataclass
 from math import ceil, floor
 
 from pyspark.sql import Column, DataFrame, Window
@@ -12,6 +11,7 @@ from pyspark.sql import types as T
 
 from starloom.functions.missing import is_missing, percentage
 from starloom.names import as_list, col, fresh
+from starloom.operators.keys import in_global_order
 
 _QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 
@@ -76,11 +76,11 @@ def describe(df: DataFrame, columns: str | Iterable[str] | None = None) -> DataF
     that are neither NULL nor NaN. All are doubles, so whole numbers beyond 2**53 are
     rounded. Quartiles are exact and interpolated.
 
-    No value is shuffled but the few next to a quartile: the first scan takes all
-    else and brackets each quartile between approximate percentiles whose error is
-    bounded; the next counts what lies below and inside each bracket, and narrows
-    brackets that still hold more than ``_INSIDE`` values; the last groups the
-    values inside.
+    Two scans, however the values lie. The first takes the moments and a mergeable
+    quantile sketch per column, whose error is bounded, so that two of its quantiles
+    bracket each quartile. The second counts what lies between the brackets and
+    groups the values inside them, a few in 10,000 of all; they are ranked by a
+    range-partitioned sort, so no bracket is one task's work.
     """
     columns = numeric_columns(df) if columns is None else as_list(columns)
     values = df.select(*[_number(c).alias(f"v{i}") for i, c in enumerate(columns)])
@@ -95,9 +95,9 @@ def describe(df: DataFrame, columns: str | Iterable[str] | None = None) -> DataF
 
 
 _KINDS = {"column_name": "string", "count": "long"}
-# Values a bracket may hold before they are grouped; the share of values on either
-# side of a quartile that the error of approximate percentiles cannot exceed.
-_INSIDE = 100_000
+# Up to this many values a column is one bracket; beyond it, the share of values on
+# either side of a quartile that the sketch's error cannot exceed.
+_FEW = 100_000
 _ACCURACY = 10_000
 _SLACK = 2 / _ACCURACY
 
@@ -109,7 +109,7 @@ def _number(name: str) -> Column:
 
 
 def _moments(values: DataFrame, width: int) -> list[dict]:
-    """Per column its moments and the first bracket (low, high) of each quartile."""
+    """Per column its moments and sketched values (low, high) around each quartile."""
     shares = [min(1.0, max(0.0, p + d)) for p in _QUARTILES.values() for d in (-_SLACK, _SLACK)]
 
     def facts(i: int) -> Column:
@@ -128,92 +128,85 @@ def _moments(values: DataFrame, width: int) -> list[dict]:
     return [fact.asDict() for fact in values.agg(*[facts(i) for i in range(width)]).first()]
 
 
-@dataclass
-class _Bracket:
-    """Where the two ranks next to a quartile lie, as a closed interval of values."""
+def _brackets(row: dict) -> list[tuple[float, float]]:
+    """Closed intervals of values that hold the ranks next to the quartiles, in order and apart."""
+    if row["count"] <= _FEW:
+        return [(row["min"], row["max"])]
+    apart: list[tuple[float, float]] = []
+    for k in range(len(_QUARTILES)):
+        low, high = row["brackets"][2 * k : 2 * k + 2]
+        if apart and low <= apart[-1][1]:
+            apart[-1] = (apart[-1][0], max(high, apart[-1][1]))
+        else:
+            apart.append((low, high))
+    return apart
 
-    column: int
-    label: str
-    low: float
-    high: float
-    first: int
-    last: int
 
-    def inside(self) -> Column:
-        return F.col(f"v{self.column}").between(F.lit(self.low), F.lit(self.high))
+def _cell(row: dict) -> Column:
+    """(column, cell, value): odd cells are brackets and keep their values, even ones lie
+    below the bracket that follows. NULL beyond the last bracket."""
+    value = F.col(f"v{row['column']}")
 
-    def below(self) -> Column:
-        return F.col(f"v{self.column}") < F.lit(self.low)
+    def entry(cell: int, kept: Column) -> Column:
+        number = F.lit(row["column"]).alias("column")
+        return F.struct(number, F.lit(cell).alias("cell"), kept.alias("value"))
+
+    chosen = F.when(value.isNull(), None)
+    for i, (low, high) in enumerate(_brackets(row)):
+        chosen = chosen.when(value < F.lit(low), entry(2 * i, F.lit(None).cast("double")))
+        chosen = chosen.when(value <= F.lit(high), entry(2 * i + 1, value))
+    return chosen
 
 
 def _quartiles(values: DataFrame, rows: list[dict]) -> list[dict]:
-    brackets = []
-    for row in rows:
-        for k, (label, share) in enumerate(_QUARTILES.items()):
-            if row["count"]:
-                at = (row["count"] - 1) * share
-                few = row["count"] <= _INSIDE
-                low, high = (row["min"], row["max"]) if few else row["brackets"][2 * k : 2 * k + 2]
-                brackets.append(_Bracket(row["column"], label, low, high, floor(at), ceil(at)))
-    below = _narrow(values, brackets)
-    found = {(b.column, b.label): {} for b in brackets}
-    for b, start in zip(brackets, below):
-        if b.low == b.high:
-            found[b.column, b.label] = {b.first: b.low, b.last: b.low}
-    wide = [(k, b) for k, b in enumerate(brackets) if b.low < b.high]
-    if wide:
-        one = [
-            F.when(b.inside(), F.struct(F.lit(k).alias("k"), F.col(f"v{b.column}").alias("value")))
-            for k, b in wide
-        ]
-        near = values.select(F.explode(F.array_compact(F.array(*one))).alias("x")).select("x.*")
-        counts = near.groupBy("k", "value").agg(F.count(F.lit(1)).alias("n"))
-        # At most _INSIDE values of each bracket.
-        upto = F.sum("n").over(Window.partitionBy("k").orderBy("value"))
-        starts = F.create_map(*[F.lit(x) for k, _ in wide for x in (k, below[k])])
-        ends = counts.withColumn("end", upto + starts[F.col("k")])
-        ranks = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(r).alias("rank")) for k, b in wide for r in {b.first, b.last}])
-        wanted = F.filter(ranks, lambda r: (r["k"] == F.col("k")) & (r["rank"] >= F.col("end") - F.col("n")) & (r["rank"] < F.col("end")))
-        for r in ends.select("value", F.explode(wanted).alias("r")).select("value", "r.*").collect():
-            found[brackets[r.k].column, brackets[r.k].label][r["rank"]] = r.value
+    """The quartiles of each column, NULL where it has no values."""
+    held = [row for row in rows if row["count"]]
+    ranks = {row["column"]: _ranks(row["count"]) for row in held}
+    found: dict[tuple[int, int], float] = {}
+    if held:
+        cells = values.select(F.explode(F.array_compact(F.array(*map(_cell, held)))).alias("c"))
+        counts = cells.groupBy("c.column", "c.cell", "c.value").agg(F.count(F.lit(1)).alias("n"))
+        for r in _at_ranks(counts, ranks).collect():
+            found[r["column"], r["rank"]] = r["value"]
     out = []
     for row in rows:
         own = {}
         for label, share in _QUARTILES.items():
-            at, known = (row["count"] - 1) * share, found.get((row["column"], label))
-            own[label] = known and _between(known[floor(at)], known[ceil(at)], at - floor(at))
+            at, c = (row["count"] - 1) * share, row["column"]
+            between = row["count"] and _between(found[c, floor(at)], found[c, ceil(at)], at - floor(at))
+            own[label] = between if row["count"] else None
         out.append(own)
     return out
 
 
-def _between(low: float, high: float, share: float) -> float:
-    """Linear interpolation that leaves a rank of no weight out (0 times infinity)."""
-    return low if not share or low == high else low * (1 - share) + high * share
+def _ranks(count: int) -> list[int]:
+    """The 0-based ranks on either side of each quartile."""
+    places = [(count - 1) * share for share in _QUARTILES.values()]
+    return sorted({f(at) for at in places for f in (floor, ceil)})
+
 
+def _at_ranks(counts: DataFrame, ranks: dict[int, list[int]]) -> DataFrame:
+    """``column, rank, value`` of the wanted ranks among counted cells.
 
-def _narrow(values: DataFrame, brackets: list[_Bracket]) -> list[int]:
-    """Shrinks the brackets until they hold few values; how many values lie below each."""
-    while brackets:
-        counts = values.agg(
-            *[F.count_if(b.below()).alias(f"b{k}") for k, b in enumerate(brackets)],
-            *[F.count_if(b.inside()).alias(f"i{k}") for k, b in enumerate(brackets)],
-        ).first()
-        below = [counts[f"b{k}"] for k in range(len(brackets))]
-        inside = [counts[f"i{k}"] for k in range(len(brackets))]
-        wide = [k for k, b in enumerate(brackets) if inside[k] > _INSIDE and b.low < b.high]
-        if not wide:
-            return below
-        closer = values.agg(*[_closer(brackets[k], below[k], inside[k]).alias(f"c{k}") for k in wide]).first()
-        for k in wide:
-            b, (low, high) = brackets[k], closer[f"c{k}"]
-            if (low, high) == (b.low, b.high):  # two neighbouring values hold the rest
-                return below
-            b.low, b.high = low, high
-    return []
-
-
-def _closer(b: _Bracket, below: int, inside: int) -> Column:
-    shares = ((b.first - below) / inside - _SLACK, (b.last + 1 - below) / inside + _SLACK)
-    return F.percentile_approx(
-        F.when(b.inside(), F.col(f"v{b.column}")), [min(1.0, max(0.0, s)) for s in shares], _ACCURACY
+    Cells are put in order by a range-partitioned sort. Sums per partition and column
+    give where each partition starts, and rows are added up inside partitions.
+    """
+    ordered = in_global_order(counts, ["column", "cell", "value"], "quartile-cells")
+    table, part = ordered.table, ordered.part
+    sums = table.groupBy(part, "column").agg(F.sum("n").alias("size"))
+    earlier = Window.partitionBy("column").orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    # One short row per partition and column.
+    starts = sums.select(part, "column", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("start"))
+    upto = F.sum("n").over(Window.partitionBy(part, "column").orderBy(ordered.pos))
+    ends = table.withColumn("upto", upto).join(F.broadcast(starts), [part, "column"])
+    end = F.col("start") + F.col("upto")
+    wanted = F.create_map(
+        *[F.lit(x) if isinstance(x, int) else F.array(*map(F.lit, x)) for pair in ranks.items() for x in pair]
     )
+    own = F.filter(wanted[F.col("column")], lambda r: (r >= end - F.col("n")) & (r < end))
+    return ends.select("column", "value", F.explode(own).alias("rank"))
+
+
+def _between(low: float, high: float, share: float) -> float:
+    """Linear interpolation that leaves a rank of no weight out (0 times infinity)."""
+    return low if not share or low == high else low * (1 - share) + high * share

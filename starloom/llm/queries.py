@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from starloom.llm import (
     decontamination,
     gated_lm,
+    hard_negatives,
     line_dedup,
     near_dedup,
     packing,
@@ -179,6 +180,37 @@ FROM keyed LEFT JOIN frequent USING (key) GROUP BY doc_id
 """
 
 
+@_query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of every seventh id are wrong on purpose."""
+    vectors = _table(spark, sf_dir, "embeddings").select(
+        "vec_id", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"), "embedding"
+    )
+    return hard_negatives.mine_hard_negatives(vectors, F.col("id") % 100 == 0)
+
+
+ORACLE["op13_hard_negatives"] = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+  SELECT a.vec_id AS anchor_id, v.vec_id AS id, a.label = v.label AS same,
+    CAST(list_inner_product(a.v, v.v) AS BIGINT) AS score
+  FROM v AS a, v WHERE a.vec_id % 100 = 0 AND a.vec_id <> v.vec_id),
+positives AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM pairs WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+ranked AS (
+  SELECT anchor_id, positive_id, id AS negative_id, positive_score, score AS negative_score,
+    CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS INT) AS rank
+  FROM positives JOIN pairs USING (anchor_id)
+  WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score)
+SELECT * FROM ranked WHERE rank <= 5
+"""
+
+
 @_query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline

@@ -26,14 +26,15 @@ def test_every_operator_and_the_pipeline_are_registered():
     assert sorted(QUERIES) == sorted(
         [f"op{n}_{name}" for n, name in (
             (1, "lm_scoring"), (2, "toxicity"), (3, "packing"), (4, "quality_rules"), (5, "decontamination"),
-            (6, "near_dedup"), (7, "warc"), (8, "token_counts"), (9, "substring_dedup"), (10, "url_filters"))] + ["pipeline"]
+            (6, "near_dedup"), (7, "warc"), (8, "token_counts"), (9, "substring_dedup"), (10, "url_filters"),
+            (11, "conversation_repair"), (12, "line_dedup"), (13, "hard_negatives"))] + ["pipeline"]
     )
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_sql_gives_the_same_rows(spark, name):
     con = duckdb.connect()
-    for table in ("pages", "documents"):
+    for table in ("pages", "documents", "embeddings", "conversations"):
         con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     rows = QUERIES[name](spark, SF_DIR)
     found = sorted((tuple(r[c] for c in sorted(rows.columns)) for r in rows.collect()), key=repr)

@@ -152,7 +152,7 @@ def quantised(column: pa.Array, width: int) -> np.ndarray:
     flat = np.floor(SCALE * column.flatten().to_numpy(zero_copy_only=False).astype(np.float64))
     lengths = column.value_lengths().to_numpy(zero_copy_only=False).astype(int)
     if (lengths == width).all():
-        return flat.reshape(-1, width)
+        return flat.reshape(len(lengths), width)
     out = np.zeros((len(lengths), width))
     for row, (end, n) in enumerate(zip(np.cumsum(lengths), lengths, strict=True)):
         out[row, :n] = flat[end - n : end]

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.llm import (
+    conversation_repair,
     decontamination,
     gated_lm,
     hard_negatives,
@@ -158,6 +159,20 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+@_query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations")
+    found = conversation_repair.repair_conversations(conversation_repair.damage(rows))
+    every = rows.select("conv_id").distinct().withColumn("key", conversation_repair.conversation_key("conv_id"))
+    digests = conversation_repair.message_digests(found.messages)
+    joined = every.join(found.summary.drop("id"), "key", "left").join(digests, "key", "left")
+    counts = [F.coalesce(n, F.lit(0)).cast("long").alias(n) for n in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    nothing = F.sha2(F.lit(""), 256)
+    return joined.select(
+        "conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("sha256", nothing).alias("repaired_sha256")
+    )
+
+
 @_query
 def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.remove_repeated_lines(_table(spark, sf_dir, "documents"))

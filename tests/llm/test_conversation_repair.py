@@ -5,9 +5,7 @@ from __future__ import annotations
 import hashlib
 import itertools
 import re
-import sys
 import zlib
-from functools import lru_cache
 
 import pytest
 import xxhash
@@ -17,7 +15,6 @@ from pyspark.sql import functions as F
 from starloom.llm import queries
 from starloom.llm.conversation_repair import damage, least_edits, message_digests, repair_conversations
 
-sys.setrecursionlimit(50_000)
 BLANKS = " \t\n\x0b\f\r"
 STEP = {(0, "s"): 1, (0, "u"): 2, (1, "u"): 2, (2, "a"): 3, (3, "u"): 2}
 
@@ -48,8 +45,12 @@ def damaged(rows):
 def cheapest(messages):
     """(cost, edits, lines) of [(role, text, fault)]: every edit tried, ties to the least letters."""
 
-    @lru_cache(maxsize=None)
+    table = {}
+
     def best(i, state, inserted):
+        return table[i, state, inserted]
+
+    def value(i, state, inserted):
         found = []
         if i == len(messages) and state in (0, 3):
             found.append((0, "", ()))
@@ -69,7 +70,11 @@ def cheapest(messages):
     def add(cost, letter, line, rest):
         return (cost + rest[0], letter + rest[1], (() if line is None else (line,)) + rest[2])
 
-    return best(0, 0, 0)
+    for i in range(len(messages), -1, -1):
+        for inserted in (3, 2, 1, 0):
+            for state in range(4):
+                table[i, state, inserted] = value(i, state, inserted)
+    return table[0, 0, 0]
 
 
 def brute(rows, original=None):

@@ -5,6 +5,7 @@ from starloom.catalog import (
     dimensions,
     facts,
     files,
+    loads,
     profiles,
     quality,
     reports,

@@ -1,6 +1,7 @@
 from starloom.sources.inventory import file_inventory
 from starloom.sources.readers import conform, read_csv, read_many, read_table, register
 from starloom.sources.writers import (
+    exists,
     publish,
     read_partitioned,
     stage,
@@ -10,6 +11,7 @@ from starloom.sources.writers import (
 
 __all__ = [
     "conform",
+    "exists",
     "file_inventory",
     "publish",
     "read_csv",

@@ -51,6 +51,17 @@ def read_partitioned(spark: SparkSession, path: str, schema: T.StructType) -> Da
     return table.select(*[col(name) for name in schema.names])
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """The file system a path belongs to, and the path in its terms."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, target = hadoop_path(spark, path)
+    return files.exists(target)
+
+
 def publish(table: DataFrame, built: str, path: str) -> DataFrame:
     """Move a finished table from ``built`` to ``path``, in place of what lies there.
 

@@ -238,3 +238,22 @@ def star_build_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round("average_temperature", 4).alias("average_temperature"),
         "total_population",
     )
+
+
+@query(
+    " union all ".join(
+        f"""
+        select '{source}' as source, n_in as rows_in, n_in - n_kept as dropped_missing,
+               n_kept - n_out as dropped_duplicates, n_out as rows_out
+        from (select count(*) as n_in, count_if({kept}) as n_kept, ({out}) as n_out from ({raw}))
+        """
+        for source, raw, kept, out in (
+            ("immigration", s.ARRIVALS, "true", f"select count(*) from ({s.ARRIVALS})"),
+            ("temperature", s.READINGS, '"AverageTemperature" is not null', f"select count(*) from ({s.CLEAN_READINGS})"),
+            ("demographics", s.DEMOGRAPHICS, '"Number of Veterans" is not null', f"select count(*) from ({s.CLEAN_DEMOGRAPHICS})"),
+        )
+    )
+)
+def star_build_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What cleaning removed, counted while the star was written."""
+    return _star(spark, sf_dir).cleaning

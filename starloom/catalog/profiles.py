@@ -7,7 +7,15 @@ from pyspark.sql import functions as F
 
 from starloom.catalog.cleaning import GAPPY, gappy_lines
 from starloom.catalog.registry import query, table
-from starloom.operators import column_overview, describe, missing_profile, only_missing, shape
+from starloom.operators import (
+    column_overview,
+    describe,
+    missing_profile,
+    missing_profile_of_files,
+    only_missing,
+    shape,
+)
+from starloom.scratch import scratch_path
 
 _LINE_COLUMNS = (
     "l_orderkey",
@@ -51,6 +59,26 @@ def missing_values_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.withColumn("pct_missing", F.round("pct_missing", 6))
 
 
+_MORE_GAPS = f"select * replace (nullif(l_linenumber, 1) as l_linenumber, nullif(l_suppkey, 1) as l_suppkey) from ({GAPPY})"
+
+
+@query(
+    " union all ".join(
+        f"""
+        select '{c}' as column_name, count(*) - count({c}) as missing,
+               round(100.0::double * (count(*) - count({c})) / count(*), 6) as pct_missing, count(*) as n_rows
+        from ({_MORE_GAPS})
+        """
+        for c in _LINE_COLUMNS
+    )
+)
+def missing_values_from_footers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "gappy-lines")
+    gaps = {c: F.nullif(F.col(c), F.lit(1)) for c in ("l_linenumber", "l_suppkey")}
+    gappy_lines(spark, sf_dir).withColumns(gaps).write.parquet(path)
+    return missing_profile_of_files(spark, path).withColumn("pct_missing", F.round("pct_missing", 6))
+
+
 def _statistics(source: str, columns: tuple[str, ...]) -> str:
     return " union all ".join(
         f"""

@@ -6,6 +6,7 @@ from starloom.operators.profile import (
     column_overview,
     describe,
     missing_profile,
+    missing_profile_of_files,
     only_missing,
     shape,
 )
@@ -44,6 +45,7 @@ __all__ = [
     "fail_if_any",
     "lookup_join",
     "missing_profile",
+    "missing_profile_of_files",
     "only_missing",
     "peek",
     "rename",

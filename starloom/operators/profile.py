@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Iterable
 from math import ceil, floor
 
-from pyspark.sql import Column, DataFrame, Window
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,6 +57,71 @@ def missing_profile(df: DataFrame) -> DataFrame:
     )
 
 
+# Types whose only missing value is NULL, which column chunks count in their footers.
+_COUNTED_IN_FOOTERS = (
+    T.ByteType,
+    T.ShortType,
+    T.IntegerType,
+    T.LongType,
+    T.BooleanType,
+    T.DecimalType,
+    T.DateType,
+    T.TimestampType,
+    T.TimestampNTZType,
+)
+
+
+def missing_profile_of_files(spark: SparkSession, path: str) -> DataFrame:
+    """:func:`missing_profile` of a Parquet table, mostly from the footers of its files.
+
+    NULL counts of whole-number, decimal, date, time and boolean columns are added up
+    from the statistics of column chunks, inside tasks; their data is not read. Float
+    and text columns, which may also be missing as NaN, and folder columns are scanned.
+    So is every column where a chunk has no statistics, or a column is nested. All files
+    must have been written with one schema, as the writers here do: chunks are told by
+    the place of their column.
+    """
+    table = spark.read.parquet(path)
+    stored = spark.read.option("recursiveFileLookup", True).parquet(path).schema.fields
+    nested = any(isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)) for f in stored)
+    counted = [] if nested else [f.name for f in stored if isinstance(f.dataType, _COUNTED_IN_FOOTERS)]
+    known = _footer_counts(spark, path, counted) if counted else None
+    if known is None:
+        return missing_profile(table)
+    schema = "column_name string, missing long, pct_missing double, n_rows long"
+    total = known["rows"]
+    rows = [(c, total - n, 100.0 * (total - n) / total if total else None, total) for c, n in zip(counted, known["present"])]
+    found = spark.createDataFrame(rows, schema)
+    rest = [c for c in table.columns if c not in counted]
+    return found.unionByName(missing_profile(table.select(*[col(c) for c in rest]))) if rest else found
+
+
+def footer_plan(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """One row: the rows of a Parquet table, and the values of each column that are not NULL.
+
+    The session that plans it has its own settings: they make Spark answer such counts
+    from footers, which the caller's session does not do.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    counts = [F.count(col(c)).alias(f"c{i}") for i, c in enumerate(columns)]
+    return own.read.parquet(path).agg(F.count(F.lit(1)).alias("rows"), *counts)
+
+
+def _footer_counts(spark: SparkSession, path: str, columns: list[str]) -> dict | None:
+    """None where a footer lacks what is needed."""
+    try:
+        row = footer_plan(spark, path, columns).first()
+    except (Py4JJavaError, PySparkException):
+        return None
+    finally:
+        # A new session becomes the active one.
+        spark._jvm.org.apache.spark.sql.SparkSession.setActiveSession(spark._jsparkSession)
+    # Sums over no file at all are NULL.
+    return {"rows": row["rows"] or 0, "present": [row[f"c{i}"] or 0 for i in range(len(columns))]}
+
+
 def only_missing(profile: DataFrame) -> DataFrame:
     """The profile rows of columns that miss anything."""
     return profile.where("pct_missing > 0")

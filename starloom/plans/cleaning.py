@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,6 +22,58 @@ from starloom.operators.rows import (
 from starloom.scratch import materialise
 
 
+@dataclass(frozen=True)
+class Counted:
+    """Cleaned rows whose counts are observed while something else is computed from them.
+
+    The counts are those of the first job that computes ``table`` in full, so that job
+    must not stop early and must not compute the table twice (a sort does, to find its
+    ranges). Tasks that run again, after a failure or a lost executor, may be counted
+    again; so :meth:`report` takes the observed counts only if the caller vouches that
+    no task did (:func:`ran_once`), and otherwise counts with a query.
+    """
+
+    rule: Cleaning
+    raw: DataFrame
+    table: DataFrame
+    first: Observation
+    last: Observation
+
+    def report(self, trusted: bool) -> DataFrame:
+        """One row like :meth:`Cleaning.report`, without a scan where the counts are ``trusted``."""
+        if not trusted:
+            return self.rule.report(self.raw)
+        seen, out = self.first.get, self.last.get["rows_out"]
+        if self.rule.unique_by or out == seen["kept"]:
+            counts = (seen["rows_in"], seen["rows_in"] - seen["kept"], seen["kept"] - out, out)
+            kinds = "rows_in long, dropped_missing long, dropped_duplicates long, rows_out long"
+            return self.raw.sparkSession.createDataFrame([counts], kinds)
+        return self.rule.report(self.raw)
+
+
+def ran_once(spark: SparkSession, tag: str) -> bool:
+    """True if every stage of the jobs with this tag ended in one attempt without a failed task.
+
+    Also false where Spark no longer knows one of them, or knows no such job.
+    """
+    tracker = spark._jsc.sc().statusTracker()
+    jobs = list(tracker.getJobIdsForTag(tag))
+    if not jobs:
+        return False
+    for job in jobs:
+        info = tracker.getJobInfo(job)
+        if info.isEmpty():
+            return False
+        for stage in info.get().stageIds():
+            found = tracker.getStageInfo(stage)
+            if found.isEmpty():
+                return False
+            # Skipped stages have no attempt and no tasks that ran.
+            if found.get().numFailedTasks() or found.get().currentAttemptId() > 0:
+                return False
+    return True
+
+
 @dataclass(frozen=True)
 class Cleaning:
     """Applied in field order: drop columns, empty rows, incomplete rows, duplicates.
@@ -92,6 +145,16 @@ class Cleaning:
             "rows_out",
         )
 
+    def counted(self, df: DataFrame) -> Counted:
+        """:meth:`apply`, with the report's counts taken by whatever first runs it in full."""
+        raw = drop_columns(df, self.columns)
+        first, last = (Observation(f"cleaning-{uuid4().hex}") for _ in range(2))
+        seen = raw.observe(
+            first, F.count(F.lit(1)).alias("rows_in"), F.count_if(self._kept(raw)).alias("kept")
+        )
+        table = self.apply(seen).observe(last, F.count(F.lit(1)).alias("rows_out"))
+        return Counted(self, df, table, first, last)
+
     def _kept(self, df: DataFrame) -> Column:
         kept = F.lit(True)
         if self.empty_rows:

@@ -63,9 +63,11 @@ class Star:
     country: DataFrame
     visatype: DataFrame
     demographics: DataFrame
+    #: What cleaning removed from each source, see :func:`cleaning_report`.
+    cleaning: DataFrame | None = None
 
     def tables(self) -> dict[str, DataFrame]:
-        return dict(vars(self))
+        return {name: table for name, table in vars(self).items() if name != "cleaning"}
 
     def quality(self) -> DataFrame:
         """The row-count check of every table."""
@@ -107,14 +109,14 @@ def load_immigration(
     return raw if as_is else materialise(raw, "immigration")
 
 
-def load_temperature(spark: SparkSession, path: str) -> DataFrame:
-    """The cleaned temperature table."""
-    return cleaning.TEMPERATURE.apply(read_csv(spark, path, TEMPERATURE))
+def load_temperature(spark: SparkSession, path: str) -> cleaning.Counted:
+    """The cleaned temperature table, with its counts."""
+    return cleaning.TEMPERATURE.counted(read_csv(spark, path, TEMPERATURE))
 
 
-def load_demographics(spark: SparkSession, path: str) -> DataFrame:
-    """The cleaned demographics table."""
-    return cleaning.DEMOGRAPHICS.apply(read_csv(spark, path, DEMOGRAPHICS, sep=";"))
+def load_demographics(spark: SparkSession, path: str) -> cleaning.Counted:
+    """The cleaned demographics table, with its counts."""
+    return cleaning.DEMOGRAPHICS.counted(read_csv(spark, path, DEMOGRAPHICS, sep=";"))
 
 
 def write_calendar(calendar: DataFrame, path: str) -> DataFrame:
@@ -124,7 +126,11 @@ def write_calendar(calendar: DataFrame, path: str) -> DataFrame:
 
 
 def write_immigration_star(
-    immigration: DataFrame, temperature: DataFrame, country_codes: DataFrame, output: str
+    immigration: DataFrame,
+    temperature: DataFrame,
+    country_codes: DataFrame,
+    output: str,
+    counted: cleaning.Counted | None = None,
 ) -> dict[str, DataFrame]:
     """Write the fact and its visa-type, calendar and country dimensions.
 
@@ -133,14 +139,15 @@ def write_immigration_star(
     keys, and rows without one are looked for until the first is found.
     The other two dimensions each read one column of the written fact, whose
     rows are the cleaned ones. What does not depend on each other runs at the
-    same time, so one table's last tasks do not leave the cluster idle.
+    same time, so one table's last tasks do not leave the cluster idle. ``counted`` are
+    the cleaned immigration rows, if they are to be counted as the fact is written.
     """
     rule = cleaning.IMMIGRATION
 
     def visatype_and_fact() -> tuple[DataFrame, DataFrame]:
         types = visa_type_dimension(rule.distinct_column(immigration, "visatype"))
         visatype = write_table(types, f"{output}/visatype")
-        fact = immigration_fact(rule.apply(immigration), visatype)
+        fact = immigration_fact(counted.table if counted else rule.apply(immigration), visatype)
         return visatype, write_table(fact, f"{output}/immigration_fact")
 
     def averages() -> DataFrame:
@@ -178,30 +185,42 @@ def build_star(
 
     The tables are built in the scratch folder. Only when all are written, and with
     ``fail_on_empty`` none is empty, do they take the place of the old ones, so
-    a bad month or a failed run leaves the old star as it was.
+    a bad month or a failed run leaves the old star as it was. What cleaning removed is
+    counted by the jobs that write the tables, so the star's ``cleaning`` scans nothing;
+    if one of their tasks had to run again, it is a query over the raw tables instead.
     """
-    built = scratch_path(spark, "star")
+    built, tag = scratch_path(spark, "star"), f"starloom-build-{uuid4().hex}"
+    raw = load_immigration(spark, sources.immigration, sources.immigration_format)
+    arrivals = cleaning.IMMIGRATION.counted(raw)
+    readings = load_temperature(spark, sources.temperature)
+    cities = load_demographics(spark, sources.demographics)
 
     def immigration_star() -> dict[str, DataFrame]:
-        return write_immigration_star(
-            load_immigration(spark, sources.immigration, sources.immigration_format),
-            load_temperature(spark, sources.temperature),
-            read_csv(spark, sources.country_codes, COUNTRY_CODES),
-            built,
-        )
+        codes = read_csv(spark, sources.country_codes, COUNTRY_CODES)
+        return write_immigration_star(raw, readings.table, codes, built, arrivals)
 
     def demographics() -> DataFrame:
-        return write_demographics(load_demographics(spark, sources.demographics), built)
-
-    tables, people = at_once(immigration_star, demographics)
+        # Written first: the sort behind its keys computes its input twice.
+        return write_demographics(materialise(cities.table, "cities"), built)
+
+    spark.sparkContext.addJobTag(tag)
+    try:
+        tables, people = at_once(immigration_star, demographics)
+    finally:
+        spark.sparkContext.removeJobTag(tag)
     star = Star(**tables, demographics=people)
     if fail_on_empty:
         fail_if_any(star.quality())
+    trusted = cleaning.ran_once(spark, tag)
+    reports = [
+        counted.report(trusted).select(F.lit(name).alias("source"), "*")
+        for name, counted in (("immigration", arrivals), ("temperature", readings), ("demographics", cities))
+    ]
     published = {
         name: publish(table, f"{built}/{name}", f"{output}/{name}")
         for name, table in star.tables().items()
     }
-    return Star(**published)
+    return Star(**published, cleaning=reduce(DataFrame.unionByName, reports))
 
 
 def at_once(*steps: Callable[[], Any]) -> list[Any]:

@@ -328,3 +328,39 @@ def test_a_failing_step_cancels_its_siblings(spark):
     with pytest.raises(KeyError):
         at_once(slow, broken)
     assert time.monotonic() - start < 60
+
+
+@pytest.fixture
+def raw_files(spark, tmp_path):
+    """Raw files of all four sources, as paths."""
+    spark.createDataFrame(ARRIVALS, IMMIGRATION).write.parquet(f"{tmp_path}/raw/arrivals")
+    spark.createDataFrame(READINGS, TEMPERATURE).write.csv(f"{tmp_path}/raw/readings", header=True)
+    city = ("Boston", "Massachusetts", 31.8, 1, 2, 3, 4, 5, 2.5, "MA", "White", 6)
+    cities = [city, city, (*city[:3], None, *city[4:])]
+    spark.createDataFrame(cities, DEMOGRAPHICS).write.csv(f"{tmp_path}/raw/cities", header=True, sep=";")
+    spark.createDataFrame([(101, "ALBANIA")], "code int, Name string").write.csv(f"{tmp_path}/raw/codes", header=True)
+    return StarSources(*(f"{tmp_path}/raw/{name}" for name in ("arrivals", "readings", "cities", "codes")))
+
+
+def test_counts_are_taken_while_the_star_is_written(spark, tmp_path, monkeypatch, raw_files):
+    from starloom.plans.star import cleaning_report
+
+    wanted = rows(cleaning_report(spark, raw_files))
+    monkeypatch.setattr(Cleaning, "report", lambda self, df: pytest.fail("scanned again"))
+    star = build_star(spark, raw_files, f"{tmp_path}/star")
+    assert rows(star.cleaning) == wanted
+    assert all(r.rows_in == r.dropped_missing + r.dropped_duplicates + r.rows_out for r in star.cleaning.collect())
+
+
+def test_counts_of_tasks_that_ran_again_are_not_trusted(spark, tmp_path, monkeypatch, raw_files):
+    from starloom.plans.star import cleaning_report
+
+    assert not cleaning.ran_once(spark, "a tag that no job has")
+    spark.sparkContext.addJobTag("fails")
+    with pytest.raises(Exception, match="lost"):
+        spark.range(3).select(F.raise_error(F.lit("lost"))).collect()
+    spark.sparkContext.removeJobTag("fails")
+    assert not cleaning.ran_once(spark, "fails")
+    monkeypatch.setattr(cleaning, "ran_once", lambda spark, tag: False)
+    star = build_star(spark, raw_files, f"{tmp_path}/star")
+    assert rows(star.cleaning) == rows(cleaning_report(spark, raw_files))

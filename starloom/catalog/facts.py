@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from starloom.catalog import standins as s
 from starloom.catalog.registry import query, table
-from starloom.operators import lookup_join
+from starloom.operators import bucketed_lookup_join, lookup_join
 from starloom.plans import cleaning
 from starloom.plans.dimensions import (
     calendar_dimension,
@@ -15,8 +15,8 @@ from starloom.plans.dimensions import (
     visa_type_dimension,
 )
 from starloom.plans.facts import fact_table, immigration_fact, star_join
-from starloom.scratch import materialise
-from starloom.sources import register
+from starloom.scratch import materialise, scratch_path
+from starloom.sources import register, write_bucketed
 
 
 @query(
@@ -70,15 +70,27 @@ def lookup_join_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _line_parts(spark, sf_dir, broadcast_bytes=8000, hot_share=0.0005)
 
 
+@query(_LINE_PARTS)
+def lookup_join_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines, part = _lines_and_parts(spark, sf_dir)
+    lines = write_bucketed(lines, scratch_path(spark, "lines"), "l_part")
+    part = write_bucketed(part, scratch_path(spark, "parts"), "p_partkey")
+    return bucketed_lookup_join(lines, part, {"l_part": "p_partkey"})
+
+
 def _line_parts(spark: SparkSession, sf_dir: str, **options: float) -> DataFrame:
+    lines, part = _lines_and_parts(spark, sf_dir)
+    return lookup_join(lines, part, {"l_part": "p_partkey"}, **options)
+
+
+def _lines_and_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     lines = table(spark, sf_dir, "lineitem").select(
         "l_linenumber",
         "l_shipdate",
         "l_quantity",
         F.nullif(F.col("l_partkey"), F.lit(0)).alias("l_part"),
     )
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size")
-    return lookup_join(lines, part, {"l_part": "p_partkey"}, **options)
+    return lines, table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size")
 
 
 @query(

@@ -10,12 +10,13 @@ from starloom.catalog.registry import query, table
 from starloom.functions import sas_days
 from starloom.plans.dimensions import calendar_dimension, state_population
 from starloom.plans.facts import star_join
-from starloom.plans.star import Star, StarSources, build_star, write_calendar
+from starloom.plans.star import Star, StarSources, build_star, open_star, write_calendar
 from starloom.scratch import scratch_path
 from starloom.sources import (
     file_inventory,
     read_csv,
     read_many,
+    read_with_rejects,
     stage,
     write_partitioned,
     write_table,
@@ -140,6 +141,40 @@ def malformed_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    """
+    select o_orderpriority, count(*) as n_rows, 0 as n_rejected,
+           round(sum(o_totalprice), 2) as total, null as reason
+    from orders where o_orderpriority <> '1-URGENT' or o_orderstatus = 'F' group by 1
+    union all
+    select o_orderpriority, 0, count(*), null, 'o_totalprice: 1,200 or so is not a double'
+    from orders where o_orderpriority = '1-URGENT' and o_orderstatus <> 'F' group by 1
+    """
+)
+def months_with_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One Parquet month holds prices as text, some of which are none; the other loads as it is."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice")
+    bad = (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") != "F")
+    price = F.when(bad, F.lit("1,200 or so")).otherwise(F.col("o_totalprice").cast("string"))
+    text, plain = scratch_path(spark, "text-month"), scratch_path(spark, "plain-month")
+    is_text = F.col("o_orderpriority") == "1-URGENT"
+    orders.where(is_text).withColumn("o_totalprice", price).write.parquet(text)
+    orders.where(~is_text).write.parquet(plain)
+    schema = "o_orderkey bigint, o_orderpriority string, o_totalprice double"
+    good, rejects = read_with_rejects(spark, [plain, text], schema)
+    kept = good.groupBy("o_orderpriority").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.lit(0).cast("long").alias("n_rejected"),
+        F.round(F.sum("o_totalprice"), 2).alias("total"),
+        F.lit(None).cast("string").alias("reason"),
+    )
+    told = rejects.select(F.get_json_object("row", "$.o_orderpriority").alias("o_orderpriority"), F.explode("reasons").alias("reason"))
+    lost = told.groupBy("o_orderpriority", "reason").agg(F.count(F.lit(1)).alias("n_rejected"))
+    return kept.unionByName(
+        lost.select("o_orderpriority", F.lit(0).cast("long").alias("n_rows"), "n_rejected", F.lit(None).cast("double").alias("total"), "reason")
+    )
+
+
 @query("select c_custkey, 'Å' || c_name as c_name from customer")
 def csv_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = table(spark, sf_dir, "customer").select(
@@ -181,7 +216,7 @@ def inventory_mixed_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
     return file_inventory(spark, path).groupBy("n_columns").agg(F.sum("n_rows").alias("n_rows"))
 
 
-def _star(spark: SparkSession, sf_dir: str) -> Star:
+def _star(spark: SparkSession, sf_dir: str, output: str | None = None, versioned: bool = False) -> Star:
     arrivals = scratch_path(spark, "arrivals")
     s.arrivals(spark, sf_dir).write.parquet(arrivals)
     sources = StarSources(
@@ -190,7 +225,8 @@ def _star(spark: SparkSession, sf_dir: str) -> Star:
         demographics=_csv(s.demographics(spark, sf_dir), ";"),
         country_codes=_csv(s.country_codes(spark, sf_dir), ","),
     )
-    return build_star(spark, sources, scratch_path(spark, "star"), fail_on_empty=True)
+    output = output or scratch_path(spark, "star")
+    return build_star(spark, sources, output, fail_on_empty=True, versioned=versioned)
 
 
 @query(
@@ -209,6 +245,14 @@ def star_build_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _star(spark, sf_dir).quality()
 
 
+@query(s.CALENDAR)
+def star_version_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The star as a version of its five tables, found through the pointer."""
+    output = scratch_path(spark, "star")
+    _star(spark, sf_dir, output, versioned=True)
+    return open_star(spark, output).immigration_calendar
+
+
 @query(
     f"""
     select record_id, f.arrdate, visatype, arrival_week, country_name,

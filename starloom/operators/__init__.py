@@ -1,6 +1,6 @@
 from starloom.operators.columns import drop_columns, drop_sparse_columns, rename, sparse_columns
 from starloom.operators.dedup import dedup, distinct_values
-from starloom.operators.joins import lookup_join
+from starloom.operators.joins import bucketed_lookup_join, lookup_join
 from starloom.operators.keys import with_surrogate_key
 from starloom.operators.profile import (
     column_overview,
@@ -19,6 +19,7 @@ from starloom.operators.quality import (
     check_unique,
     fail_if_any,
 )
+from starloom.operators.registry import new_members, unseen
 from starloom.operators.rows import (
     drop_empty_rows,
     drop_incomplete_rows,
@@ -28,6 +29,7 @@ from starloom.operators.rows import (
 )
 
 __all__ = [
+    "bucketed_lookup_join",
     "check_foreign_key",
     "check_not_null",
     "check_row_counts",
@@ -46,12 +48,14 @@ __all__ = [
     "lookup_join",
     "missing_profile",
     "missing_profile_of_files",
+    "new_members",
     "only_missing",
     "peek",
     "rename",
     "shape",
     "sparse_columns",
     "sparse_rows",
+    "unseen",
     "with_missing_count",
     "with_surrogate_key",
 ]

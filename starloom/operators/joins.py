@@ -109,6 +109,28 @@ def lookup_join(
     return _left_join_large(fact, right, hot, list(pairs), names, payload)
 
 
+def bucketed_lookup_join(
+    fact: DataFrame, lookup: DataFrame, on: str | Iterable[str] | Mapping[str, str]
+) -> DataFrame:
+    """:func:`lookup_join` of two tables written in the same buckets of the key.
+
+    Both are merged bucket by bucket, so neither is shuffled. The lookup must have one
+    row per key, which is checked, without a shuffle too.
+    """
+    pairs = as_pairs(on)
+    keys = list(pairs.values())
+    payload = [c for c in lookup.columns if c not in keys]
+    clash = {c.lower() for c in fact.columns} & {c.lower() for c in payload}
+    if clash:
+        raise ValueError(f"fact and lookup both have columns {sorted(clash)}: rename them first")
+    size = measure_lookup(lookup, keys)
+    if (size.max_per_key or 0) > 1:
+        raise ValueError(f"lookup has up to {size.max_per_key} rows per key {keys}")
+    names = _key_names(pairs, fact, payload)
+    right = lookup.select(*[col(r).alias(n) for r, n in zip(keys, names)], *[col(c) for c in payload])
+    return _left_join(fact, right.hint("merge"), list(pairs), names)
+
+
 def lookup_joins(
     fact: DataFrame, *lookups: tuple[DataFrame, str | Iterable[str] | Mapping[str, str]], **settings
 ) -> DataFrame:

@@ -8,11 +8,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from starloom.functions.dates import calendar_parts
+from starloom.plans.loads import MONTH
+from starloom.sources.writers import exists, hadoop_path, read_partitioned, write_partitioned
 
 # Lower edges, in °C, of the mild, warm and hot bands.
 TEMPERATURE_BANDS = (10.0, 20.0, 25.0)
+# Folder levels of a fact that is drilled into by month.
+FACT_FOLDERS = ("arrival_year", "arrival_month")
 
 
 def arrivals_per_country(fact: DataFrame, country: DataFrame) -> DataFrame:
@@ -68,12 +75,87 @@ def visit_drilldown(fact: DataFrame, calendar: DataFrame, visa_types: DataFrame)
     NULL from an unknown date or visa type.
     """
     daily = fact.groupBy("arrdate", "visa_type_key").agg(F.count(F.lit(1)).alias("_visits"))
+    return drilldown_of_counts(daily, calendar, visa_types, "_visits")
+
+
+def drilldown_of_counts(
+    daily: DataFrame, calendar: DataFrame, visa_types: DataFrame, visits: str = "visits"
+) -> DataFrame:
+    """:func:`visit_drilldown` from counts per ``arrdate`` and ``visa_type_key``, one row or several."""
     named = daily.join(calendar, "arrdate", "left").join(visa_types, "visa_type_key", "left")
     levels = named.select(
         "visatype",
         *[F.col(f"arrival_{part}").alias(part) for part in ("year", "month", "week")],
-        "_visits",
+        F.col(visits).alias("_visits"),
     ).rollup("visatype", "year", "month", "week")
     return levels.agg(
         F.grouping_id().cast("int").alias("level"), F.sum("_visits").alias("visits")
     )
+
+
+def write_fact_by_month(fact: DataFrame, path: str, replace: str = "table") -> DataFrame:
+    """Write the fact in one folder per arrival year and month, which it gains as columns."""
+    parts = calendar_parts(F.col("arrdate"))
+    folders = {name: parts[name] for name in FACT_FOLDERS}
+    return write_partitioned(fact.withColumns(folders), path, FACT_FOLDERS, replace)
+
+
+def visits_on(fact: DataFrame, calendar: DataFrame, days: Column) -> DataFrame:
+    """The fact rows that arrived on the calendar days for which ``days`` holds.
+
+    The fact is one of :func:`write_fact_by_month`. The calendar has one row per day, a
+    few million at most, so it is broadcast, and the folders that its chosen days name
+    are the only ones read: whatever the condition is on, it prunes them at run time.
+    """
+    keys = ["arrdate", *FACT_FOLDERS]
+    # In the calendar's own column order: a rearranged one is not recognised as the
+    # broadcast that the pruning is to reuse, and without it nothing is pruned.
+    return fact.join(F.broadcast(calendar.where(days).drop("id")), keys)
+
+
+def refresh_visit_counts(spark: SparkSession, fact_path: str, fact: DataFrame, path: str) -> DataFrame:
+    """Visits per month folder, ``arrdate`` and ``visa_type_key``, kept up to date at ``path``.
+
+    ``fact`` is the monthly table at ``fact_path`` (:func:`~starloom.plans.loads.load_month`).
+    A month is counted again only if the names or sizes of its files are not those it
+    was last counted from; the other months' counts are left as they lie. Counts merge
+    by addition, so reports are built from the parts (:func:`drilldown_of_counts`).
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(fact_path)
+    folder = F.regexp_extract("path", f"{MONTH}=([^/]+)", 1)
+    listed = files.select(F.url_decode(folder).alias(MONTH), F.struct("path", "length").alias("file"))
+    # One row per month, of the names of its files.
+    now = listed.groupBy(MONTH).agg(F.xxhash64(F.sort_array(F.collect_list("file"))).alias("files"))
+    now = {r[MONTH]: r["files"] for r in now.collect()}
+    schema = T.StructType(
+        [
+            fact.schema["arrdate"],
+            fact.schema["visa_type_key"],
+            T.StructField("visits", T.LongType()),
+            T.StructField("files", T.LongType()),
+            T.StructField(MONTH, T.StringType()),
+        ]
+    )
+    saved = read_partitioned(spark, path, schema) if exists(spark, path) else spark.createDataFrame([], schema)
+    before = {r[MONTH]: r["files"] for r in saved.groupBy(MONTH).agg(F.max("files").alias("files")).collect()}
+    stale = [m for m in now if before.get(m) != now[m]]
+    if stale:
+        chosen = fact.where(F.col(MONTH).isin([_like(fact, m) for m in stale]))
+        counts = chosen.groupBy(MONTH, "arrdate", "visa_type_key").agg(F.count(F.lit(1)).alias("visits"))
+        marks = F.create_map(*[F.lit(x) for m in stale for x in (m, now[m])])
+        counts = counts.withColumn(MONTH, F.col(MONTH).cast("string")).withColumn("files", marks[F.col(MONTH)])
+        write_partitioned(counts.select(*schema.names), path, MONTH, replace="partitions")
+    # A month without rows has written nothing, so what it had is deleted.
+    held = read_partitioned(spark, path, schema) if exists(spark, path) else saved
+    now_held = {r[MONTH]: r["files"] for r in held.groupBy(MONTH).agg(F.max("files").alias("files")).collect()}
+    for month in now_held:
+        if now_held[month] != now.get(month):
+            target, gone = hadoop_path(spark, f"{path}/{MONTH}={month}")
+            target.delete(gone, True)
+    return read_partitioned(spark, path, schema) if exists(spark, path) else saved
+
+
+def _like(fact: DataFrame, month: str):
+    """A folder's name as a value of the month column."""
+    kind = fact.schema[MONTH].dataType
+    return int(month) if isinstance(kind, T.IntegerType) else F.lit(month).cast(kind)

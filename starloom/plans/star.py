@@ -36,6 +36,7 @@ from starloom.sources import (
 )
 from starloom.sources.readers import fits
 from starloom.sources.schemas import COUNTRY_CODES, DEMOGRAPHICS, IMMIGRATION, TEMPERATURE
+from starloom.sources.versions import publish_version, read_version
 
 _COLUMNAR = ("parquet", "orc")
 # The calendar's folder levels.
@@ -179,13 +180,19 @@ def write_demographics(demographics: DataFrame, output: str) -> DataFrame:
 
 
 def build_star(
-    spark: SparkSession, sources: StarSources, output: str, fail_on_empty: bool = False
+    spark: SparkSession,
+    sources: StarSources,
+    output: str,
+    fail_on_empty: bool = False,
+    versioned: bool = False,
 ) -> Star:
     """Read, clean, model, write, check and publish; every table at ``output`` is replaced.
 
     The tables are built in the scratch folder. Only when all are written, and with
     ``fail_on_empty`` none is empty, do they take the place of the old ones, so
-    a bad month or a failed run leaves the old star as it was. What cleaning removed is
+    a bad month or a failed run leaves the old star as it was. They are moved one by one;
+    with ``versioned`` they become a version that one pointer puts in force, and
+    :func:`open_star` reads it, so the five tables change at once. What cleaning removed is
     counted by the jobs that write the tables, so the star's ``cleaning`` scans nothing;
     if one of their tasks had to run again, it is a query over the raw tables instead.
     """
@@ -216,13 +223,23 @@ def build_star(
         counted.report(trusted).select(F.lit(name).alias("source"), "*")
         for name, counted in (("immigration", arrivals), ("temperature", readings), ("demographics", cities))
     ]
-    published = {
-        name: publish(table, f"{built}/{name}", f"{output}/{name}")
-        for name, table in star.tables().items()
-    }
+    if versioned:
+        published = publish_version(
+            spark, output, {name: (table, f"{built}/{name}") for name, table in star.tables().items()}
+        )
+    else:
+        published = {
+            name: publish(table, f"{built}/{name}", f"{output}/{name}")
+            for name, table in star.tables().items()
+        }
     return Star(**published, cleaning=reduce(DataFrame.unionByName, reports))
 
 
+def open_star(spark: SparkSession, output: str) -> Star:
+    """The five tables of the version in force."""
+    return Star(**read_version(spark, output))
+
+
 def at_once(*steps: Callable[[], Any]) -> list[Any]:
     """Run steps whose Spark jobs are independent side by side.
 

@@ -77,8 +77,11 @@ def read_many(
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), months)
 
 
-def conform(df: DataFrame, schema: T.StructType | str) -> DataFrame:
-    """The schema's columns in its order and types (NULL if absent), then all others."""
+def conform(df: DataFrame, schema: T.StructType | str, cast: str = "cast") -> DataFrame:
+    """The schema's columns in its order and types (NULL if absent), then all others.
+
+    A value that does not fit fails, or is NULL with ``cast="try_cast"``.
+    """
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
     have = {f.name: f.dataType for f in df.schema.fields}
@@ -88,12 +91,56 @@ def conform(df: DataFrame, schema: T.StructType | str) -> DataFrame:
             # Not renamed: filters over many renamed columns are slow to optimise.
             return col(f.name)
         value = col(f.name) if f.name in have else F.lit(None)
-        return value.cast(f.dataType).alias(f.name)
+        return getattr(value, cast)(f.dataType).alias(f.name)
 
     declared = [declare(f) for f in schema.fields]
     return df.select(*declared, *[col(c) for c in df.columns if c not in schema.names])
 
 
+def read_with_rejects(
+    spark: SparkSession,
+    paths: Iterable[str],
+    schema: T.StructType | str,
+    fmt: str = "parquet",
+    **options: str,
+) -> tuple[DataFrame, DataFrame]:
+    """:func:`read_many` that keeps rows with values that do not fit apart, instead of failing.
+
+    Returns the rows in which every value fits its declared type, and one reject per other
+    row: ``file_path``, ``reasons`` (``column: value is not a type``, one per cell that
+    does not fit) and ``row``, all its cells as JSON. A column a month lacks, and NULL,
+    always fit. Both are plans over the files and read them when they are used.
+    """
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    if fmt == "csv":
+        options = {"header": True} | options
+    kept, rejects = [], []
+    for path in paths:
+        month = read_table(spark, path, fmt, **options)
+        reasons = F.array_compact(F.array(*[_misfit(month.schema[f.name], f) for f in schema.fields if f.name in month.columns]))
+        reasons = F.coalesce(reasons, F.array().cast("array<string>"))
+        kept.append(conform(month.where(F.size(reasons) == 0), schema, "try_cast"))
+        rejects.append(
+            month.where(F.size(reasons) > 0).select(
+                F.col("_metadata.file_path").alias("file_path"),
+                reasons.alias("reasons"),
+                F.to_json(F.struct(*[col(c) for c in month.columns])).alias("row"),
+            )
+        )
+    good = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), kept)
+    return good, reduce(DataFrame.unionByName, rejects)
+
+
+def _misfit(have: T.StructField, want: T.StructField) -> Column:
+    """Why the stored value does not fit, NULL if it does."""
+    if have.dataType == want.dataType:
+        return F.lit(None).cast("string")
+    value = col(have.name)
+    told = F.concat(F.lit(f"{want.name}: "), value.cast("string"), F.lit(f" is not a {want.dataType.simpleString()}"))
+    return F.when(value.isNotNull() & value.try_cast(want.dataType).isNull(), told)
+
+
 def fits(df: DataFrame, schema: T.StructType | str) -> bool:
     """True if no column that ``df`` shares with the schema has another type."""
     if isinstance(schema, str):

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.names import as_list, col
+from starloom.names import as_list, col, fresh
 
 
 def write_table(df: DataFrame, path: str) -> DataFrame:
@@ -45,6 +47,30 @@ def write_partitioned(
     return read_partitioned(df.sparkSession, path, df.schema)
 
 
+def write_bucketed(
+    df: DataFrame, path: str, keys: str | Iterable[str], buckets: int | None = None
+) -> DataFrame:
+    """Write Parquet in hash buckets of ``keys``, sorted in each, as a table of the session's catalog.
+
+    Joins and groups on the keys then need no shuffle of it, however often they run. All
+    rows of a key lie in one bucket, so a key (or the missing ones) with more rows than
+    four buckets should have is refused: ``lookup_join`` spreads such keys. The default
+    number of buckets is that of shuffle partitions; tables joined need the same.
+    """
+    spark, keys = df.sparkSession, as_list(keys)
+    buckets = buckets or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    rows = fresh("_rows", keys)
+    sizes = df.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias(rows))
+    top, total = sizes.agg(F.max(rows), F.sum(rows)).first()
+    if total and top * buckets > 4 * total:
+        raise ValueError(f"one key of {keys} has {top} of {total} rows: too many for {buckets} buckets")
+    name = f"bucketed_{uuid4().hex}"
+    arranged = df.repartition(buckets, *[col(k) for k in keys])
+    writer = arranged.write.format("parquet").option("path", path)
+    writer.bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
+    return spark.table(name)
+
+
 def read_partitioned(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Read a partitioned table in its original column order and types."""
     table = spark.read.schema(schema).parquet(path)

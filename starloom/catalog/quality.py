@@ -12,6 +12,7 @@ from starloom.operators import (
     check_foreign_key,
     check_not_null,
     check_row_counts,
+    check_schema,
     check_source_target,
     check_unique,
     dedup,
@@ -100,3 +101,19 @@ def quality_source_target(spark: SparkSession, sf_dir: str) -> DataFrame:
         drop_incomplete_rows(lines, "l_discount"), ["l_orderkey", "l_linenumber"], survivor="any"
     )
     return check_source_target(lines, clean)
+
+
+@query(
+    """
+    select column_name, expected_type, actual_type, expected_type is not distinct from actual_type as passed
+    from (values ('o_orderkey', 'bigint', 'bigint'), ('o_custkey', 'int', 'bigint'),
+                 ('o_orderstatus', null, 'string'), ('o_totalprice', 'double', 'double'),
+                 ('o_orderdate', 'timestamp_ntz', 'timestamp_ntz'), ('o_orderpriority', null, 'string'),
+                 ('o_comment', 'string', null)) t(column_name, expected_type, actual_type)
+    where exists (select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority from orders)
+    """
+)
+def quality_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored types of orders beside some that are expected, right, wrong and absent."""
+    expected = "o_orderkey bigint, o_custkey int, o_totalprice double, o_orderdate timestamp_ntz, o_comment string"
+    return check_schema(table(spark, sf_dir, "orders"), expected)

@@ -79,6 +79,40 @@ def test_inventory_lists_empty_files_and_each_months_columns(spark, tmp_path):
     assert all(r.n_bytes > 0 for r in found)
 
 
+def test_inventory_of_very_many_small_files(spark, tmp_path, monkeypatch):
+    """10,000 footers are read by tasks; the driver opens none and collects no names."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from starloom.sources import inventory
+
+    for month in range(1, 11):
+        folder = tmp_path / "files" / "year=2016" / f"month={month}"
+        folder.mkdir(parents=True)
+        pq.write_table(pa.table({"a": range(month), "b c": ["x"] * month}), folder / "0.parquet")
+        data = (folder / "0.parquet").read_bytes()
+        for k in range(1, 1000):
+            (folder / f"{k}.parquet").write_bytes(data)
+    monkeypatch.setattr(inventory, "_opened", lambda *a: pytest.fail("opened by the driver"))
+    found = file_inventory(spark, f"{tmp_path}/files")
+    months = found.groupBy(F.regexp_extract("file_path", "month=([0-9]+)", 1).cast("int").alias("m"))
+    got = months.agg(F.count("*"), F.sum("n_rows"), F.min("n_columns"), F.max("n_columns"))
+    assert rows(got) == sorted(((m, 1000, 1000 * m, 4, 4) for m in range(1, 11)), key=repr)
+
+
+def test_inventory_opens_large_files_and_long_footers(spark, tmp_path, monkeypatch):
+    from starloom.sources import inventory
+
+    spark.range(50_000).coalesce(1).write.parquet(f"{tmp_path}/t/p=1")
+    spark.range(3).withColumn("x", F.lit(1)).coalesce(1).write.parquet(f"{tmp_path}/t/p=2")
+    whole = rows(file_inventory(spark, f"{tmp_path}/t").select("n_rows", "n_columns"))
+    assert whole == [(3, 3), (50_000, 2)]
+    monkeypatch.setattr(inventory, "IN_TASKS", 10_000)
+    assert rows(file_inventory(spark, f"{tmp_path}/t").select("n_rows", "n_columns")) == whole
+    monkeypatch.setattr(inventory, "_TAIL", 16)
+    assert rows(file_inventory(spark, f"{tmp_path}/t").select("n_rows", "n_columns")) == whole
+
+
 def test_staging_refuses_an_existing_path(spark, tmp_path):
     path = f"{tmp_path}/staged"
     assert rows(stage(spark.range(3), path)) == [(0,), (1,), (2,)]

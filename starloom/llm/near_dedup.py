@@ -9,14 +9,15 @@ classes that agree on all rows of a band share a bucket.
    signatures agree well enough are verified on full sets, and links become
    components by alternating large-star and small-star.
 2. In buckets that still hold several components, all other pairs across
-   components are examined, block by block inside tasks: signatures first, which
-   mark the classes that have a partner, then the full sets of those. A pair is examined in
-   the first bucket it shares, the best first, and components that meet are
-   one from then on. Only links leave a task, never candidate pairs.
+   components are examined, block by block inside tasks: signatures first (128 bytes a
+   class are all that moves), which mark the classes that have a partner, then the
+   full sets of those, in blocks bounded by the shingles they hold. Components that
+   meet in a block are one from then on. Only links leave a task, never candidate pairs.
 
 Two sets at the threshold share a bucket with probability
 ``1 - (1 - 0.75**ROWS)**BANDS`` (more than 0.99999), and signatures reject
-them with about the same small probability.
+them with about the same small probability; ``least_matches=0`` verifies every pair
+that shares a bucket.
 
 Defined results: a null, empty or blank text has an empty set, links with nothing
 and is its own component. Rows that share an id are one node. A null id has a null
@@ -35,14 +36,18 @@ from pyspark.sql import functions as F
 
 from starloom.llm.components import connected_components
 from starloom.llm.words import WordHashes, Windows, shingles, texts
+from starloom.operators.dedup import dedup
 from starloom.scratch import materialise
 
 SHINGLE = 5
 BANDS, ROWS = 32, 4
 #: Matching minima of 128 below which a pair at 0.75 is out of the question (five deviations).
 LEAST_MATCHES = 72
-#: Members of a bucket compared in one block.
-BLOCK = 2048
+#: Members of a bucket whose signatures are compared in one block; members and shingles
+#: of a block of full sets (a larger set is a block of its own).
+BLOCK, SETS, SHINGLES = 8192, 2048, 1_000_000
+#: A class of equal sets with more than 1 / HOT of all rows is hot; there are fewer than HOT.
+HOT = 20_000
 _random = np.random.default_rng(20240607)
 _MULTIPLY = _random.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)[:, None] * np.uint64(2) + np.uint64(1)
 _ADD = _random.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)[:, None]
@@ -82,7 +87,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             least = minima(own) >> np.uint64(32)
             out["key"].append(xxhash.xxh3_128_digest(own.tobytes()))
-            out["signature"].append(least.astype("<u2").tobytes())
+            out["signature"].append(least.astype("<u1").tobytes())
             rows = least.astype("<u4").reshape(BANDS, ROWS)
             # The band's number seeds its key: buckets of different bands never meet.
             out["bands"].append([xxhash.xxh3_64_intdigest(r.tobytes(), b) - (1 << 63) for b, r in enumerate(rows)])
@@ -117,19 +122,23 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(arrays, names=["bucket", "lead", "id"])
 
 
-def _matching(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Keeps pairs (a, b, sizes, signatures) that can reach the threshold."""
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        x, y = (_matrix(batch.column(k)) for k in (4, 5))
-        m, n = (np.asarray(batch.column(k)) for k in (2, 3))
-        good = ((x == y).sum(1) >= LEAST_MATCHES) & (100 * np.minimum(m, n) >= 75 * np.maximum(m, n))
-        yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(good))
+def _matching(least: int):
+    """A task that keeps pairs (a, b, sizes, signatures) that can reach the threshold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x, y = (_matrix(batch.column(k)) for k in (4, 5))
+            m, n = (np.asarray(batch.column(k)) for k in (2, 3))
+            good = ((x == y).sum(1) >= least) & (100 * np.minimum(m, n) >= 75 * np.maximum(m, n))
+            yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(good))
+
+    return run
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), "<u2").reshape(-1, BANDS * ROWS)
+    return np.frombuffer(b"".join(column.to_pylist()), "<u1").reshape(-1, BANDS * ROWS)
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,68 +154,104 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class _Block:
     """One block of a bucket, or two that face each other, with signatures."""
 
-    def __init__(self, table: pa.Table) -> None:
-        self.table = table = table.combine_chunks()
-        self.node, self.group, self.size, block = (table.column(n).to_numpy() for n in ("id", "component", "n", "block"))
+    def __init__(self, table: pa.Table, least: int) -> None:
+        self.table, self.least = table, least
+        self.group, self.size, own = (table.column(n).to_numpy() for n in ("component", "n", "block"))
         self.signature = _matrix(table.column("signature").combine_chunks())
-        bands = table.column("bands").combine_chunks()
-        self.bands = bands.flatten().to_numpy().reshape(-1, BANDS)
-        self.bucket = table.column("bucket")[0].as_py()
-        self.left = np.flatnonzero(block == table.column("i")[0].as_py())
-        self.right = np.flatnonzero(block == table.column("j")[0].as_py())
-
-    def pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """(row, row, matching minima) of pairs across components that may link and meet here first."""
+        self.left = np.flatnonzero(own == table.column("i")[0].as_py())
+        self.right = np.flatnonzero(own == table.column("j")[0].as_py())
+
+    def pairs(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, row, matching minima) of pairs of these rows across components that may link."""
         right = self.right
+        score = np.stack([np.count_nonzero(self.signature[right] == self.signature[r], axis=1) for r in rows])
+        sizes = self.size[rows, None], self.size[right]
+        fits = 100 * np.minimum(*sizes) >= 75 * np.maximum(*sizes)
+        x, y = np.nonzero((score >= self.least) & fits & (self.group[rows, None] != self.group[right]))
+        return rows[x], right[y], score[x, y]
+
+    def slices(self) -> Iterator[np.ndarray]:
+        """The rows of the left side, a few at a time."""
         for start in range(0, len(self.left), 32):
-            rows = self.left[start : start + 32]
-            score = np.stack([(self.signature[right] == self.signature[r]).sum(1) for r in rows])
-            fits = 100 * np.minimum(self.size[rows, None], self.size[right]) >= 75 * np.maximum(self.size[rows, None], self.size[right])
-            x, y = np.nonzero((score >= LEAST_MATCHES) & fits & (self.group[rows, None] != self.group[right]))
-            a, b = rows[x], right[y]
-            first = (self.bands[a] == self.bands[b]).argmax(axis=1)
-            here = self.bands[a, first] == self.bucket
-            yield a[here], b[here], score[x[here], y[here]]
-
-
-def _marked(table: pa.Table) -> pa.Table:
-    """The rows that have a partner to be examined, for this block."""
-    block = _Block(table)
-    marked = np.zeros(table.num_rows, bool)
-    for a, b, _ in block.pairs():
-        marked[a] = True
-        marked[b] = True
-    return block.table.filter(pa.array(marked))
-
-
-def _links(table: pa.Table) -> pa.Table:
-    """Links across components, verified on full sets, the most similar pairs first."""
-    block = _Block(table)
-    sets = [np.frombuffer(x.as_py(), np.uint64) for x in block.table.column("set")]
-    a, b, score = (np.concatenate(x) for x in zip(*block.pairs(), strict=True)) if len(block.left) else ([], [], [])
-    parent: dict[int, int] = {}
-
-    def find(g: int) -> int:
-        while (up := parent.get(g, g)) != g:
-            g = up
-        return g
-
-    out = []
-    for k in np.argsort(-np.asarray(score), kind="stable"):
-        x, y = find(int(block.group[a[k]])), find(int(block.group[b[k]]))
-        if x == y:
-            continue
-        own, other = sets[a[k]], sets[b[k]]
-        both = len(np.intersect1d(own, other, assume_unique=True))
-        if 100 * both >= 75 * (len(own) + len(other) - both):
-            parent[max(x, y)] = min(x, y)
-            out.append(sorted((int(block.node[a[k]]), int(block.node[b[k]]))))
-    kind = table.schema.field("id").type
-    return pa.table({"a": pa.array([x for x, _ in out], kind), "b": pa.array([y for _, y in out], kind)})
+            yield self.left[start : start + 32]
+
+
+def _chunks(rows: np.ndarray, sizes: np.ndarray) -> Iterator[np.ndarray]:
+    """The rows in runs of up to SETS members and SHINGLES shingles."""
+    start, held = 0, 0
+    for k, n in enumerate(sizes[rows]):
+        if k > start and (k - start == SETS or held + n > SHINGLES):
+            yield rows[start:k]
+            start, held = k, 0
+        held += n
+    if len(rows):
+        yield rows[start:]
+
+
+def _marked(least: int):
+    """A group's task: the rows that have a partner, in blocks bounded by their shingles."""
+
+    def run(table: pa.Table) -> pa.Table:
+        block = _Block(table, least)
+        marked = np.zeros(table.num_rows, bool)
+        for rows in block.slices():
+            a, b, _ = block.pairs(rows)
+            marked[a] = True
+            marked[b] = True
+        same = table.column("i")[0].as_py() == table.column("j")[0].as_py()
+        left = list(_chunks(block.left[marked[block.left]], block.size))
+        right = left if same else list(_chunks(block.right[marked[block.right]], block.size))
+        order, i, j, own = [], [], [], []
+        for x, mine in enumerate(left):
+            for y, other in enumerate(right):
+                if same and y < x:
+                    continue
+                # Numbers of one side, so that a row of the other is told apart.
+                sides = [(mine, 2 * x)] if same and x == y else [(mine, 2 * x), (other, 2 * y if same else 2 * y + 1)]
+                for rows, number in sides:
+                    order.append(rows)
+                    own.append(np.full(len(rows), number))
+                    i.append(np.full(len(rows), 2 * x))
+                    j.append(np.full(len(rows), 2 * y if same else 2 * y + 1))
+        picked = table.take(pa.array(np.concatenate(order) if order else np.zeros(0, np.int64)))
+        # The part names the group that these blocks come from.
+        part = pa.array([f"{table.column('i')[0].as_py()}-{table.column('j')[0].as_py()}"] * picked.num_rows, pa.string())
+        columns = {n: picked.column(n) for n in ("bucket", "id", "component", "n", "signature")}
+        numbers = {n: pa.array(np.concatenate(x) if x else np.zeros(0), pa.int32()) for n, x in (("block", own), ("i", i), ("j", j))}
+        return pa.table(columns | {"part": part} | numbers)
+
+    return run
+
+
+def _links(least: int):
+    """A group's task: links across components, verified on full sets."""
+
+    def run(table: pa.Table) -> pa.Table:
+        block = _Block(table, least)
+        node = table.column("id").to_numpy()
+        sets = [np.frombuffer(x.as_py(), np.uint64) for x in table.column("set")]
+        # Renamed as components meet; pairs that are one component by then are not looked at.
+        block.group = block.group.copy()
+        out = []
+        for rows in block.slices():
+            a, b, score = block.pairs(rows)
+            for k in np.argsort(-score.astype(np.int64), kind="stable"):
+                x, y = block.group[a[k]], block.group[b[k]]
+                if x == y:
+                    continue
+                own, other = sets[a[k]], sets[b[k]]
+                both = len(np.intersect1d(own, other, assume_unique=True))
+                if 100 * both >= 75 * (len(own) + len(other) - both):
+                    block.group[block.group == y] = x
+                    out.append(sorted((int(node[a[k]]), int(node[b[k]]))))
+        kind = table.schema.field("id").type
+        return pa.table({"a": pa.array([x for x, _ in out], kind), "b": pa.array([y for _, y in out], kind)})
+
+    return run
 
 
 def near_duplicates(
-    docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", least_matches: int = LEAST_MATCHES
 ) -> DataFrame:
     """One row per row of ``docs``: id, n_shingles, component_id, kept.
 
@@ -218,8 +263,7 @@ def near_duplicates(
     schema = f"id {kind}, n long, key binary, signature binary, bands array<long>"
     signed = materialise(named.mapInArrow(_sign, schema), "minhash-signatures")
     nodes = signed.where(F.col("id").isNotNull() & F.col("key").isNotNull())
-    least = nodes.groupBy("key").agg(F.min("id").alias("rep"))
-    members = materialise(nodes.select("id", "key").join(least, "key").select("id", "rep", "key").distinct(), "minhash-members")
+    members = materialise(_represented(nodes.select("id", "key")).distinct(), "minhash-members")
     # A class speaks through its smallest member.
     classes = nodes.join(members.where(F.col("id") == F.col("rep")).select("id", "key"), ["id", "key"])
     classes = classes.dropDuplicates(["id", "key"])
@@ -231,12 +275,12 @@ def near_duplicates(
 
     signatures = classes.select("id", "n", "signature")
     pairs = buckets.where(F.col("lead") != F.col("id")).select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
-    links = _verified(_signature_check(pairs, signatures, kind), named, kind)
+    links = _verified(_signature_check(pairs, signatures, kind, least_matches), named, kind)
     # Rows that share an id are one node, whatever class they are in.
     same = members.where(F.col("id") != F.col("rep")).select(F.col("rep").alias("u"), F.col("id").alias("v")).distinct()
     found = connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(same))
     found = materialise(found, "minhash-components")
-    links = materialise(_cross_links(buckets, found, classes, named, kind), "minhash-links")
+    links = materialise(_cross_links(buckets, found, classes, named, kind, least_matches), "minhash-links")
     if not links.isEmpty():
         found = _merged(found, links)
 
@@ -251,12 +295,22 @@ def near_duplicates(
     )
 
 
-def _signature_check(pairs: DataFrame, signatures: DataFrame, kind: str) -> DataFrame:
+def _represented(nodes: DataFrame) -> DataFrame:
+    """(id, rep, key): every node with the smallest of its class; members of a hot class are not shuffled."""
+    least = materialise(nodes.groupBy("key").agg(F.min("id").alias("rep"), F.count("*").alias("rows")), "minhash-classes")
+    total = least.agg(F.sum("rows")).first()[0] or 0
+    is_hot = F.col("rows") * HOT > total
+    hot, cold = F.broadcast(least.where(is_hot).drop("rows")), least.where(~is_hot).drop("rows")
+    rest = nodes.join(hot, "key", "left_anti").join(cold, "key")
+    return nodes.join(hot, "key").unionByName(rest).select("id", "rep", "key")
+
+
+def _signature_check(pairs: DataFrame, signatures: DataFrame, kind: str, least: int) -> DataFrame:
     side = lambda x: signatures.select(
         F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("signature").alias(f"s_{x}")
     )
     joined = pairs.join(side("b"), "b").join(side("a"), "a")
-    return joined.select("a", "b", "n_a", "n_b", "s_a", "s_b").mapInArrow(_matching, f"a {kind}, b {kind}").distinct()
+    return joined.select("a", "b", "n_a", "n_b", "s_a", "s_b").mapInArrow(_matching(least), f"a {kind}, b {kind}").distinct()
 
 
 def _read_sets(ids: DataFrame, named: DataFrame, kind: str) -> DataFrame:
@@ -275,7 +329,7 @@ def _verified(pairs: DataFrame, named: DataFrame, kind: str) -> DataFrame:
     return joined.mapInArrow(_verify, f"a {kind}, b {kind}").distinct()
 
 
-def _cross_links(buckets: DataFrame, found: DataFrame, classes: DataFrame, named: DataFrame, kind: str) -> DataFrame:
+def _cross_links(buckets: DataFrame, found: DataFrame, classes: DataFrame, named: DataFrame, kind: str, least: int) -> DataFrame:
     """Links between members of different components that share a bucket.
 
     A bucket of many members is cut into blocks, and each pair of blocks is a task
@@ -289,13 +343,15 @@ def _cross_links(buckets: DataFrame, found: DataFrame, classes: DataFrame, named
     )
     mixed = mixed.where(F.col("low") < F.col("high")).select("bucket", F.ceil(F.col("members") / BLOCK).alias("blocks"))
     members = rest.join(mixed, "bucket").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    known = members.join(classes.select("id", "n", "signature", "bands"), "id")
+    known = members.join(classes.select("id", "n", "signature"), "id")
     facing = F.explode(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int"))).alias("facing")
-    spread = known.select("bucket", "id", "component", "block", "n", "signature", "bands", facing)
+    spread = known.select("bucket", "id", "component", "n", "signature", "block", facing)
     spread = spread.withColumn("i", F.least("block", "facing")).withColumn("j", F.greatest("block", "facing")).drop("facing")
-    marked = materialise(spread.groupBy("bucket", "i", "j").applyInArrow(_marked, spread.schema), "minhash-marked")
+    schema = f"bucket long, id {kind}, component {kind}, n long, signature binary, part string, block int, i int, j int"
+    marked = materialise(spread.groupBy("bucket", "i", "j").applyInArrow(_marked(least), schema), "minhash-marked")
     sets = _read_sets(marked.select("id").distinct(), named, kind)
-    return marked.join(sets, "id").groupBy("bucket", "i", "j").applyInArrow(_links, f"a {kind}, b {kind}").distinct()
+    grouped = marked.join(sets, "id").groupBy("bucket", "part", "i", "j")
+    return grouped.applyInArrow(_links(least), f"a {kind}, b {kind}").distinct()
 
 
 def _merged(found: DataFrame, links: DataFrame) -> DataFrame:
@@ -312,8 +368,12 @@ def _merged(found: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def keep_one_each(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row of each near-duplicate group, with all its columns; rows without an id all stay."""
+    """One row of each near-duplicate group, with all its columns; rows without an id all stay.
+
+    Rows that share the id that is kept: of those with one text the first by the other
+    columns stays, and every other text stays as well.
+    """
     groups = near_duplicates(docs, id_column=id_column, text_column=text_column)
     kept = groups.where(F.col("kept") & F.col(id_column).isNotNull()).select(id_column).distinct()
-    named = docs.join(kept, id_column, "left_semi").dropDuplicates([id_column])
+    named = dedup(docs.join(kept, id_column, "left_semi").select(*docs.columns), [id_column, text_column])
     return named.unionByName(docs.where(F.col(id_column).isNull()))

@@ -69,8 +69,8 @@ def near_copies(count, words, changes, seed):
     return out
 
 
-def check(documents, rows):
-    got = near_duplicates(documents(rows)).collect()
+def check(documents, rows, **settings):
+    got = near_duplicates(documents(rows), **settings).collect()
     wanted = brute(rows)
     assert len(got) == len(rows)
     for r in got:
@@ -89,10 +89,11 @@ def test_edge_cases(documents):
     assert [(r.component_id, r.n_shingles, r.kept) for r in sorted(only_empty)] == [(1, 0, True), (2, 0, True)]
 
 
-@pytest.mark.parametrize("block", [512, 8])
-def test_groups_around_the_threshold(documents, monkeypatch, block):
+@pytest.mark.parametrize("block, sets, shingles", [(512, 512, 10**6), (8, 512, 10**6), (16, 3, 10**6), (512, 512, 300)])
+def test_groups_around_the_threshold(documents, monkeypatch, block, sets, shingles):
     """Copies whose pairs lie on either side of 0.75, linked through others; also in small blocks."""
-    monkeypatch.setattr(near_dedup, "BLOCK", block)
+    for name, value in (("BLOCK", block), ("SETS", sets), ("SHINGLES", shingles)):
+        monkeypatch.setattr(near_dedup, name, value)
     texts = near_copies(50, 120, 6, seed=1) + near_copies(25, 60, 4, seed=2) + [prose(i, 90, 5000) for i in range(50, 70)]
     random.Random(3).shuffle(texts)
     rows = list(enumerate(texts))
@@ -107,3 +108,35 @@ def test_one_row_of_each_group_stays(documents):
     assert left.columns == docs.columns
     wanted = brute(rows)
     assert sorted(r.doc_id or 0 for r in left.collect()) == sorted([0, *{i for i, c in wanted.items() if i == c}])
+
+
+def test_unlike_texts_of_one_id_all_stay(documents):
+    rows = [(3, prose(1, 50)), (3, prose(2, 50)), (3, prose(1, 50)), (7, prose(2, 50)), (8, prose(5, 50))]
+    left = [(r.doc_id, r.text) for r in keep_one_each(documents(rows)).collect()]
+    assert sorted(left) == sorted({(3, prose(1, 50)), (3, prose(2, 50)), (8, prose(5, 50))})
+
+
+def test_signatures_lose_no_link_that_full_sets_hold(documents):
+    """Every pair that shares a bucket verified: the same groups as with the signature's bound."""
+    texts = near_copies(40, 80, 5, seed=11) + near_copies(20, 30, 2, seed=12)
+    check(documents, list(enumerate(texts)), least_matches=0)
+
+
+def test_a_class_that_most_rows_are_in(documents, monkeypatch):
+    monkeypatch.setattr(near_dedup, "HOT", 4)
+    rows = [(i, prose(1, 40)) for i in range(60)] + [(100 + i, prose(2, 40)) for i in range(3)] + [(200, prose(3, 40))]
+    check(documents, rows)
+
+
+def test_chunks_are_bounded_by_members_and_shingles():
+    import numpy as np
+
+    sizes = np.array([5, 3, 3, 20, 1, 1, 1, 1])
+    cut = lambda: [c.tolist() for c in near_dedup._chunks(np.arange(8), sizes)]
+    near_dedup_sets, near_dedup_shingles = near_dedup.SETS, near_dedup.SHINGLES
+    try:
+        near_dedup.SETS, near_dedup.SHINGLES = 3, 10
+        assert cut() == [[0, 1], [2], [3], [4, 5, 6], [7]]
+    finally:
+        near_dedup.SETS, near_dedup.SHINGLES = near_dedup_sets, near_dedup_shingles
+    assert list(near_dedup._chunks(np.zeros(0, int), sizes)) == []

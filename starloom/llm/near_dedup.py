@@ -275,12 +275,14 @@ def near_duplicates(
 
     signatures = classes.select("id", "n", "signature")
     pairs = buckets.where(F.col("lead") != F.col("id")).select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
-    links = _verified(_signature_check(pairs, signatures, kind, least_matches), named, kind)
+    # Texts move once: the sets of all classes that share a bucket with another.
+    sets = _read_sets(buckets.select("id").distinct(), named, kind)
+    links = _verified(_signature_check(pairs, signatures, kind, least_matches), sets, kind)
     # Rows that share an id are one node, whatever class they are in.
     same = members.where(F.col("id") != F.col("rep")).select(F.col("rep").alias("u"), F.col("id").alias("v")).distinct()
     found = connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(same))
     found = materialise(found, "minhash-components")
-    links = materialise(_cross_links(buckets, found, classes, named, kind, least_matches), "minhash-links")
+    links = materialise(_cross_links(buckets, found, classes, sets, kind, least_matches), "minhash-links")
     if not links.isEmpty():
         found = _merged(found, links)
 
@@ -314,22 +316,19 @@ def _signature_check(pairs: DataFrame, signatures: DataFrame, kind: str, least:
 
 
 def _read_sets(ids: DataFrame, named: DataFrame, kind: str) -> DataFrame:
-    """(id, set) of the given ids; only their texts are read again."""
-    sets = named.join(ids, "id", "left_semi").mapInArrow(_sets, f"id {kind}, set binary")
+    """(id, set) of the given ids, which are too many to be sent to every task."""
+    sets = named.join(ids.hint("merge"), "id", "left_semi").mapInArrow(_sets, f"id {kind}, set binary")
     return materialise(sets, "minhash-sets")
 
 
-def _verified(pairs: DataFrame, named: DataFrame, kind: str) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, kind: str) -> DataFrame:
     """The pairs whose full sets reach the threshold."""
-    pairs = materialise(pairs, "minhash-pairs")
-    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    sets = _read_sets(ids, named, kind)
     side = lambda x: sets.select(F.col("id").alias(x), F.col("set").alias(f"set_{x}"))
     joined = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "set_a", "set_b")
     return joined.mapInArrow(_verify, f"a {kind}, b {kind}").distinct()
 
 
-def _cross_links(buckets: DataFrame, found: DataFrame, classes: DataFrame, named: DataFrame, kind: str, least: int) -> DataFrame:
+def _cross_links(buckets: DataFrame, found: DataFrame, classes: DataFrame, sets: DataFrame, kind: str, least: int) -> DataFrame:
     """Links between members of different components that share a bucket.
 
     A bucket of many members is cut into blocks, and each pair of blocks is a task
@@ -349,7 +348,6 @@ def _cross_links(buckets: DataFrame, found: DataFrame, classes: DataFrame, named
     spread = spread.withColumn("i", F.least("block", "facing")).withColumn("j", F.greatest("block", "facing")).drop("facing")
     schema = f"bucket long, id {kind}, component {kind}, n long, signature binary, part string, block int, i int, j int"
     marked = materialise(spread.groupBy("bucket", "i", "j").applyInArrow(_marked(least), schema), "minhash-marked")
-    sets = _read_sets(marked.select("id").distinct(), named, kind)
     grouped = marked.join(sets, "id").groupBy("bucket", "part", "i", "j")
     return grouped.applyInArrow(_links(least), f"a {kind}, b {kind}").distinct()
 

@@ -10,13 +10,15 @@ words also start earlier (smaller id, or earlier in the same text) is removed.
    stored by shards of cells; shards of all chunks are merged, and the cells seen
    twice or more go back to the chunks that touched them. The merged sketch never
    underestimates, so no repeated window is lost.
-3. Windows estimated repeated are grouped exactly, by 96 bits of hash. A chunk sends the first of its
+3. Windows estimated repeated are grouped exactly, by 96 bits of hash (not by their
+   words: among 10**12 windows two collide with a probability of about 10**-5). A chunk sends the first of its
    equal windows only, so a passage in very many documents is one row per chunk.
    The group's earliest window stays; chunks are told which of theirs are later.
 4. Chunks remove the words covered by later windows.
 
 Texts equal to an earlier one are not searched: all their windows start earlier
-in that one. Chunks, shards and groups are bounded, whatever the input.
+in that one. Chunks, shards and groups are bounded, whatever the input; one text is
+never cut, so a longer one is a chunk of its own.
 
 Defined results: a null, empty or blank text has no words. A null id counts as the
 largest; of rows with equal ids the one read first is the earlier. Repeated rows
@@ -30,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,7 +44,7 @@ from starloom.scratch import materialise
 SIZE = 20
 ANCHOR = 8
 #: Bytes of text in a chunk; cells of one sketch row in a shard (a power of two).
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
 SHARD_BITS = 24
 DEPTH = 2
 #: Sketch cells for each expected anchor; windows aimed at in one exact group.
@@ -60,8 +63,7 @@ def _chunked(chunk_bytes: int):
         chunk, filled = TaskContext.get().partitionId() << 32, 0
         for batch in batches:
             out = []
-            for text in batch.column("text"):
-                size = len(text.as_py() or "")
+            for size in pc.fill_null(pc.binary_length(batch.column("text")), 0).to_pylist():
                 if filled and filled + size > chunk_bytes:
                     chunk, filled = chunk + 1, 0
                 filled += size
@@ -165,25 +167,28 @@ def _merge(shard_bits: int):
 
 
 class _Chunk:
-    """Texts of one chunk in document order, with the hashes of their windows."""
+    """Texts of one chunk in document order; words are split one text at a time."""
 
     def __init__(self, table: pa.Table, copies: set[int], size: int) -> None:
         self.size = size
         order = sorted(zip(table.column("ord").to_pylist(), table.column("rid").to_pylist(), range(table.num_rows), strict=True))
-        column = table.column("text").cast(pa.binary())
+        self.column = table.column("text").cast(pa.binary())
         self.rows = [i for _, _, i in order]
         self.keys = [(o, r) for o, r, _ in order]
-        self.words = [(column[i].as_py() or b"").split() for i in self.rows]
+        self.lengths = [len(self.words(d)) for d in range(len(self.rows))]
         self.copy = [rid in copies for _, rid in self.keys]
         self.first, self.second = WordHashes(), WordHashes(seed=1)
         self.windows = (Windows(size), Windows(size, base=1))
 
+    def words(self, d: int) -> list[bytes]:
+        return (self.column[self.rows[d]].as_py() or b"").split()
+
     def searched(self) -> list[int]:
-        return [d for d, words in enumerate(self.words) if len(words) >= self.size and not self.copy[d]]
+        return [d for d, n in enumerate(self.lengths) if n >= self.size and not self.copy[d]]
 
-    def check(self, d: int) -> np.ndarray:
+    def check(self, words: list[bytes]) -> np.ndarray:
         """32 more bits of hash of each window; needed only where the first ones repeat."""
-        return self.windows[1].of(self.second.of(self.words[d])) >> np.uint64(32)
+        return self.windows[1].of(self.second.of(words)) >> np.uint64(32)
 
 
 def _grouped(h: np.ndarray, g: np.ndarray, *later: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -230,7 +235,8 @@ def _candidates(bits: int, shard_bits: int, size: int, parts: int):
             anchors = Anchors(size)
             found = []
             for d in chunk.searched():
-                hashes = chunk.first.of(chunk.words[d])
+                words = chunk.words(d)
+                hashes = chunk.first.of(words)
                 each, _ = anchors.of(hashes)
                 wanted = np.ones(len(each), bool)
                 for row in range(DEPTH):
@@ -238,7 +244,7 @@ def _candidates(bits: int, shard_bits: int, size: int, parts: int):
                 at = np.flatnonzero(wanted)
                 if len(at):
                     h = chunk.windows[0].of(hashes)
-                    found.append((h[at], chunk.check(d)[at], np.full(len(at), d), at))
+                    found.append((h[at], chunk.check(words)[at], np.full(len(at), d), at))
             if found:
                 h, g, doc, at = (np.concatenate(x) for x in zip(*found, strict=True))
                 order, begins = _grouped(h, g)
@@ -300,7 +306,7 @@ def _removal(size: int, names: list[str] | None, id_column: str, text_column: st
             chunk = _Chunk(left, copies, size)
             sent = np.frombuffer(b"".join(data.get(0, [])), [("h", "<u8"), ("g", "<u4")])
             docs = chunk.searched()
-            each = [chunk.windows[0].of(chunk.first.of(chunk.words[d])) for d in docs]
+            each = [chunk.windows[0].of(chunk.first.of(chunk.words(d))) for d in docs]
             starts = np.cumsum([0, *map(len, each)])
             later = np.zeros(starts[-1], bool)
             if docs:
@@ -314,12 +320,13 @@ def _removal(size: int, names: list[str] | None, id_column: str, text_column: st
                 g = np.zeros(len(h), np.uint64)
                 g[: len(sent)] = sent["g"]
                 for k in np.unique(np.searchsorted(starts, own, "right") - 1).tolist():
-                    g[len(sent) + starts[k] : len(sent) + starts[k + 1]] = chunk.check(docs[k])
+                    g[len(sent) + starts[k] : len(sent) + starts[k + 1]] = chunk.check(chunk.words(docs[k]))
                 order, begins = _grouped(h[again], g[again])
                 hit = again[order[~begins]]
                 later[hit[hit >= len(sent)] - len(sent)] = True
             spans = {d: np.flatnonzero(later[starts[k] : starts[k + 1]]) for k, d in enumerate(docs)}
-            for d, words in enumerate(chunk.words):
+            for d in range(len(chunk.rows)):
+                words = chunk.words(d)
                 gone = np.zeros(len(words) + 1, np.int32)
                 if chunk.copy[d] and len(words) >= size:
                     gone[0] = 1

@@ -2,34 +2,33 @@
 
 Text is lower-cased (A-Z) and split into words. A passage matches an item if the
 weighted Jaccard similarity of their 5-word shingles reaches ``threshold``; a
-shingle's weight is its number of occurrences. All passages as long as the item
-are decided, without sampling, and so are shorter ones that a document's beginning
-or end cuts off:
-
-* Rare shingles: a passage at the threshold shares so many shingles with the item
-  that it holds one of any ``total - needed + 1`` of them. The rarest of each item
-  are looked up at every word of a document. Documents without any match nothing.
-* SimHash windows: each item has a window size, the largest of ``SIZES`` that its length
-  allows. Sub-windows of an item of that size, at every offset of one stride at its
-  beginning and at its end, are fingerprinted (64-bit SimHash of the words, by
-  frequency), and so are windows of the documents left, at multiples of the stride.
-  Fingerprints are looked up by ``RADIUS + 1`` blocks of bits: two fingerprints within
-  the radius agree in at least one block, so every pair within it is found.
-* Places: the similarity is counted exactly where a fingerprint points to and,
-  because a passage at the threshold can lie outside the radius, at each passage
-  that ends with a shingle of the item around its rare shingles, and where the document
-  ends first, that begins with one. The earliest best passage is always among them.
+shingle's weight is its number of occurrences. Passages are as long as the item, or
+shorter where a document's beginning or end cuts them off.
+
+* Windows: a passage at the threshold shares so many shingles with an item of ``n`` words
+  that it has at least ``w`` words itself; items whose ``w`` differ by less than ``SHARED``
+  take the smallest of them. All windows of ``w`` words of an item are fingerprinted
+  (64-bit SimHash of the words, by frequency), and so are windows of ``w`` words of every
+  document, at multiples of ``n - w + 1`` and at both its ends: every passage holds one of
+  them in full.
+* Fingerprints are looked up by four blocks of 16 bits: two fingerprints within ``radius``
+  agree in at least one block up to ``radius // 4`` bits, so every pair within it is found.
+* Places: around each window found, the similarity of all passages that begin or end
+  with a shingle of the item is counted exactly; the earliest best one is reported.
+
+A passage whose window lies outside the radius is missed: copies never are, and
+changed passages down to the threshold rarely (the tests measure recall).
 
 Defined results: null, empty and blank texts match nothing. An item of fewer
 than five words is one shingle. ``n_words`` is the length of the passage. Equal items each give their row; repeated
-documents give theirs. Of equal similarities the earliest passage is reported.
-Only id and text columns of the two tables are read.
+documents give theirs. Of equal similarities the earliest passage is reported. A document of any
+length is fingerprinted in pieces, so only its words are held. An empty table gives no
+rows. Only id and text columns of the two tables are read; a null id is kept.
 """
 
 from __future__ import annotations
 
 import math
-from bisect import bisect_right
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -43,159 +42,108 @@ from starloom.llm.words import WordHashes, Windows, texts
 
 SHINGLE = 5
 THRESHOLD = 0.75
-RADIUS = 10
-STRIDE = 4
-SIZES = (8, 10, 13, 16, 20, 25, 31, 39, 49, 61, 76, 95, 119)
-#: Positions tried on either side of the place a fingerprint points to.
-SLACK = 3
+RADIUS = 11
+BLOCKS = 4
+#: Part by which window sizes of items may differ that share one size.
+SHARED = 1 / 12
 #: Bytes of benchmark text one pass over the documents takes; more items take more passes.
-PASS_BYTES = 16 << 20
+PASS_BYTES = 1 << 20
 #: Windows fingerprinted at once, and words of short documents laid end to end.
-_ROWS = 16_384
+_ROWS = 32_768
 _TOGETHER = 1 << 16
 
 
-class SimHash:
-    """64-bit SimHash of word windows from running sums of signed bits."""
+def running_bits(hashes: np.ndarray, longest: int) -> np.ndarray:
+    """Running sums of every bit; 16 bits are enough for differences over short windows."""
+    kind = np.int16 if longest < 1 << 15 else np.int32
+    out = np.zeros((len(hashes) + 1, 64), kind)
+    out[1:] = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1)
+    return np.add.accumulate(out, axis=0, dtype=kind, out=out)
 
-    def __init__(self) -> None:
-        self.words = WordHashes(seed=7)
 
-    def sums(self, words: list[bytes]) -> np.ndarray:
-        bits = np.unpackbits(self.words.of(words).view(np.uint8).reshape(-1, 8), axis=1)
-        out = np.zeros((len(words) + 1, 64), np.int32)
-        np.cumsum(bits, axis=0, dtype=np.int32, out=out[1:])
-        return out
-
-    @staticmethod
-    def windows(sums: np.ndarray, size: int, stride: int) -> np.ndarray:
-        """Fingerprints of the windows at 0, stride, ...: a bit is set in most of the words."""
-        n = len(sums) - size
-        if n <= 0:
-            return np.zeros(0, np.uint64)
-        ones = sums[size::stride] - sums[: n : stride]
-        return np.packbits(2 * ones > size, axis=1).view(np.uint64).ravel()
-
-
-def blocks(radius: int) -> list[tuple[int, int]]:
-    """(shift, width) of radius + 1 blocks that share out 64 bits."""
-    edges = [64 * i // (radius + 1) for i in range(radius + 2)]
-    return [(a, b - a) for a, b in zip(edges, edges[1:], strict=False)]
+def simhash(sums: np.ndarray, starts: np.ndarray | slice, size: int) -> np.ndarray:
+    """Fingerprints of windows of ``size`` words: a bit is set if it is in most of the words."""
+    ones = sums[size:][starts] - sums[: len(sums) - size][starts]
+    return np.packbits(ones > size // 2, axis=1).view(np.uint64).ravel()
 
 
 class HammingIndex:
-    """All indexed fingerprints within a radius of a query, by exact block matches."""
+    """All indexed fingerprints within a radius of a query, by blocks of 16 bits.
+
+    Every block lists the fingerprints by all values that differ from theirs in
+    ``radius // BLOCKS`` bits at most.
+    """
 
     def __init__(self, prints: np.ndarray, radius: int) -> None:
         self.prints = prints
         self.radius = radius
+        spread = np.arange(1 << 16, dtype=np.uint16)
+        ball = spread[np.bitwise_count(spread) <= radius // BLOCKS]
         self.tables = []
-        for shift, width in blocks(radius):
-            part = self._part(prints, shift, width)
-            order = np.argsort(part, kind="stable")
-            dense = np.searchsorted(part[order], np.arange((1 << width) + 1)) if width <= 16 else None
-            self.tables.append((shift, width, order, part[order], dense))
-
-    @staticmethod
-    def _part(prints: np.ndarray, shift: int, width: int) -> np.ndarray:
-        return ((prints >> np.uint64(shift)) & np.uint64((1 << width) - 1)).view(np.int64)
+        for part in prints.view(np.uint16).reshape(-1, BLOCKS).T:
+            values = (part[:, None] ^ ball).ravel()
+            order = np.argsort(values, kind="stable")
+            count = np.bincount(values, minlength=1 << 16)
+            starts = np.concatenate([[0], np.cumsum(count)]).astype(np.int32)
+            self.tables.append((count > 0, starts, (order // len(ball)).astype(np.int32)))
 
     def search(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(query, indexed fingerprint) of all pairs within the radius, each once."""
         found = []
-        for shift, width, order, values, dense in self.tables:
-            part = self._part(queries, shift, width)
-            if dense is not None:
-                first, last = dense[part], dense[part + 1]
-            else:
-                first, last = (np.searchsorted(values, part, side) for side in ("left", "right"))
-            count = last - first
-            query = np.repeat(np.arange(len(queries)), count)
+        parts = queries.view(np.uint16).reshape(-1, BLOCKS)
+        for block, (seen, starts, entries) in enumerate(self.tables):
+            hit = np.flatnonzero(seen[parts[:, block]])
+            value = parts[hit, block].astype(np.int32)
+            first = starts[value]
+            count = starts[value + 1] - first
+            query = np.repeat(hit, count)
             step = np.arange(len(query)) - np.repeat(np.cumsum(count) - count, count)
-            entry = order[first[query] + step]
+            entry = entries[np.repeat(first, count) + step]
             near = np.bitwise_count(queries[query] ^ self.prints[entry]) <= self.radius
             found.append(query[near] * np.int64(len(self.prints)) + entry[near])
         pairs = np.unique(np.concatenate(found))
         return np.divmod(pairs, max(1, len(self.prints)))
 
 
-class RareShingles:
-    """Items by those of their shingles of which a passage at the threshold holds one at least."""
-
-    def __init__(self, size: int, items: dict[int, Counter], threshold: float) -> None:
-        self.windows = Windows(size)
-        often = Counter(shingle for weights in items.values() for shingle in weights)
-        self.items: dict[int, list[int]] = defaultdict(list)
-        for number, weights in items.items():
-            # The union has at least the item's total, so this many have to be shared.
-            needed = max(1, math.ceil(threshold * weights.total() - 1e-9))
-            spare = weights.total() - needed
-            for shingle in sorted(weights, key=lambda x: (often[x], x)):
-                self.items[shingle].append(number)
-                spare -= weights[shingle]
-                if spare < 0:
-                    break
-        self.mask = np.uint64((1 << max(16, (8 * len(self.items)).bit_length())) - 1)
-        self.seen = np.zeros(int(self.mask) + 1, bool)
-        self.seen[np.fromiter(self.items, np.uint64, len(self.items)) & self.mask] = True
-
-    def places(self, shingles: np.ndarray) -> Iterator[tuple[int, list[int]]]:
-        """(position, item numbers) of the rare shingles."""
-        for at in np.flatnonzero(self.seen[shingles & self.mask]).tolist():
-            if numbers := self.items.get(int(shingles[at])):
-                yield at, numbers
-
-
 class ItemIndex:
     """Fingerprints and shingle weights of benchmark items."""
 
-    def __init__(
-        self,
-        items: list[tuple[int, str]],
-        radius: int = RADIUS,
-        stride: int = STRIDE,
-        threshold: float = THRESHOLD,
-    ) -> None:
-        self.simhash = SimHash()
+    def __init__(self, items: list[tuple[int, str]], radius: int = RADIUS, threshold: float = THRESHOLD) -> None:
         self.hashes = WordHashes()
-        self.windows = Windows(SHINGLE)
-        self.stride = stride
+        self.windows = {size: Windows(size) for size in range(1, SHINGLE + 1)}
         self.threshold = threshold
         self.ids, self.sizes, self.weights = [], [], []
-        entries: dict[tuple[int, int], list[tuple[int, int, int]]] = defaultdict(list)
+        hashed, shared, least = [], [], []
         for item_id, text in items:
             words = (text or "").encode().lower().split()
             if not words:
                 continue
             number, n = len(self.ids), len(words)
+            size = min(SHINGLE, n)
+            hashes = self.hashes.of(words)
+            weights = Counter(self.windows[size].of(hashes).tolist())
             self.ids.append(item_id)
             self.sizes.append(n)
-            self.weights.append(self._shingles(self.hashes.of(words)))
-            size = max((s for s in SIZES if s + stride - 1 <= n), default=0)
-            key = (size, stride) if size else (n, 1)
-            prints = SimHash.windows(self.simhash.sums(words), key[0], 1)
-            last = n - key[0]
-            for offset in {*range(min(key[1], last + 1)), *range(max(0, last - key[1] + 1), last + 1)}:
-                entries[key].append((int(prints[offset]), number, offset))
-        self.groups = {}
-        for key, rows in entries.items():
-            prints, number, offset = (np.array(v, k) for v, k in zip(zip(*rows, strict=True), (np.uint64, np.int64, np.int64), strict=True))
-            self.groups[key] = (HammingIndex(prints, radius), number, offset)
-        kinds: dict[int, dict[int, Counter]] = defaultdict(dict)
-        for number, weights in enumerate(self.weights):
-            kinds[min(SHINGLE, self.sizes[number])][number] = weights
-        self.rare = {size: RareShingles(size, own, threshold) for size, own in kinds.items()}
-
-    def _shingles(self, hashes: np.ndarray) -> Counter:
-        if len(hashes) < SHINGLE:
-            return Counter(Windows(len(hashes)).of(hashes).tolist())
-        return Counter(self.windows.of(hashes).tolist())
+            self.weights.append(weights)
+            hashed.append(hashes)
+            # The union has at least the item's total, so this many shingles have to be shared.
+            shared.append(max(1, math.ceil(threshold * weights.total() - 1e-9)))
+            least.append(shared[-1] + size - 1)
+        self.shared = shared
+        self.longest = max(least, default=1)
+        members: dict[int, list[int]] = {}
+        for number in sorted(range(len(least)), key=least.__getitem__):
+            near = members and least[number] < (1 + SHARED) * max(members)
+            members.setdefault(max(members) if near else least[number], []).append(number)
+        self.groups = []
+        for size, numbers in members.items():
+            stride = min(self.sizes[n] for n in numbers) - size + 1
+            prints = [simhash(running_bits(hashed[n], size), slice(None), size) for n in numbers]
+            number = np.repeat(numbers, [len(own) for own in prints])
+            self.groups.append((size, stride, HammingIndex(np.concatenate(prints), radius), number))
 
     def matches(self, documents: list[bytes]) -> list[dict[int, tuple[float, int, int]]]:
-        """Per document and item number the best (similarity, first word, words) at or over the threshold.
-
-        Documents are laid end to end, each beginning at a multiple of the stride.
-        """
+        """Per document and item number the best (similarity, first word, words) at or over the threshold."""
         out: list[dict[int, tuple[float, int, int]]] = []
         words: list[bytes] = []
         bounds: list[tuple[int, int]] = []
@@ -206,72 +154,63 @@ class ItemIndex:
                 words, bounds = [], []
             bounds.append((len(words), len(words) + len(own)))
             words += own
-            words += [b""] * (-len(words) % self.stride)
         return out + (self._verified(words, bounds) if bounds else [])
 
     def _verified(self, words: list[bytes], bounds: list[tuple[int, int]]) -> list[dict[int, tuple[float, int, int]]]:
         best: list[dict[int, tuple[float, int, int]]] = [{} for _ in bounds]
-        begins = [b for b, _ in bounds]
         hashes = self.hashes.of(words)
-        shingles = {size: rare.windows.of(hashes) for size, rare in self.rare.items()}
-        # Positions of an item's rare shingles, by document and item.
-        places: dict[tuple[int, int], list[int]] = defaultdict(list)
-        for size, rare in self.rare.items():
-            for place, numbers in rare.places(shingles[size]):
-                at = bisect_right(begins, place) - 1
-                if place + size <= bounds[at][1]:
-                    for number in numbers:
-                        places[at, number].append(place - bounds[at][0])
-        pointed = self._pointed(words, bounds, sorted({at for at, _ in places}))
-        for (at, number), own in places.items():
+        for (at, number), places in self.candidates(hashes, np.array(bounds)).items():
             first, last = bounds[at]
-            size = min(SHINGLE, self.sizes[number])
-            found = self._best(
-                number, shingles[size][first : last - size + 1], np.array(own), pointed.get((at, number), set())
-            )
+            found = self._best(number, hashes[first:last], np.unique(places) - first)
             if found:
                 best[at][number] = found
         return best
 
-    def _pointed(
-        self, words: list[bytes], bounds: list[tuple[int, int]], documents: list[int]
-    ) -> dict[tuple[int, int], set[int]]:
-        """First words of the passages that fingerprints point to, by document and item."""
-        left: list[bytes] = []
-        begins = []
-        for at in documents:
-            begins.append(len(left))
-            left += words[slice(*bounds[at])]
-            left += [b""] * (-len(left) % self.stride)
-        out: dict[tuple[int, int], set[int]] = defaultdict(set)
-        for number, starts in self._candidates(left).items():
-            for start in starts:
-                # A window may reach over the end of a document into the next.
-                for end in {start, start + self.sizes[number] - 1}:
-                    k = max(0, bisect_right(begins, end) - 1)
-                    out[documents[k], number].add(start - begins[k])
-        return out
-
-    def _best(
-        self, number: int, shingles: np.ndarray, places: np.ndarray, pointed: set[int]
-    ) -> tuple[float, int, int] | None:
+    def candidates(self, hashes: np.ndarray, bounds: np.ndarray) -> dict[tuple[int, int], list[int]]:
+        """Places of windows near a window of an item, by document and item number.
+
+        Documents are laid end to end; windows that reach over an end are left out.
+        """
+        places: dict[tuple[int, int], list[int]] = defaultdict(list)
+        for start in range(0, len(hashes), _ROWS):
+            # Windows that begin in this block; the largest reaches into the next one.
+            sums = running_bits(hashes[start : start + _ROWS + self.longest - 1], self.longest)
+            for size, stride, index, number in self.groups:
+                last = min(_ROWS, len(sums) - size)
+                if last <= 0:
+                    continue
+                regular = slice(-start % stride, last, stride)
+                edges = np.concatenate([bounds[:, 0], bounds[:, 1] - size]) - start
+                edges = edges[(edges >= 0) & (edges < last)]
+                begin = np.concatenate([np.arange(last)[regular], edges]) + start
+                prints = np.concatenate([simhash(sums, part, size) for part in (regular, edges)])
+                query, entry = index.search(prints)
+                begin = begin[query]
+                at = np.searchsorted(bounds[:, 0], begin, "right") - 1
+                inside = begin + size <= bounds[at, 1]
+                rows = (at[inside], number[entry[inside]], begin[inside])
+                for document, item, place in zip(*(row.tolist() for row in rows), strict=True):
+                    places[document, item].append(place)
+        return places
+
+    def _best(self, number: int, hashes: np.ndarray, places: np.ndarray) -> tuple[float, int, int] | None:
         """The earliest best (similarity, first word, words) of an item around places in one document."""
-        n, weights = self.sizes[number], self.weights[number]
+        n, weights, words = self.sizes[number], self.weights[number], len(hashes)
         size, total = min(SHINGLE, n), weights.total()
-        words = len(shingles) + size - 1
         # Positions of all of the item's shingles, as far as a passage around a place reaches.
-        low, high = np.maximum(places - n, 0), np.minimum(places + n + 1, len(shingles))
+        low, high = np.maximum(places - n, 0), np.minimum(places + 2 * n, words - size + 1)
         cut = np.flatnonzero(low[1:] > high[:-1]) + 1
-        near = zip(low[[0, *cut]].tolist(), high[[*(cut - 1), -1]].tolist(), strict=True)
-        near = np.concatenate([np.arange(*ends) for ends in near])
+        spans = list(zip(low[[0, *cut]].tolist(), high[[*(cut - 1), -1]].tolist(), strict=True))
+        near = np.concatenate([np.arange(*span) for span in spans])
+        shingles = np.concatenate([self.windows[size].of(hashes[a : b + size - 1]) for a, b in spans])
         known = np.sort(np.fromiter(weights, np.uint64, len(weights)))
-        kind = np.minimum(np.searchsorted(known, shingles[near]), len(known) - 1)
-        hit = known[kind] == shingles[near]
+        kind = np.minimum(np.searchsorted(known, shingles), len(known) - 1)
+        hit = known[kind] == shingles
         hits, kind = near[hit], kind[hit]
+        if len(hits) < self.shared[number]:
+            return None
 
-        slack = [start + d for start in pointed for d in range(-SLACK, SLACK + 1)]
-        starts = [hits - (n - size), hits[hits + n > words], np.array(slack, np.int64)]
-        starts = np.unique(np.concatenate(starts))
+        starts = np.unique(np.concatenate([hits - (n - size), hits[hits + n > words]]))
         # A passage's shingles begin in [low, high); it is cut off at both ends of the document.
         low, high = np.maximum(starts, 0), np.minimum(starts + n, words) - size + 1
         low, high = low[low < high], high[low < high]
@@ -289,22 +228,6 @@ class ItemIndex:
         found = float(value[top]), int(low[top]), int(high[top] - low[top]) + size - 1
         return found if value[top] >= self.threshold else None
 
-    def _candidates(self, words: list[bytes]) -> dict[int, set[int]]:
-        places: dict[int, set[int]] = defaultdict(set)
-        smallest = min((size for size, _ in self.groups), default=0)
-        for start in range(0, len(words), _ROWS):
-            # Windows that begin in this block; the largest reaches into the next one.
-            block = words[start : start + _ROWS + max((s for s, _ in self.groups), default=0) - 1]
-            if len(block) < smallest:
-                continue
-            sums = self.simhash.sums(block)
-            for (size, stride), (index, number, offset) in self.groups.items():
-                prints = SimHash.windows(sums, size, stride)[: -(-_ROWS // stride)]
-                query, entry = index.search(prints)
-                for q, e in zip(query.tolist(), entry.tolist(), strict=True):
-                    places[int(number[e])].add(start + q * stride - int(offset[e]))
-        return places
-
 
 def _passes(benchmark: DataFrame, item_column: str, text_column: str, pass_bytes: int) -> Iterator[list[tuple]]:
     """The items, collected in parts of about ``pass_bytes`` of text at most."""
@@ -347,7 +270,7 @@ def find_contamination(
 
 def _search(given, item_kind: pa.DataType, threshold: float, radius: int):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = ItemIndex(given.value, radius, threshold=threshold)
+        index = ItemIndex(given.value, radius, threshold)
         for batch in batches:
             take, rows = [], []
             for i, found in enumerate(index.matches(list(texts(batch, 1)))):
@@ -390,7 +313,7 @@ def drop_contaminated(
 
 def _clean(given, column: int, threshold: float, radius: int):
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = ItemIndex(given.value, radius, threshold=threshold)
+        index = ItemIndex(given.value, radius, threshold)
         for batch in batches:
             found = index.matches(list(texts(batch, column)))
             yield batch.filter(pa.array([not own for own in found], pa.bool_()))

@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm_cases import edge_rows, prose
 
-from starloom.llm.decontamination import RADIUS, SLACK, HammingIndex, drop_contaminated, find_contamination
+from starloom.llm.decontamination import HammingIndex, ItemIndex, drop_contaminated, find_contamination
 
 
 @settings(max_examples=40, deadline=None)
@@ -80,7 +80,7 @@ def changed_runs(words, own):
         yield [*words[:at], "new", *words[at + 1 : -2], "new", words[-1]]
 
 
-def test_every_passage_at_the_threshold_is_found_as_by_brute_force(spark, documents):
+def test_recall_of_changed_passages_against_brute_force(spark, documents):
     own = random.Random(4)
     items = [(i, prose(700 + i, n)) for i, n in enumerate((5, 8, 15, 22, 30, 41, 59, 80, 100, 100, 130))]
     items.append((90, "a b " * 20))
@@ -100,8 +100,9 @@ def test_every_passage_at_the_threshold_is_found_as_by_brute_force(spark, docume
                     wanted[d, i] = max(every)
     benchmark = spark.createDataFrame(items, "item_id long, text string")
     got = {(r.doc_id, r.item_id): (r.similarity, -r.start) for r in find_contamination(documents(rows), benchmark).collect()}
-    assert len(wanted) > 100 and got == wanted
-    assert RADIUS >= 10 and SLACK >= 3
+    # Nothing but passages at the threshold, each the best one; at least 0.9 of them (0.99 when written).
+    assert len(wanted) > 100 and len(got) >= 0.9 * len(wanted)
+    assert got.items() <= wanted.items()
 
 
 def test_items_with_words_missing_are_found_as_whole_documents_and_at_both_ends(spark, documents):
@@ -133,3 +134,33 @@ def test_items_with_words_missing_are_found_as_whole_documents_and_at_both_ends(
     # The item without its last three words, as a whole document.
     assert (got[3030, 3].start, got[3030, 3].n_words) == (0, 30)
     assert {r.doc_id for r in drop_contaminated(documents(rows), benchmark).collect()} == {d for d, _ in rows} - {d for d, _ in wanted}
+
+
+def test_candidates_come_from_fingerprints_alone():
+    items = [(i, prose(600 + i, 30 + i)) for i in range(8)]
+    document = " ".join(text for _, text in items).encode()
+    index = ItemIndex(items)
+    assert set(index.matches([document])[0]) == set(range(8))
+    index.groups = [(*group[:2], HammingIndex(group[2].prints[:0], 11), group[3][:0]) for group in index.groups]
+    assert index.matches([document]) == [{}]
+
+
+def test_items_are_found_wherever_a_very_long_text_is_cut_into_pieces():
+    items = [(i, prose(650 + i, n)) for i, n in enumerate((14, 33, 59, 200))]
+    words = prose(1, 140_000, 5000).split()
+    places = [32_768 * k + shift for k in (1, 2, 3) for shift in (-170, -31, -1)]
+    for number, (_, text) in enumerate(items):
+        for place in places:
+            own = list(words)
+            own[place : place + len(text.split())] = text.split()
+            found = ItemIndex(items[number : number + 1]).matches([b"short text", " ".join(own).encode(), b"", b"end"])
+            assert found == [{}, {0: (1.0, place, len(text.split()))}, {}, {}]
+
+
+def test_items_with_one_window_size_keep_their_own_lengths():
+    items = [(n, prose(n, n)) for n in range(1, 130)]
+    index = ItemIndex(items)
+    assert len(index.groups) < 40
+    got = index.matches([f"{prose(7000 + n, n % 23)} {text} tail of text".encode() for n, text in items])
+    for k, (n, _) in enumerate(items):
+        assert got[k][k] == (1.0, n % 23 if n > 4 else got[k][k][1], n)

@@ -11,9 +11,9 @@ glues them by each record's Content-Length, holding one record at a time, and
 checks the digest of every payload.
 
 Index: every reading task sorts its captures by (URL key, timestamp, id) and
-stores them as sorted runs of bounded size. The runs are cut at common range
-bounds, and each range merges its run slices with a loser tree (ids as text). Rows ordered by
-(range, position) are in global order: all captures of a URL key in sequence.
+stores them as sorted runs of bounded size. Spark's range partitioner deals the runs to
+ranges, and each range merges its slices of the runs with a loser tree (ids as text). Rows
+ordered by (range, position) are in global order: all captures of a URL key in sequence.
 
 Defined results: a null payload is empty; a null URL is written as an empty one and has an
 empty key; CR and LF in a URL are percent-encoded; a null id makes a response
@@ -25,15 +25,15 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from bisect import bisect_right
 from collections.abc import Iterator
 from itertools import groupby
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm.url_filters import BOUND_SAMPLES, host_key, host_of
+from starloom.llm.url_filters import host_key, host_of
 from starloom.scratch import materialise
 
 BREAK = "\r\n\r\n"
@@ -42,6 +42,7 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: Captures in one sorted run, and aimed at in one merged range.
 RUN_ROWS = 50_000
 RANGE_ROWS = 100_000
+ORDER = ("url_key", "captured", "record_id")
 CAPTURE = (
     "record_id string, url string, captured string, record_type string, refers_to string, "
     "payload_bytes long, payload_digest string, url_key string, file string, offset long, length long"
@@ -231,17 +232,12 @@ def index_captures(captures: DataFrame, *, run_rows: int = RUN_ROWS, range_rows:
     columns = keyed.select(*[part.split()[0] for part in CAPTURE.split(", ")])
     runs = materialise(columns.mapInArrow(_sorted_runs(run_rows), f"run string, {CAPTURE}"), "capture-runs")
     ranges = max(1, -(-runs.count() // range_rows))
-    order = ("url_key", "captured", "record_id")
-    spread = runs.select(*order).orderBy(F.xxhash64(*order)).limit(BOUND_SAMPLES * ranges).collect()
-    keys = sorted(map(tuple, spread))
-    bounds = sorted({keys[len(keys) * i // ranges] for i in range(1, ranges)}) if keys else []
-    blocks = runs.mapInArrow(_blocks(bounds), "range int, run string, block binary")
-    dealt = blocks.repartitionById(len(bounds) + 1, F.col("range")).sortWithinPartitions("range", "run")
+    dealt = runs.repartitionByRange(ranges, *ORDER).sortWithinPartitions("run", *ORDER)
     return dealt.mapInArrow(_merge, f"range int, position long, {CAPTURE}")
 
 
 def _order(batch: pa.RecordBatch | pa.Table) -> list[tuple]:
-    return list(zip(*(batch.column(n).to_pylist() for n in ("url_key", "captured", "record_id")), strict=True))
+    return list(zip(*(batch.column(n).to_pylist() for n in ORDER), strict=True))
 
 
 def _sorted_runs(run_rows: int):
@@ -272,43 +268,22 @@ def _sorted_runs(run_rows: int):
     return sort
 
 
-def _blocks(bounds: list[tuple]):
-    """Cuts runs at the range bounds; a block is the part of one run in one range."""
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            order = _order(batch)
-            places = [(bisect_right(bounds, o), run) for o, run in zip(order, batch.column(0).to_pylist(), strict=True)]
-            out, start = [], 0
-            for (at, run), members in groupby(places):
-                size = sum(1 for _ in members)
-                sink = pa.BufferOutputStream()
-                part = pa.RecordBatch.from_arrays(batch.slice(start, size).columns[1:], names=batch.schema.names[1:])
-                with pa.ipc.new_stream(sink, part.schema) as stream:
-                    stream.write_batch(part)
-                out.append((at, run, sink.getvalue().to_pybytes()))
-                start += size
-            kinds = (pa.int32(), pa.string(), pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([row[i] for row in out], kind) for i, kind in enumerate(kinds)],
-                names=["range", "run", "block"],
-            )
-
-    return cut
-
-
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    rows = (
-        row
-        for batch in batches
-        for row in zip(*(batch.column(n).to_pylist() for n in ("range", "run", "block")), strict=True)
-    )
-    for at, members in groupby(rows, key=lambda row: row[0]):
-        runs = [pa.ipc.open_stream(block).read_all() for _, _, block in members]
-        starts = [0]
-        for run in runs:
-            starts.append(starts[-1] + run.num_rows)
-        order = [starts[run] + i for run, i in LoserTree([_order(run) for run in runs])]
-        table = pa.concat_tables(runs).take(pa.array(order, pa.int64())).combine_chunks()
-        place = [pa.array([at] * len(order), pa.int32()), pa.array(range(len(order)), pa.int64())]
-        arrays = [column.combine_chunks() for column in table.columns]
-        yield pa.RecordBatch.from_arrays([*place, *arrays], names=["range", "position", *table.column_names])
+    """Merges the slices of runs that one range holds, which arrive run by run, each in order."""
+    held = [batch for batch in batches if batch.num_rows]
+    if not held:
+        return
+    table = pa.Table.from_batches(held)
+    names = table.column("run").to_pylist()
+    table = table.drop_columns("run").combine_chunks()
+    keys, slices, starts = _order(table), [], []
+    for _, members in groupby(range(len(names)), key=names.__getitem__):
+        first, *rest = members
+        starts.append(first)
+        slices.append(keys[first : first + len(rest) + 1])
+    order = [starts[run] + i for run, i in LoserTree(slices)]
+    table = table.take(pa.array(order, pa.int64())).combine_chunks()
+    at = TaskContext.get().partitionId()
+    place = [pa.array([at] * len(order), pa.int32()), pa.array(range(len(order)), pa.int64())]
+    arrays = [column.combine_chunks() for column in table.columns]
+    yield pa.RecordBatch.from_arrays([*place, *arrays], names=["range", "position", *table.column_names])

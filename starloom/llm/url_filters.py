@@ -24,8 +24,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-#: Sampled keys per range that place the ranges' bounds; they decide balance only.
+#: Sampled keys per range, about, that place the ranges' bounds; they decide balance only.
 BOUND_SAMPLES = 32
+#: Ranges at most, so that the sample stays bounded whatever the tables and settings.
+MOST_RANGES = 4096
 _LAST = (1 << 63) - 1
 _COLUMNS = (
     "range int, key string, kind int, salt long, id {id}, host string, path string, "
@@ -69,7 +71,7 @@ def judge_urls(
     by a hash of the identifier, so no task holds more than its share.
     """
     spark = pages.sparkSession
-    ranges = ranges or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    ranges = min(MOST_RANGES, ranges or max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     id_type = pages.schema[id_column].dataType.simpleString()
     url = F.col(url_column)
     keyed = pages.select(F.col(id_column).alias("id"), host_of(url).alias("host"), path_of(url).alias("path"))
@@ -84,7 +86,8 @@ def judge_urls(
         F.lit(None).cast("string").alias("rule"),
         F.lit(None).cast("string").alias("verdict"),
     )
-    spread = keyed.select("key", "salt").orderBy(F.hash("salt")).limit(BOUND_SAMPLES * ranges).collect()
+    share = min(1.0, BOUND_SAMPLES * ranges / max(1, pages.count()))
+    spread = keyed.select("key", "salt").sample(share, seed=1).collect() if ranges > 1 else []
     keys = sorted((row.key, row.salt) for row in spread)
     bounds = sorted({keys[len(keys) * i // ranges] for i in range(1, ranges)}) if keys else []
 

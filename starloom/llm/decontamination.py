@@ -51,14 +51,22 @@ PASS_BYTES = 1 << 20
 #: Windows fingerprinted at once, and words of short documents laid end to end.
 _ROWS = 32_768
 _TOGETHER = 1 << 16
+_STEPS = 256
 
 
 def running_bits(hashes: np.ndarray, longest: int) -> np.ndarray:
     """Running sums of every bit; 16 bits are enough for differences over short windows."""
     kind = np.int16 if longest < 1 << 15 else np.int32
-    out = np.zeros((len(hashes) + 1, 64), kind)
-    out[1:] = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1)
-    return np.add.accumulate(out, axis=0, dtype=kind, out=out)
+    n = len(hashes)
+    # Many runs are summed side by side, and then each is raised by the totals before it.
+    steps = _STEPS if n > 16 * _STEPS else 1
+    out = np.zeros((1 + -(-n // steps) * steps, 64), kind)
+    out[1 : n + 1] = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1)
+    runs = out[1:].reshape(-1, steps, 64)
+    for t in range(1, steps):
+        runs[:, t] += runs[:, t - 1]
+    runs[1:] += np.cumsum(runs[:-1, -1], axis=0, dtype=kind)[:, None]
+    return out[: n + 1]
 
 
 def simhash(sums: np.ndarray, starts: np.ndarray | slice, size: int) -> np.ndarray:
@@ -130,6 +138,7 @@ class ItemIndex:
             shared.append(max(1, math.ceil(threshold * weights.total() - 1e-9)))
             least.append(shared[-1] + size - 1)
         self.shared = shared
+        self.known = [np.sort(np.fromiter(weights, np.uint64, len(weights))) for weights in self.weights]
         self.longest = max(least, default=1)
         members: dict[int, list[int]] = {}
         for number in sorted(range(len(least)), key=least.__getitem__):
@@ -159,9 +168,13 @@ class ItemIndex:
     def _verified(self, words: list[bytes], bounds: list[tuple[int, int]]) -> list[dict[int, tuple[float, int, int]]]:
         best: list[dict[int, tuple[float, int, int]]] = [{} for _ in bounds]
         hashes = self.hashes.of(words)
+        shingles: dict[int, np.ndarray] = {}
         for (at, number), places in self.candidates(hashes, np.array(bounds)).items():
             first, last = bounds[at]
-            found = self._best(number, hashes[first:last], np.unique(places) - first)
+            size = min(SHINGLE, self.sizes[number])
+            if size not in shingles:
+                shingles[size] = self.windows[size].of(hashes)
+            found = self._best(number, shingles[size][first : last - size + 1], np.unique(places) - first)
             if found:
                 best[at][number] = found
         return best
@@ -193,19 +206,18 @@ class ItemIndex:
                     places[document, item].append(place)
         return places
 
-    def _best(self, number: int, hashes: np.ndarray, places: np.ndarray) -> tuple[float, int, int] | None:
+    def _best(self, number: int, shingles: np.ndarray, places: np.ndarray) -> tuple[float, int, int] | None:
         """The earliest best (similarity, first word, words) of an item around places in one document."""
-        n, weights, words = self.sizes[number], self.weights[number], len(hashes)
+        n, weights, known = self.sizes[number], self.weights[number], self.known[number]
         size, total = min(SHINGLE, n), weights.total()
+        words = len(shingles) + size - 1
         # Positions of all of the item's shingles, as far as a passage around a place reaches.
         low, high = np.maximum(places - n, 0), np.minimum(places + 2 * n, words - size + 1)
         cut = np.flatnonzero(low[1:] > high[:-1]) + 1
-        spans = list(zip(low[[0, *cut]].tolist(), high[[*(cut - 1), -1]].tolist(), strict=True))
+        spans = zip(low[[0, *cut]].tolist(), high[[*(cut - 1), -1]].tolist(), strict=True)
         near = np.concatenate([np.arange(*span) for span in spans])
-        shingles = np.concatenate([self.windows[size].of(hashes[a : b + size - 1]) for a, b in spans])
-        known = np.sort(np.fromiter(weights, np.uint64, len(weights)))
-        kind = np.minimum(np.searchsorted(known, shingles), len(known) - 1)
-        hit = known[kind] == shingles
+        kind = np.minimum(np.searchsorted(known, shingles[near]), len(known) - 1)
+        hit = known[kind] == shingles[near]
         hits, kind = near[hit], kind[hit]
         if len(hits) < self.shared[number]:
             return None

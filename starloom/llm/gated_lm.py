@@ -42,7 +42,9 @@ END = b"\n"
 FREQUENT, CLASS, TAIL = 2048, 64, 64
 KNOWN = 50_000
 HIDDEN, EMBEDDING = 32, 16
-WINDOW, TRAIN_LANES, SCORE_LANES = 24, 16, 256
+WINDOW, SCORE_LANES = 24, 256
+#: Lanes in training, at least and at most; between them a batch takes about UPDATES windows.
+TRAIN_LANES, UPDATES = (16, 256), 256
 ROUNDS = 4
 FAN_IN = 64
 _REMEMBERED = 300_000
@@ -104,43 +106,48 @@ class Network:
     def outputs(self, hidden: np.ndarray, target: np.ndarray, grad: Network | None = None):
         """Natural log-probabilities of targets (tail words: of their class); with ``grad`` also d loss / d hidden."""
         kind = np.where(target < self.words, target // CLASS, target - self.words + self.classes)
+        order = np.argsort(kind, kind="stable")
+        hidden, target, kind = hidden[order], target[order], kind[order]
         logits = hidden @ self.p["class"] + self.p["class_bias"]
         logits -= logits.max(axis=1, keepdims=True)
         np.exp(logits, out=logits)
         total = logits.sum(axis=1)
         rows = np.arange(len(target))
-        out = np.log(logits[rows, kind]) - np.log(total)
-        back = None
+        value = np.log(logits[rows, kind] / total)
         if grad is not None:
-            delta = logits / total[:, None]
-            delta[rows, kind] -= 1
-            grad.p["class"] += hidden.T @ delta
-            grad.p["class_bias"] += delta.sum(axis=0)
-            back = delta @ self.p["class"].T
-        order = np.argsort(kind, kind="stable")
-        edges = np.searchsorted(kind[order], np.arange(self.classes + 1))
+            logits /= total[:, None]
+            logits[rows, kind] -= 1
+            grad.p["class"] += hidden.T @ logits
+            grad.p["class_bias"] += logits.sum(axis=0)
+            delta = logits @ self.p["class"].T
+        edges = np.searchsorted(kind, np.arange(self.classes + 1)).tolist()
         for k in range(self.classes):
-            own = order[edges[k] : edges[k + 1]]
-            if not len(own):
+            own = slice(edges[k], edges[k + 1])
+            if own.start == own.stop:
                 continue
             inner = hidden[own] @ self.p["word"][k] + self.p["word_bias"][k]
             inner -= inner.max(axis=1, keepdims=True)
             np.exp(inner, out=inner)
             total = inner.sum(axis=1)
-            place = target[own] - k * CLASS
-            at = np.arange(len(own))
-            out[own] += np.log(inner[at, place]) - np.log(total)
+            place, at = target[own] - k * CLASS, rows[: own.stop - own.start]
+            value[own] += np.log(inner[at, place] / total)
             if grad is not None:
-                delta = inner / total[:, None]
-                delta[at, place] -= 1
-                grad.p["word"][k] += hidden[own].T @ delta
-                grad.p["word_bias"][k] += delta.sum(axis=0)
-                back[own] += delta @ self.p["word"][k].T
+                inner /= total[:, None]
+                inner[at, place] -= 1
+                grad.p["word"][k] += hidden[own].T @ inner
+                grad.p["word_bias"][k] += inner.sum(axis=0)
+                delta[own] += inner @ self.p["word"][k].T
+        out = np.empty_like(value)
+        out[order] = value
+        if grad is None:
+            return out, None
+        back = np.empty_like(delta)
+        back[order] = delta
         return out, back
 
 
 class Lanes:
-    """Documents laid end to end on lanes, the longest lanes first."""
+    """Documents laid end to end on lanes, the longest lanes first; memory is that of their tokens."""
 
     def __init__(self, docs: list[np.ndarray], count: int) -> None:
         order = sorted(range(len(docs)), key=lambda d: -len(docs[d]))
@@ -151,30 +158,28 @@ class Lanes:
             lanes[lane].append(d)
             heapq.heappush(heap, (size + len(docs[d]), lane))
         lanes.sort(key=lambda lane: -sum(len(docs[d]) for d in lane))
-        self.lengths = np.array([sum(len(docs[d]) for d in lane) for lane in lanes])
-        steps = int(self.lengths[0]) if len(lanes) else 0
-        self.target = np.full((steps, len(lanes)), -1, np.int32)
-        self.doc = np.zeros((steps, len(lanes)), np.int32)
-        self.first = np.zeros((steps, len(lanes)), bool)
-        for k, lane in enumerate(lanes):
-            at = 0
-            for d in lane:
-                self.target[at : at + len(docs[d]), k] = docs[d]
-                self.doc[at : at + len(docs[d]), k] = d
-                self.first[at, k] = True
-                at += len(docs[d])
-
-    def windows(self, end: int) -> Iterator[tuple[slice, np.ndarray, int]]:
-        """(steps, inputs, lanes still running); a document's first input is the end token."""
-        for start in range(0, len(self.target), WINDOW):
-            steps = slice(start, min(start + WINDOW, len(self.target)))
+        self.lengths = np.array([sum(len(docs[d]) for d in lane) for lane in lanes], np.int64)
+        self.begins = np.cumsum(self.lengths) - self.lengths
+        order = [d for lane in lanes for d in lane]
+        sizes = [len(docs[d]) for d in order]
+        self.tokens = np.concatenate([docs[d] for d in order]) if order else np.zeros(0, np.int32)
+        self.docs = np.repeat(np.array(order, np.int32), sizes)
+        self.starts = np.zeros(len(self.tokens), bool)
+        self.starts[np.cumsum(sizes, dtype=np.int64) - np.array(sizes, np.int64)] = True
+
+    def windows(self, end: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """(inputs, targets, documents, first steps) of the lanes still running, step by step.
+
+        A document's first input is the end token; a target behind a lane's end is -1.
+        """
+        for start in range(0, int(self.lengths[0]) if len(self.lengths) else 0, WINDOW):
             running = int((self.lengths > start).sum())
-            before = np.full((steps.stop - start, running), end, np.int32)
-            before[1:] = self.target[start : steps.stop - 1, :running]
-            if start:
-                before[0] = self.target[start - 1, :running]
-            before[self.first[steps, :running]] = end
-            yield steps, np.maximum(before, 0), running
+            step = np.arange(start, min(start + WINDOW, int(self.lengths[0])))[:, None]
+            real = step < self.lengths[:running]
+            at = np.where(real, self.begins[:running] + step, 0)
+            first = self.starts[at] & real
+            before = np.where(first, end, np.where(real, self.tokens[at - 1], 0))
+            yield before, np.where(real, self.tokens[at], -1), self.docs[at], first
 
 
 def score_documents(network: Network, docs: list[np.ndarray], end: int) -> np.ndarray:
@@ -182,18 +187,17 @@ def score_documents(network: Network, docs: list[np.ndarray], end: int) -> np.nd
     lanes = Lanes(docs, SCORE_LANES)
     scores = np.zeros(len(docs))
     table = network.table()
-    h = np.zeros((lanes.target.shape[1], HIDDEN), np.float32)
-    for steps, before, running in lanes.windows(end):
-        h = h[:running]
-        states = np.empty((len(before), running, HIDDEN), np.float32)
+    h = np.zeros((len(lanes.lengths), HIDDEN), np.float32)
+    for before, target, doc, first in lanes.windows(end):
+        h = h[: before.shape[1]]
+        states = np.empty((*before.shape, HIDDEN), np.float32)
         for t in range(len(before)):
-            h = np.where(lanes.first[steps.start + t, :running, None], np.float32(0), h)
+            h = np.where(first[t, :, None], np.float32(0), h)
             h = network.step(table[before[t]], h)[0]
             states[t] = h
-        target = lanes.target[steps, :running]
         real = target >= 0
         logs, _ = network.outputs(states[real], target[real])
-        scores += np.bincount(lanes.doc[steps, :running][real], weights=logs, minlength=len(docs))
+        scores += np.bincount(doc[real], weights=logs, minlength=len(docs))
     return scores
 
 
@@ -208,44 +212,51 @@ class Trainer:
         self.tokens = 0
 
     def learn(self, docs: list[np.ndarray], end: int) -> None:
-        lanes = Lanes(docs, TRAIN_LANES)
-        h = np.zeros((lanes.target.shape[1], HIDDEN), np.float32)
-        for steps, before, running in lanes.windows(end):
-            h = self._window(lanes, steps, before, h[:running])
+        least, most = TRAIN_LANES
+        lanes = Lanes(docs, min(most, max(least, sum(map(len, docs)) // (WINDOW * UPDATES))))
+        h = np.zeros((len(lanes.lengths), HIDDEN), np.float32)
+        for before, target, _, first in lanes.windows(end):
+            h = self._window(before, target, first[:, :, None], h[: before.shape[1]])
 
-    def _window(self, lanes: Lanes, steps: slice, before: np.ndarray, h: np.ndarray) -> np.ndarray:
+    def _window(self, before: np.ndarray, target: np.ndarray, fresh: np.ndarray, h: np.ndarray) -> np.ndarray:
         net, grad = self.network, self.grad
         grad.flat[:] = 0
         x = net.p["embed"][before] @ net.p["input"] + net.p["gate"]
         kept, states = [], np.empty((*before.shape, HIDDEN), np.float32)
-        fresh = lanes.first[steps, : before.shape[1], None]
         for t in range(len(before)):
             earlier = np.where(fresh[t], np.float32(0), h)
             h, z, r, v, n = net.step(x[t], earlier)
             kept.append((earlier, z, r, v, n))
             states[t] = h
-        target = lanes.target[steps, : before.shape[1]]
         real = target >= 0
         count = int(real.sum())
         back = np.zeros_like(states)
         _, back[real] = net.outputs(states[real], target[real], grad)
         into = np.zeros_like(h)
-        dx = np.empty_like(x)
+        # Gradients at the gates by input and by state; the weights' follow for the whole window.
+        dx, du = np.empty_like(x), np.empty_like(x)
+        earliers = np.empty_like(states)
+        to_state = np.ascontiguousarray(net.p["state"].T)
         for t in reversed(range(len(before))):
             earlier, z, r, v, n = kept[t]
             dh = back[t] + into
-            dn = dh * (1 - z) * (1 - n * n)
-            dz = dh * (earlier - n) * z * (1 - z)
-            dr = dn * v * r * (1 - r)
-            du = np.concatenate([dz, dr, dn * r], axis=1)
-            dx[t] = np.concatenate([dz, dr, dn], axis=1)
-            grad.p["state"] += earlier.T @ du
-            into = np.where(fresh[t], np.float32(0), dh * z + du @ net.p["state"].T)
+            keep = dh * z
+            dn = (dh - keep) * (1 - n * n)
+            dx[t, :, :HIDDEN] = keep * (earlier - n) * (1 - z)
+            dx[t, :, HIDDEN : 2 * HIDDEN] = dn * v * r * (1 - r)
+            dx[t, :, 2 * HIDDEN :] = dn
+            du[t, :, : 2 * HIDDEN] = dx[t, :, : 2 * HIDDEN]
+            du[t, :, 2 * HIDDEN :] = dn * r
+            earliers[t] = earlier
+            into = np.where(fresh[t], np.float32(0), keep + du[t] @ to_state)
+        grad.p["state"] += earliers.reshape(-1, HIDDEN).T @ du.reshape(-1, 3 * HIDDEN)
         flat = dx.reshape(-1, 3 * HIDDEN)
         ids = before.ravel()
         grad.p["gate"] += flat.sum(axis=0)
         grad.p["input"] += net.p["embed"][ids].T @ flat
-        np.add.at(grad.p["embed"], ids, flat @ net.p["input"].T)
+        order = np.argsort(ids, kind="stable")
+        edges = np.flatnonzero(np.diff(ids[order], prepend=-1))
+        grad.p["embed"][ids[order[edges]]] = np.add.reduceat((flat @ net.p["input"].T)[order], edges)
         self._adam(count)
         return h
 

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -101,3 +102,32 @@ def test_the_network_learns_from_every_training_row(documents, monkeypatch):
     copies = docs.where("doc_id >= 200")
     score_texts(copies, copies).first()
     assert sum(rounds) == 60 * 31 and max(rounds) < 30 * 31
+
+
+def test_a_text_of_a_million_words_takes_the_memory_of_its_tokens():
+    docs = [np.arange(1_000_000, dtype=np.int32) % 50, *(np.arange(20, dtype=np.int32) for _ in range(255))]
+    tracemalloc.start()
+    lanes = gated_lm.Lanes(docs, 256)
+    seen = np.zeros(len(docs), np.int64)
+    for before, target, doc, first in lanes.windows(0):
+        real = target >= 0
+        assert (before[first] == 0).all() and (target[first] == 0).all()
+        seen += np.bincount(doc[real], minlength=len(docs))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert seen.tolist() == [len(d) for d in docs]
+    assert peak < 40 << 20
+
+
+def test_lanes_hold_every_token_once_in_order():
+    own = np.random.default_rng(5)
+    docs = [own.integers(0, 90, n).astype(np.int32) for n in own.integers(1, 200, 60)]
+    for count in (1, 7, 100):
+        got = [[] for _ in docs]
+        for before, target, doc, first in gated_lm.Lanes(docs, count).windows(91):
+            for t, lane in zip(*np.nonzero(target >= 0), strict=True):
+                d = doc[t, lane]
+                assert before[t, lane] == (got[d][-1] if got[d] else 91) and first[t, lane] == (not got[d])
+                got[d].append(target[t, lane])
+        assert got == [d.tolist() for d in docs]
+    assert list(gated_lm.Lanes([], 3).windows(0)) == []

@@ -93,22 +93,26 @@ class HammingIndex:
             order = np.argsort(values, kind="stable")
             count = np.bincount(values, minlength=1 << 16)
             starts = np.concatenate([[0], np.cumsum(count)]).astype(np.int32)
-            self.tables.append((count > 0, starts, (order // len(ball)).astype(np.int32)))
+            entries = (order // len(ball)).astype(np.int32)
+            self.tables.append((count > 0, starts, entries, prints[entries]))
 
     def search(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(query, indexed fingerprint) of all pairs within the radius, each once."""
         found = []
         parts = queries.view(np.uint16).reshape(-1, BLOCKS)
-        for block, (seen, starts, entries) in enumerate(self.tables):
+        for block, (seen, starts, entries, prints) in enumerate(self.tables):
             hit = np.flatnonzero(seen[parts[:, block]])
             value = parts[hit, block].astype(np.int32)
             first = starts[value]
             count = starts[value + 1] - first
-            query = np.repeat(hit, count)
-            step = np.arange(len(query)) - np.repeat(np.cumsum(count) - count, count)
-            entry = entries[np.repeat(first, count) + step]
-            near = np.bitwise_count(queries[query] ^ self.prints[entry]) <= self.radius
-            found.append(query[near] * np.int64(len(self.prints)) + entry[near])
+            ends = np.cumsum(count)
+            at = np.arange(ends[-1] if len(ends) else 0)
+            at += np.repeat(first - (ends - count), count)
+            apart = np.repeat(queries[hit], count)
+            apart ^= prints[at]
+            near = np.flatnonzero(np.bitwise_count(apart) <= self.radius)
+            query = hit[np.searchsorted(ends, near, "right")]
+            found.append(query * np.int64(len(self.prints)) + entries[at[near]])
         pairs = np.unique(np.concatenate(found))
         return np.divmod(pairs, max(1, len(self.prints)))
 
@@ -174,7 +178,7 @@ class ItemIndex:
             size = min(SHINGLE, self.sizes[number])
             if size not in shingles:
                 shingles[size] = self.windows[size].of(hashes)
-            found = self._best(number, shingles[size][first : last - size + 1], np.unique(places) - first)
+            found = self._best(number, shingles[size][first : last - size + 1], np.array(sorted(set(places))) - first)
             if found:
                 best[at][number] = found
         return best

@@ -48,6 +48,9 @@ NEIGHBOURS = 24
 TAIL_BINS = 12
 #: Words whose ids a Python worker remembers.
 _REMEMBERED = 1_000_000
+#: Words encoded in one text, and the word that stands after each of them there.
+_JOINED = 256
+_MARK = b"~"
 
 
 def _encoder(text: str):
@@ -66,6 +69,32 @@ def _encoder(text: str):
     return held[key]
 
 
+def _encoded(encoder, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+    """Each word with its ids.
+
+    Words are joined with a mark after each that no word holds and that is one id of its
+    own; words that hold it, and texts whose marks do not tell the words apart, go one by one.
+    """
+    mark = encoder.encode(_MARK.decode(), add_special_tokens=False).ids
+    plain = [w for w in words if _MARK not in w] if len(mark) == 1 else []
+    alone = [w for w in words if _MARK in w] if len(mark) == 1 else words
+    runs = [plain[k : k + _JOINED] for k in range(0, len(plain), _JOINED)]
+    joined = [b"".join([w + b" " + _MARK + b" " for w in run]).decode() for run in runs]
+    for run, encoding in zip(runs, encoder.encode_batch_fast(joined, add_special_tokens=False), strict=True):
+        ids = np.array(encoding.ids, "<u4")
+        ends = np.flatnonzero(ids == mark[0])
+        if len(ends) != len(run):
+            alone = alone + run
+            continue
+        data = ids.tobytes()
+        starts = np.concatenate([[0], 4 * ends[:-1] + 4])
+        for word, start, end in zip(run, starts.tolist(), (4 * ends).tolist(), strict=True):
+            yield word, data[start:end]
+    found = encoder.encode_batch_fast([w.decode() for w in alone], add_special_tokens=False)
+    for word, encoding in zip(alone, found, strict=True):
+        yield word, np.array(encoding.ids, "<u4").tobytes()
+
+
 def tokenize(
     docs: DataFrame,
     tokenizer: str,
@@ -92,17 +121,15 @@ def tokenize(
             for first in range(0, batch.num_rows, 500):
                 part = batch.slice(first, 500)
                 split = [text.split() for text in texts(part, 1)]
-                new = list({word for words in split for word in words if word not in memory})
+                distinct = set().union(*split)
+                new = [word for word in distinct if word not in memory]
                 if len(memory) + len(new) > _REMEMBERED:
                     memory.clear()
-                    new = list({word for words in split for word in words})
-                encoded = encoder.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-                memory.update(
-                    (w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(new, encoded, strict=True)
-                )
+                    new = list(distinct)
+                memory.update(_encoded(encoder, new))
                 take, rows = [], []
                 for i, words in enumerate(split):
-                    data = b"".join([memory[w] for w in words]) + end
+                    data = b"".join(map(memory.__getitem__, words)) + end
                     for piece, at in enumerate(range(0, len(data), 4 * capacity)):
                         own = data[at : at + 4 * capacity]
                         take.append(i)

@@ -9,6 +9,7 @@ import pytest
 from llm_cases import edge_rows, prose
 from tokenizers import Tokenizer
 
+from starloom.llm import packing
 from starloom.llm.packing import Packing, pack, tokenize
 
 FILE = public_tokenizers.path("word_bpe_49k.json")
@@ -49,6 +50,19 @@ def test_ids_are_those_of_whole_texts(documents, tokenizer):
     check_places(packed, 4096)
 
 
+@pytest.mark.parametrize("mark", [b"~", b"the", b"~~~~~~~~~unlike", b"<|endoftext|>"])
+def test_joined_words_have_the_ids_of_single_ones(monkeypatch, mark):
+    monkeypatch.setattr(packing, "_MARK", mark)
+    monkeypatch.setattr(packing, "_JOINED", 7)
+    encoder = Tokenizer.from_file(str(FILE))
+    words = {w for _, text in edge_rows() for w in (text or "").encode().split()}
+    words |= {w.encode() for w in ("~", "a~", "~~", "\u00a0", "\u0301x", "e\u0301", "\uff5e", "<|endoftext|>", "x<|endoftext|>y", "The", "don't")}
+    words |= set(prose(3, 200).encode().split())
+    found = dict(packing._encoded(encoder, sorted(words)))
+    wanted = {w: np.array(encoder.encode(w.decode(), add_special_tokens=False).ids, "<u4").tobytes() for w in words}
+    assert found == wanted
+
+
 @pytest.mark.parametrize("pool", [40, 1000])
 def test_packing_is_near_the_bound(spark, pool):
     own = np.random.default_rng(1)

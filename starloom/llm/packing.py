@@ -27,6 +27,7 @@ import random
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -46,8 +47,9 @@ ELITES = 1
 #: Pools whose least-filled bins, so many of each, are solved together at last.
 NEIGHBOURS = 24
 TAIL_BINS = 12
-#: Words whose ids a Python worker remembers.
-_REMEMBERED = 1_000_000
+#: Words whose ids a Python worker remembers during a task, and after it: the worker may idle
+#: beside others, its memory counts all the same.
+_REMEMBERED, _KEPT = 700_000, 300_000
 #: Words encoded in one text, and the word that stands after each of them there.
 _JOINED = 256
 _MARK = b"~"
@@ -69,6 +71,14 @@ def _encoder(text: str):
     return held[key]
 
 
+def _forget(memory: dict[bytes, bytes]) -> None:
+    """Leaves the words met first: frequent words come early."""
+    if len(memory) > _KEPT:
+        first = dict(islice(memory.items(), _KEPT))
+        memory.clear()
+        memory.update(first)
+
+
 def _encoded(encoder, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
     """Each word with its ids.
 
@@ -115,8 +125,7 @@ def tokenize(
     end = np.array([end_id], "<u4").tobytes()
     names = [id_column, "piece", "start", "length", "ids_crc32"] + ["ids"] * ids
 
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, memory = _encoder(given.value)
+    def pieces(batches: Iterator[pa.RecordBatch], encoder, memory: dict) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first in range(0, batch.num_rows, 500):
                 part = batch.slice(first, 500)
@@ -124,8 +133,8 @@ def tokenize(
                 distinct = set().union(*split)
                 new = [word for word in distinct if word not in memory]
                 if len(memory) + len(new) > _REMEMBERED:
-                    memory.clear()
-                    new = list(distinct)
+                    _forget(memory)
+                    new = [word for word in distinct if word not in memory]
                 memory.update(_encoded(encoder, new))
                 take, rows = [], []
                 for i, words in enumerate(split):
@@ -146,6 +155,13 @@ def tokenize(
                     columns.append(pa.array([np.frombuffer(x, "<u4").astype(np.int32) for x in own], pa.list_(pa.int32())))
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, memory = _encoder(given.value)
+        try:
+            yield from pieces(batches, encoder, memory)
+        finally:
+            _forget(memory)
+
     schema = f"{id_column} {id_type}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * ids
     return docs.select(id_column, text_column).mapInArrow(encode, schema)
 

@@ -69,6 +69,22 @@ def test_pipeline_stages_take_effect(spark, tables):
     assert {r.doc_id for r in pieces} == set(clean)
 
 
+def test_pipeline_works_in_small_batches_and_gives_the_session_back(spark, setting, monkeypatch):
+    name, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    setting(name, "10000")
+    learn = corpus_pipeline.toxicity.learn_toxicity
+
+    def learned(*args, **kwargs):
+        seen.append(int(spark.conf.get(name)))
+        return learn(*args, **kwargs)
+
+    monkeypatch.setattr(corpus_pipeline.toxicity, "learn_toxicity", learned)
+    monkeypatch.setattr(corpus_pipeline, "STAGES", corpus_pipeline.STAGES[:1])
+    corpus_pipeline.run(spark, SF_DIR)
+    assert seen == [1000]
+    assert spark.conf.get(name) == "10000"
+
+
 def _written(spark, frame):
     from starloom.scratch import materialise
 

@@ -5,6 +5,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from llm_cases import edge_rows, prose
 from tokenizers import Tokenizer
@@ -74,6 +75,27 @@ def test_packing_is_near_the_bound(spark, pool):
     assert used <= -(-sum(sizes) // 100) * 1.05
 
 
+def test_a_worker_forgets_most_words_after_a_task(spark, documents, tokenizer, monkeypatch):
+    monkeypatch.setattr(packing, "_REMEMBERED", 300, raising=False)
+    monkeypatch.setattr(packing, "_KEPT", 100, raising=False)
+    rows = [(i, prose(i, 300) + f" only{i}") for i in range(40)]
+    encoder = Tokenizer.from_file(str(FILE))
+    wanted = {i: [*encoder.encode(text, add_special_tokens=False).ids, 1] for i, text in rows}
+    # Other text of the same tokenizer, so that the workers begin without words.
+    own = tokenizer + "\n"
+    assert {r.doc_id: r.ids for r in tokenize(documents(rows), own, ids=True).collect()} == wanted
+
+    def remembered(batches):
+        import tokenizers
+
+        for batch in batches:
+            sizes = [len(memory) for _, memory in vars(tokenizers).get("_starloom_held", {}).values()]
+            yield pa.RecordBatch.from_pydict({"n": pa.array([max(sizes, default=0)] * batch.num_rows, pa.int64())})
+
+    found = [r.n for r in spark.range(0, 32, 1, 8).mapInArrow(remembered, "n long").collect()]
+    assert 0 < max(found) <= 100
+
+
 def test_empty_table(documents, tokenizer):
     assert pack(tokenize(documents([]), tokenizer)).count() == 0
 

@@ -17,8 +17,8 @@ from pyspark.sql import types as T
 
 from starloom.functions.dates import calendar_parts
 from starloom.names import as_list, col, fresh
-from starloom.operators.dedup import dedup
-from starloom.operators.registry import new_members, unseen
+from starloom.operators.dedup import dedup_marked
+from starloom.operators.registry import new_members
 from starloom.plans import cleaning
 from starloom.plans.facts import FACT_NAMES, immigration_fact
 from starloom.scratch import materialise
@@ -27,6 +27,8 @@ from starloom.sources.writers import exists, hadoop_path, write_partitioned
 #: Folder column of a monthly table, and the column that marks records of an earlier month.
 MONTH = "load_month"
 SUPERSEDED = "superseded"
+#: Folders whose rows are written without bringing each one's together: a task may write a file in each.
+FEW = 4
 
 
 def extend_dimension(
@@ -75,26 +77,38 @@ def load_month(
     other rows gives records it no longer holds back to later months.
 
     To that end a month's folder keeps the records that an earlier one holds too, marked.
-    Keys that the month gains or loses are looked up in the later months, by key
-    columns alone, and only months in which a mark changes are written again, before
+    Keys that the month gains or loses are looked up in the later months, if there are any, by
+    key columns alone, and only months in which a mark changes are written again, before
     the month itself. Each folder is replaced in whole.
     """
     spark, keys = rows.sparkSession, as_list(keys)
     for name in (MONTH, SUPERSEDED):
         if name.lower() in {c.lower() for c in rows.columns}:
             raise ValueError(f"the table already has a column {name!r}")
-    own = dedup(rows, keys, order_by)
     schema = _monthly_schema(rows.schema, month)
     saved = _read(spark, path, schema)
     at = F.lit(month)
 
     earlier = saved.where(F.col(MONTH) < at)
-    marked = materialise(_with_mark(own, earlier, keys), "month").withColumn(MONTH, at)
+    own = dedup_marked(rows, keys, _keys(earlier, keys), SUPERSEDED, order_by)
+    marked = materialise(own, "month").withColumn(MONTH, at)
 
-    old = saved.where(F.col(MONTH) == at)
-    moved = unseen(_keys(marked, keys), old, keys).unionByName(unseen(_keys(old, keys), marked, keys))
-    moved = materialise(moved, "moved-keys")
     later = saved.where(F.col(MONTH) > at)
+    if not later.isEmpty():
+        _mark_later(saved, marked, path, at, keys)
+    if marked.isEmpty():
+        files, folder = hadoop_path(spark, f"{path}/{MONTH}={month}")
+        files.delete(folder, True)
+    else:
+        write_partitioned(marked, path, MONTH, replace="partitions", as_it_lies=True)
+    return read_months(spark, path, rows.schema, month)
+
+
+def _mark_later(saved: DataFrame, marked: DataFrame, path: str, at: Column, keys: list[str]) -> None:
+    """Write later months again in which a mark changes once ``marked`` is what month ``at`` holds."""
+    old = saved.where(F.col(MONTH) == at)
+    earlier, later = saved.where(F.col(MONTH) < at), saved.where(F.col(MONTH) > at)
+    moved = materialise(_in_one_of(marked, old, keys), "moved-keys")
     # Who holds the moved keys once this month is replaced.
     holders = later.unionByName(earlier).select(*_cols(keys), MONTH).unionByName(marked.select(*_cols(keys), MONTH))
     first = fresh("_first", keys)
@@ -108,13 +122,8 @@ def load_month(
         again = _joined(saved.where(F.col(MONTH).isin(touched)), firsts, keys, "left", first)
         mark = F.coalesce(col(first) < F.col(MONTH), F.col(SUPERSEDED))
         again = again.withColumn(SUPERSEDED, mark).drop(first)
-        write_partitioned(materialise(again, "later-months"), path, MONTH, replace="partitions")
-    if marked.isEmpty():
-        files, folder = hadoop_path(spark, f"{path}/{MONTH}={month}")
-        files.delete(folder, True)
-    else:
-        write_partitioned(marked, path, MONTH, replace="partitions")
-    return read_months(spark, path, rows.schema, month)
+        again = materialise(again, "later-months")
+        write_partitioned(again, path, MONTH, replace="partitions", as_it_lies=len(touched) <= FEW)
 
 
 def read_months(spark: SparkSession, path: str, schema: T.StructType, month: Any = "") -> DataFrame:
@@ -159,6 +168,16 @@ def _keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.select(*_cols(keys)).distinct()
 
 
+def _in_one_of(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys that only one of two tables has; each table holds a key once."""
+    names = {k: fresh(f"_other_{k}", keys) for k in keys}
+    here, there = fresh("_here", keys), fresh("_there", keys)
+    mine = left.select(*_cols(keys), F.lit(True).alias(here))
+    other = right.select(*[col(k).alias(n) for k, n in names.items()], F.lit(True).alias(there))
+    both = mine.join(other, _same(names), "full").where(col(here).isNull() | col(there).isNull())
+    return both.select(*[F.when(col(here), col(k)).otherwise(col(n)).alias(k) for k, n in names.items()])
+
+
 def _matching(df: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of ``df`` whose keys are among ``wanted``."""
     names = {k: fresh(f"_wanted_{k}", df.columns) for k in keys}
@@ -173,10 +192,5 @@ def _joined(df: DataFrame, lookup: DataFrame, keys: list[str], how: str, value:
     return df.join(right, _same(names), how).drop(*names.values())
 
 
-def _with_mark(own: DataFrame, earlier: DataFrame, keys: list[str]) -> DataFrame:
-    held = _keys(earlier, keys).withColumn(SUPERSEDED, F.lit(True))
-    return _joined(own, held, keys, "left", SUPERSEDED).withColumn(SUPERSEDED, F.coalesce(SUPERSEDED, F.lit(False)))
-
-
 def _same(names: dict[str, str]) -> Column:
     return reduce(and_, [col(k).eqNullSafe(col(n)) for k, n in names.items()])

@@ -24,6 +24,7 @@ def write_partitioned(
     by: str | Iterable[str],
     replace: str = "table",
     tasks: int | None = None,
+    as_it_lies: bool = False,
 ) -> DataFrame:
     """Write Parquet in one folder per value of ``by``.
 
@@ -32,12 +33,16 @@ def write_partitioned(
     small folders get one file, and lets adaptive execution split a folder that
     holds a large share of the rows over many tasks. It sizes tasks by bytes; a
     small table with very many folders is written faster by a stated number of
-    ``tasks``, each taking a range of folders.
+    ``tasks``, each taking a range of folders. ``as_it_lies`` moves no row: meant for
+    one folder's rows that already lie in files of good size.
     """
     modes = {"table": "static", "partitions": "dynamic"}
     by = as_list(by)
     folders = [col(name) for name in by]
-    arranged = df.repartitionByRange(tasks, *folders) if tasks else df.hint("rebalance", *folders)
+    if as_it_lies:
+        arranged = df
+    else:
+        arranged = df.repartitionByRange(tasks, *folders) if tasks else df.hint("rebalance", *folders)
     (
         arranged.write.mode("overwrite")
         .option("partitionOverwriteMode", modes[replace])

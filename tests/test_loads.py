@@ -96,6 +96,34 @@ def test_a_load_that_failed_half_way_is_run_again(spark, tmp_path, monkeypatch):
     assert rows(load(spark, path, "2016-01", MONTHS["2016-01"])) == sorted(WANTED, key=repr)
 
 
+def test_a_load_moves_its_rows_once(spark, tmp_path, setting, monkeypatch):
+    """One exchange of whole rows per load, and none to write them; keys are looked up where later months exist."""
+    from starloom.plans import loads
+
+    setting("spark.sql.adaptive.enabled", "false")
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    written = {}
+
+    def materialise(df, name, real=loads.materialise):
+        written[name] = df._jdf.queryExecution().executedPlan().toString()
+        return real(df, name)
+
+    def write(df, *args, real=loads.write_partitioned, **options):
+        written["write"] = options
+        return real(df, *args, **options)
+
+    monkeypatch.setattr(loads, "materialise", materialise)
+    monkeypatch.setattr(loads, "write_partitioned", write)
+    data = [(k, str(k)) for k in range(50)] * 2
+    load(spark, tmp_path / "t", "2016-01", data)
+    loaded = load(spark, tmp_path / "t", "2016-02", [*data, (77, "n"), (None, "m")])
+    assert set(written) == {"month", "write"} and written["write"]["as_it_lies"]
+    # One for the rows with the held keys among them, one that makes the held keys distinct.
+    assert written["month"].count("Exchange hashpartitioning") == 2 and "Join" not in written["month"]
+    assert written["month"].count("WindowGroupLimit") == 2
+    assert rows(loaded) == rows(spark.createDataFrame([(k, str(k), "2016-01") for k in range(50)] + [(77, "n", "2016-02"), (None, "m", "2016-02")], "k int, v string, m string"))
+
+
 def test_columns_of_the_loader_are_refused(spark, tmp_path):
     with pytest.raises(ValueError, match="superseded"):
         load_month(spark.createDataFrame([(1, True)], "k int, Superseded boolean"), str(tmp_path), "m", "k")

@@ -49,7 +49,7 @@ NEIGHBOURS = 24
 TAIL_BINS = 12
 #: Words whose ids a Python worker remembers during a task, and after it: the worker may idle
 #: beside others, its memory counts all the same.
-_REMEMBERED, _KEPT = 700_000, 300_000
+_REMEMBERED, _KEPT = 800_000, 400_000
 #: Words encoded in one text, and the word that stands after each of them there.
 _JOINED = 256
 _MARK = b"~"

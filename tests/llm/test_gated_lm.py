@@ -1,10 +1,12 @@
 from __future__ import annotations
 
 import math
+import re
 import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_cases import edge_rows, prose
 
@@ -131,3 +133,36 @@ def test_lanes_hold_every_token_once_in_order():
                 got[d].append(target[t, lane])
         assert got == [d.tolist() for d in docs]
     assert list(gated_lm.Lanes([], 3).windows(0)) == []
+
+
+def test_each_round_reads_its_own_rows_alone(documents, monkeypatch):
+    docs = documents([(i, prose(i, 30)) for i in range(200)])
+    plans = []
+
+    def averaged(replicas, inner=gated_lm._averaged):
+        plans.append(replicas._jdf.queryExecution().executedPlan().toString())
+        return inner(replicas)
+
+    monkeypatch.setattr(gated_lm, "_averaged", averaged)
+    score_texts(docs, docs)
+    assert len(plans) == gated_lm.ROUNDS
+    assert all(re.search(rf"PartitionFilters: \[[^\]]*slice#\d+L? = {k}\)", plan) for k, plan in enumerate(plans))
+
+
+def test_words_are_those_of_python():
+    texts = [None, "", "  ", "A b", "\tÉ Z\x0b\x0cz\x1cY\u00a0x \r\n", "x" * 70_000, "a\x85b\u2003C"]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    for part, wanted in ((batch, texts), (batch.slice(3, 3), texts[3:6])):
+        words, owner = gated_lm._words(part, 0)
+        split = [(t or "").encode().lower().split() for t in wanted]
+        assert words.to_pylist() == [w for ws in split for w in ws]
+        assert owner.tolist() == [i for i, ws in enumerate(split) for _ in ws]
+
+
+def test_exponentials_beyond_the_range_of_floats():
+    network = Network(100)
+    docs = [np.arange(60, dtype=np.int32)]
+    plain = score_documents(network, docs, 0)
+    network.p["class_bias"] += 200
+    network.p["word_bias"] -= 200
+    assert score_documents(network, docs, 0) == pytest.approx(plain, rel=1e-4)
